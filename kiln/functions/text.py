@@ -59,13 +59,24 @@ def drop_empty_tokens(tokens) -> Column:
 
 
 def ngrams(tokens, n: int) -> Column:
-    """FEA-4: n consecutive tokens joined by a blank; too short -> empty list."""
+    """FEA-4: n consecutive tokens joined by a blank; too short -> empty list.
+
+    Built from ``n`` shifted slices zipped together, so the lambda never refers
+    to the outer array (an outer reference would be re-evaluated per element
+    once Catalyst inlines the token expression)."""
     w = _c(tokens)
-    return F.when(
-        F.size(w) >= n,
-        F.transform(F.sequence(F.lit(1), F.size(w) - n + 1),
-                    lambda i: F.array_join(F.slice(w, i, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+    length = F.greatest(F.size(w) - n + 1, F.lit(0))
+    zipped = F.arrays_zip(*[F.slice(w, k + 1, length) for k in range(n)])
+    grams = F.transform(zipped, lambda s: F.concat_ws(" ", *[s[str(k)] for k in range(n)]))
+    return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+
+def explode_terms(c) -> Column:
+    """``explode`` for token arrays, written as ``explode_outer`` + a later
+    null filter (see :func:`kiln.operators.features.term_occurrences`): an
+    inner explode makes Catalyst infer a ``size(arr) > 0`` filter that is pushed
+    below the projection and evaluates the whole token expression twice."""
+    return F.explode_outer(_c(c))
 
 
 def is_wiki_text_line(c) -> Column:

@@ -11,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.functions.text import ngrams
+from kiln.functions.text import explode_terms, ngrams
 
 
 def term_occurrences(df: DataFrame, id_col: str, tokens_col: str,
                      keep=(), term_col: str = "term") -> DataFrame:
     """One row per token occurrence (no shuffle: a projection + explode)."""
-    return df.select(id_col, *keep, F.explode(tokens_col).alias(term_col))
+    return (df.select(id_col, *keep, explode_terms(tokens_col).alias(term_col))
+            .filter(F.col(term_col).isNotNull()))
 
 
 def term_frequencies(df: DataFrame, id_col: str, tokens_col: str,
@@ -33,8 +34,10 @@ def ngram_space(df: DataFrame, tokens_col: str, orders=(3, 4),
     """FEA-8 in long form: one array of all n-grams of the given orders, each
     tagged with its order so equal strings of different orders stay apart
     (like separate vector blocks of ``VectorAssembler``)."""
-    parts = [F.transform(ngrams(tokens_col, n), lambda g, n=n: F.concat(F.lit(f"{n}\u0001"), g))
-             for n in orders]
+    def tag(n):
+        return lambda g: F.concat(F.lit(f"{n}\u0001"), g)
+
+    parts = [F.transform(ngrams(tokens_col, n), tag(n)) for n in orders]
     return df.withColumn(out_col, F.concat(*parts) if len(parts) > 1 else parts[0])
 
 

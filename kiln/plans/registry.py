@@ -6,6 +6,7 @@ import importlib
 
 MODULES = [
     "kiln.plans.classify",
+    "kiln.plans.features",
 ]
 
 
