@@ -33,14 +33,15 @@ def per_label(confusion: DataFrame) -> DataFrame:
     ).withColumn("recall", F.col("n_correct") / F.col("n_rows"))
 
 
-def confusion_matrix(confusion: DataFrame, labels: list, fill: int = 0) -> DataFrame:
+def confusion_matrix(confusion: DataFrame, labels: list, fill: int = 0, spark=None) -> DataFrame:
     """AGG-5/SNK-2 shape: one row per actual label, one column per predicted
     label (given order), zero filled.  ``labels`` is the label table (K values),
     so the pivot needs no extra job to find its columns; rows come from the same
     label list, so rows and columns always agree (Q12)."""
-    out = (confusion.groupBy("label").pivot("prediction", labels).agg(F.sum("n"))
-           .na.fill(fill))
-    return out
+    spark = spark or confusion.sparkSession
+    wide = confusion.groupBy("label").pivot("prediction", labels).agg(F.sum("n"))
+    rows = spark.createDataFrame([(x,) for x in labels], "label string")   # K rows
+    return rows.join(wide, "label", "left").na.fill(fill)
 
 
 def missing_labels(expected: DataFrame, seen: DataFrame, col: str) -> DataFrame:

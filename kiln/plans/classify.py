@@ -64,18 +64,110 @@ def q_per_label(spark, sf_dir):
     return per.select("label", "n_rows", "n_correct", r6(F.col("recall")).alias("recall"))
 
 
+# --- J1 shape: per text line, binary label -------------------------------------------------
+def labelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the labelled documents (FLT-1), class = quality as a double,
+    unit = one line, split key = (doc, line number)."""
+    from kiln.functions.text import is_wiki_text_line, lines_of
+    d = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id")
+    lines = (d.select("doc_id", F.col("quality").cast("double").alias("category"),
+                      F.posexplode_outer(lines_of("text")).alias("pos", "line"))
+             .filter(F.col("line").isNotNull() & is_wiki_text_line("line")))
+    key = F.concat_ws(":", F.col("doc_id").cast("string"), F.col("pos").cast("string"))
+    return lines.select(key.alias("key"), "category",
+                        tokenize(strip_punctuation("line")).alias("tokens"),
+                        (hash_bucket(key) < TRAIN_PERCENT).alias("is_train"))
+
+
+def q_nb_binary(spark, sf_dir):
+    d = labelled_lines(spark, sf_dir)
+    model = nb.fit(d.filter("is_train"), "category", "tokens")
+    p = nb.predict(model, d.filter("NOT is_train"), "key", "tokens", keep=("category",))
+    return p.select("key", F.col("category").alias("label"),
+                    F.col("predicted_label").cast("double").alias("prediction"),
+                    F.round("score", 4).alias("score"))
+
+
+# --- J3 shape: 3-gram + 4-gram counts -------------------------------------------------------
+def q_nb_ngram(spark, sf_dir):
+    d = ngram_space(doc_tokens(spark, sf_dir), "tokens", (3, 4))
+    model = nb.fit(d.filter("is_train"), "lang", "grams")
+    p = nb.predict(model, d.filter("NOT is_train"), "doc_id", "grams", keep=("lang",))
+    return p.select("doc_id", F.col("lang").alias("label"),
+                    F.col("predicted_label").alias("prediction"), F.round("score", 4).alias("score"))
+
+
+# --- J2 shape: one-vs-rest over Naive Bayes -------------------------------------------------
+def q_ovr_predict(spark, sf_dir):
+    """MOD-2 in long form: each binary model's positive-class score differs from
+    the multi-class score only by its prior (K = 2), so one pass scores all."""
+    d = doc_tokens(spark, sf_dir)
+    model = nb.fit(d.filter("is_train"), "lang", "tokens", class_prior_k=2)
+    p = nb.predict(model, d.filter("NOT is_train"), "doc_id", "tokens", keep=("lang",))
+    return p.select("doc_id", F.col("lang").alias("label"),
+                    F.col("predicted_label").alias("prediction"), F.round("score", 4).alias("score"))
+
+
+def q_confusion_pivot(spark, sf_dir):
+    """AGG-5/EVA-2/SNK-2 shape: label x label matrix, rows and columns from the
+    one label table (Q12)."""
+    d = doc_tokens(spark, sf_dir)
+    model = nb.fit(d.filter("is_train"), "lang", "tokens")
+    p = nb.predict(model, d.filter("NOT is_train"), "doc_id", "tokens", keep=("lang",))
+    conf = evaluate.confusion_counts(p.select(F.col("lang").alias("label"),
+                                              F.col("predicted_label").alias("prediction")))
+    return evaluate.confusion_matrix(conf, model.labels, spark=spark)
+
+
+EXCLUDED_LANGS = ["es"]
+
+
+def q_missing_labels(spark, sf_dir):
+    """SET-3 + FLT-5: languages expected (on disk, minus the exclusion list)
+    versus languages the model predicts on the held-out part."""
+    docs = read_table(spark, sf_dir, "documents")
+    expected = docs.filter(~F.col("lang").isin(EXCLUDED_LANGS)).select(F.col("lang").alias("label"))
+    seen = lang_predictions(spark, sf_dir).select(F.col("prediction").alias("label"))
+    return evaluate.missing_labels(expected, seen, "label")
+
+
+def q_class_counts(spark, sf_dir):
+    """AGG-1/AGG-2/AGG-4/FLT-6: rows per class in corpus, training and test part
+    in one aggregation (the reference runs one job per class)."""
+    d = read_table(spark, sf_dir, "documents").select(
+        "lang", (hash_bucket("doc_id") < TRAIN_PERCENT).alias("is_train"))
+    return d.groupBy(F.col("lang").alias("label")).agg(
+        F.count(F.lit(1)).alias("n_all"),
+        F.count(F.when(F.col("is_train"), 1)).alias("n_train"),
+        F.count(F.when(~F.col("is_train"), 1)).alias("n_test"))
+
+
+def q_score_probes(spark, sf_dir):
+    """SRC-15 + MOD-7: score the probe rows (``benchmark``) with the language model."""
+    d = doc_tokens(spark, sf_dir)
+    model = nb.fit(d.filter("is_train"), "lang", "tokens")
+    probes = read_table(spark, sf_dir, "benchmark").select(
+        "item_id", tokenize(strip_punctuation("text")).alias("tokens"))
+    p = nb.predict(model, probes, "item_id", "tokens")
+    return p.select("item_id", F.col("predicted_label").alias("prediction"),
+                    F.round("score", 4).alias("score"))
+
+
 # ---------------------------------------------------------------------------
 # DuckDB oracles
 # ---------------------------------------------------------------------------
 from kiln.plans import sqlfrag as S  # noqa: E402
 
 
-def _nb_sql(label_expr: str = "lang", table: str = "documents", tok: str | None = None,
-            where: str = "TRUE", prior_k: str = "tot.k") -> str:
-    tok = tok or S.tokens(S.strip("text"))
+_DOC_SRC = (f"SELECT doc_id, lang, {S.tokens(S.strip('text'))} AS w, "
+            f"{S.bucket('doc_id')} < {TRAIN_PERCENT} AS is_train FROM documents")
+
+
+def _nb_sql(src: str = _DOC_SRC, prior_k: str = "tot.k") -> str:
+    """NB fit on the ``is_train`` rows of ``src`` (doc_id, lang, w, is_train) and
+    prediction of the others, as CTEs ending in ``pred``."""
     return f"""
-d AS (SELECT doc_id, {label_expr} AS lang, {tok} AS w, {S.bucket('doc_id')} < {TRAIN_PERCENT} AS is_train
-      FROM {table} WHERE {where}),
+d AS ({src}),
 occ AS (SELECT lang, unnest(w) AS term FROM d WHERE is_train),
 cnt AS (SELECT lang AS label, term, count(*) AS cnt FROM occ GROUP BY ALL),
 nc AS (SELECT lang AS label, count(*) AS n FROM d WHERE is_train GROUP BY ALL),
@@ -100,6 +192,33 @@ pred AS (SELECT doc_id, lang AS label, first(cand ORDER BY score DESC, idx) AS p
                 round(max(score), 4) AS score FROM sc GROUP BY doc_id, lang)"""
 
 
+_LINES_SRC = f"""SELECT key AS doc_id, CAST(CAST(quality AS DOUBLE) AS VARCHAR) AS lang,
+        {S.tokens(S.strip('line'))} AS w, {S.bucket('key')} < {TRAIN_PERCENT} AS is_train
+    FROM (SELECT d.doc_id || ':' || (generate_subscripts(string_split(d.text, chr(10)), 1) - 1) AS key,
+                 l.quality, unnest(string_split(d.text, chr(10))) AS line
+          FROM documents d JOIN labels l USING (doc_id))
+    WHERE regexp_matches(line, '[^{S.PY_SPACE[1:-1]}]')
+      AND NOT regexp_matches(line, '^{S.PY_SPACE}*(<doc.*>|</doc>){S.PY_SPACE}*$')"""
+
+
+def _tagged(n):
+    return f"list_transform({S.ngrams('w', n)}, lambda g: '{n}' || chr(1) || g)"
+
+
+_GRAM_SRC = f"""SELECT doc_id, lang, list_concat({_tagged(3)}, {_tagged(4)}) AS w, is_train
+    FROM (SELECT doc_id, lang, {S.tokens(S.strip('text'))} AS w,
+                 {S.bucket('doc_id')} < {TRAIN_PERCENT} AS is_train FROM documents)"""
+
+_PROBE_SRC = f"""SELECT doc_id, lang, {S.tokens(S.strip('text'))} AS w, TRUE AS is_train FROM documents
+        WHERE {S.bucket('doc_id')} < {TRAIN_PERCENT}
+    UNION ALL SELECT item_id, NULL, {S.tokens(S.strip('text'))}, FALSE FROM benchmark"""
+
+_PIVOT = """, conf AS (SELECT label, prediction, count(*) AS n FROM pred GROUP BY ALL),
+grid AS (SELECT a.label, b.label AS prediction, coalesce(conf.n, 0) AS n
+         FROM cls a CROSS JOIN cls b LEFT JOIN conf ON conf.label = a.label AND conf.prediction = b.label)
+SELECT * FROM (PIVOT grid ON prediction USING first(n) GROUP BY label)"""
+
+
 ORACLE = {
     "q_nb_predict_lang": f"WITH {_nb_sql()} SELECT doc_id, label, prediction, score FROM pred",
     "q_nb_model": f"""WITH {_nb_sql()}
@@ -114,6 +233,22 @@ ORACLE = {
         c AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE label = prediction) AS n_correct FROM pred)
         SELECT CAST(n_rows AS BIGINT) AS n_rows, CAST(n_correct AS BIGINT) AS n_correct,
                round(n_correct / n_rows, 6) AS accuracy, round(1 - n_correct / n_rows, 6) AS test_error FROM c""",
+    "q_nb_binary": f"""WITH {_nb_sql(_LINES_SRC)}
+        SELECT doc_id AS key, CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction, score
+        FROM pred""",
+    "q_nb_ngram": f"WITH {_nb_sql(_GRAM_SRC)} SELECT doc_id, label, prediction, score FROM pred",
+    "q_ovr_predict": f"WITH {_nb_sql(prior_k='2')} SELECT doc_id, label, prediction, score FROM pred",
+    "q_confusion_pivot": f"WITH {_nb_sql()} {_PIVOT}",
+    "q_missing_labels": f"""WITH {_nb_sql()}
+        (SELECT DISTINCT lang AS label, 'expected_only' AS side FROM documents WHERE lang NOT IN ('es')
+         EXCEPT SELECT DISTINCT prediction, 'expected_only' FROM pred)
+        UNION ALL
+        (SELECT DISTINCT prediction, 'seen_only' FROM pred
+         EXCEPT SELECT DISTINCT lang, 'seen_only' FROM documents WHERE lang NOT IN ('es'))""",
+    "q_class_counts": f"""SELECT lang AS label, count(*) AS n_all,
+        count(*) FILTER (WHERE {S.bucket('doc_id')} < {TRAIN_PERCENT}) AS n_train,
+        count(*) FILTER (WHERE {S.bucket('doc_id')} >= {TRAIN_PERCENT}) AS n_test FROM documents GROUP BY lang""",
+    "q_score_probes": f"WITH {_nb_sql(_PROBE_SRC)} SELECT doc_id AS item_id, prediction, score FROM pred",
     "q_per_label": f"""WITH {_nb_sql()}
         SELECT label, count(*) AS n_rows, count(*) FILTER (WHERE label = prediction) AS n_correct,
                round(count(*) FILTER (WHERE label = prediction) / count(*), 6) AS recall
@@ -127,4 +262,11 @@ QUERIES = {
     "q_confusion": q_confusion,
     "q_accuracy": q_accuracy,
     "q_per_label": q_per_label,
+    "q_nb_binary": q_nb_binary,
+    "q_nb_ngram": q_nb_ngram,
+    "q_ovr_predict": q_ovr_predict,
+    "q_confusion_pivot": q_confusion_pivot,
+    "q_missing_labels": q_missing_labels,
+    "q_class_counts": q_class_counts,
+    "q_score_probes": q_score_probes,
 }
