@@ -7,6 +7,7 @@ import importlib
 MODULES = [
     "kiln.plans.classify",
     "kiln.plans.features",
+    "kiln.plans.corpus",
 ]
 
 
