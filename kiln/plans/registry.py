@@ -8,6 +8,7 @@ MODULES = [
     "kiln.plans.classify",
     "kiln.plans.features",
     "kiln.plans.corpus",
+    "kiln.plans.ingest",
 ]
 
 
