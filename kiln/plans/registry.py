@@ -9,6 +9,7 @@ MODULES = [
     "kiln.plans.features",
     "kiln.plans.corpus",
     "kiln.plans.ingest",
+    "kiln.plans.markup",
 ]
 
 
