@@ -131,13 +131,10 @@ def q_dump_redirects(spark, sf):
 
 
 def q_siteinfo(spark, sf):
-    """SRC-9: namespaces and base URL of the dump's site info."""
-    path = write_dump(spark, sf, compression=None)
-    base = wiki.site_info(spark, path).select("base")
-    return wiki.namespaces(spark, path).join(base, how="left_outer", on=F.lit(True)) \
-        if False else wiki.namespaces(spark, path).withColumn("base", F.lit(None).cast("string")) \
-        .unionByName(base.select(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("name"),
-                                 "base"))
+    """SRC-9: base URL and namespaces (key, name) of the dump's site info."""
+    si = wiki.site_info(spark, write_dump(spark, sf, compression=None))
+    return si.select("base", F.explode("namespaces").alias("n")).select(
+        "base", F.col("n._key").alias("key"), F.coalesce(F.col("n._VALUE"), F.lit("")).alias("name"))
 
 
 def write_medline(spark, sf) -> str:
@@ -172,6 +169,7 @@ QUERIES = {
     "q_doc_roundtrip": q_doc_roundtrip,
     "q_dump_pages": q_dump_pages,
     "q_dump_redirects": q_dump_redirects,
+    "q_siteinfo": q_siteinfo,
     "q_medline": q_medline,
 }
 
@@ -189,6 +187,8 @@ ORACLE = {
     "q_dump_pages": f"""SELECT doc_id AS id, doc_id + 1000000 AS revid, {_TITLE} AS title, '0' AS ns, text FROM documents
         UNION ALL SELECT doc_id + 6000000, doc_id + 7000000, 'Empty ' || doc_id, '0', '' FROM documents WHERE doc_id % 11 = 0""",
     "q_dump_redirects": f"SELECT doc_id + 1000000 AS id, 'R ' || doc_id AS title, {_TITLE} AS target FROM documents",
+    "q_siteinfo": """SELECT 'https://en.example.org/wiki' AS base, * FROM (VALUES ('0', ''), ('10', 'Template'),
+        ('828', 'Module')) t(key, name)""",
     "q_medline": """WITH g AS (SELECT conv_id, max(text) FILTER (WHERE turn = 0) AS title,
             max(text) FILTER (WHERE turn = 1) AS abstract, max(text) FILTER (WHERE turn = 3) AS other_abstract
             FROM conversations GROUP BY conv_id)

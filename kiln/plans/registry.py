@@ -10,6 +10,7 @@ MODULES = [
     "kiln.plans.corpus",
     "kiln.plans.ingest",
     "kiln.plans.markup",
+    "kiln.plans.mlpipes",
 ]
 
 
