@@ -71,27 +71,28 @@ def html_steps(engine: str = "spark"):
     both give the same text on markup without same-name nesting."""
     tags = _alt(KEEP_CONTENT_TAGS + ("a",))
     steps = [
-        (r"(?s)<!--.*?-->", "", 1),                                                        # TXT-10
-        (rf"(?is)<\s*(?:{_alt(SELF_CLOSING_TAGS)})\b[^>]*/\s*>", "", 1),                    # TXT-11
-        (rf"(?is)<(?:{tags})\b.*?>", "", 1),                                               # TXT-12
-        (rf"(?i)</\s*(?:{tags})>", "", 1),
+        (r"(?s)<!--.*?-->", "", 1, "<!--"),                                                # TXT-10
+        (rf"(?is)<\s*(?:{_alt(SELF_CLOSING_TAGS)})\b[^>]*/\s*>", "", 1, "/"),               # TXT-11
+        (rf"(?is)<(?:{tags})\b.*?>", "", 1, "<"),                                          # TXT-12
+        (rf"(?i)</\s*(?:{tags})>", "", 1, "</"),
     ]
     if engine == "spark":                                                                  # TXT-13
         open_ = rf"<\s*({_alt(DROP_ELEMENTS)})\b[^>/]*>"
-        steps.append((rf"(?is){open_}(?:(?!<\s*\1\b[^>/]*>).)*?<\s*/\s*\1>", "", 5))
+        steps.append((rf"(?is){open_}(?:(?!<\s*\1\b[^>/]*>).)*?<\s*/\s*\1>", "", 5,
+                      ("rlike", rf"(?i)<\s*(?:{_alt(DROP_ELEMENTS)})\b")))
     else:
         for t in DROP_ELEMENTS:
-            steps.append((rf"(?is)<\s*{t}\b[^>/]*>.*?<\s*/\s*{t}>", "", 1))
+            steps.append((rf"(?is)<\s*{t}\b[^>/]*>.*?<\s*/\s*{t}>", "", 1, None))
     return steps
 
 
 # TXT-15 clean-up, after entity decoding and placeholders.
 CLEANUP_STEPS = [
-    ("<<", "«", 0), (">>", "»", 0), ("\t", " ", 0),                # 0 = literal replace
-    (r" {2,}", " ", 1),
-    (r"\.{4,}", "...", 1),
-    (r"\n[^\p{L}\p{N}_]+?\n", "\n", 1),                            # punctuation-only lines
-    (",,", ",", 0), (",.", ".", 0),
+    ("<<", "«", 0, None), (">>", "»", 0, None), ("\t", " ", 0, None),   # 0 = literal replace
+    (r" {2,}", " ", 1, "  "),
+    (r"\.{4,}", "...", 1, "...."),
+    (r"\n[^\p{L}\p{N}_]+?\n", "\n", 1, "\n"),                           # punctuation-only lines
+    (",,", ",", 0, None), (",.", ".", 0, None),
 ]
 
 
@@ -99,40 +100,67 @@ def wiki_steps(depth: int = 5):
     """wiki2text part before the HTML decode: templates and tables (TXT-1),
     quotes (TXT-3), internal links with the namespace rule (TXT-4, TXT-17),
     external links (TXT-6), behaviour switches (TXT-7)."""
+    q2, q3, q5 = "''", "'''", "'''''"
     steps = [
-        (r"\{\{[^{}]*\}\}", "", depth),                                                    # TXT-1
-        (r"(?s)\{\|[^{}]*?\|\}", "", depth),
-        (r"'''''(.*?)'''''", "$1", 1),                                                     # TXT-3
-        (r"'''(.*?)'''", "$1", 1),
-        (r"''\"([^\"]*?)\"''", "\"$1\"", 1),
-        (r"''(.*?)''", "\"$1\"", 1),
-        (r"\"\"([^\"]*?)\"\"", "\"$1\"", 1),
-        ("'''", "", 0), ("''", "\"", 0),
-        (rf"\[\[(:?)({_alt(ACCEPTED_NAMESPACES)}):", f"[[$1{PROTECT}$2:", 1),               # TXT-17
+        (r"\{\{[^{}]*\}\}", "", depth, "{{"),                                              # TXT-1
+        (r"(?s)\{\|[^{}]*?\|\}", "", depth, "{|"),
+        (rf"{q5}(.*?){q5}", "$1", 1, q5),                                                  # TXT-3
+        (rf"{q3}(.*?){q3}", "$1", 1, q3),
+        (rf"{q2}\"([^\"]*?)\"{q2}", "\"$1\"", 1, q2 + '"'),
+        (rf"{q2}(.*?){q2}", "\"$1\"", 1, q2),
+        (r"\"\"([^\"]*?)\"\"", "\"$1\"", 1, '""'),
+        (q3, "", 0, None), (q2, "\"", 0, None),
+        (rf"\[\[(:?)({_alt(ACCEPTED_NAMESPACES)}):", f"[[$1{PROTECT}$2:", 1, "[["),         # TXT-17
     ]
     for _ in range(3):                                                                     # TXT-4
-        steps.append((rf"\[\[:?[^\[\]|:{PROTECT}]+:[^\[\]]*\]\]", "", 1))
-        steps.append((r"\[\[(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]", "$1", 1))
+        steps.append((rf"\[\[:?[^\[\]|:{PROTECT}]+:[^\[\]]*\]\]", "", 1, "[["))
+        steps.append((r"\[\[(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]", "$1", 1, "[["))
     steps += [
-        (PROTECT, "", 0),
+        (PROTECT, "", 0, None),
         (rf"(?is)\[(?:{_proto_alt()})[^\]\[<>\"\x00-\x20\x7f\s]+\s*([^\]\[\x00-\x08\x0a-\x1f]*?)\]",
-         "$1", 1),                                                                         # TXT-6
-        ("|".join(SWITCHES), "", 1),                                                       # TXT-7
+         "$1", 1, "["),                                                                    # TXT-6
+        ("__(?:" + "|".join(w.strip("_") for w in SWITCHES) + ")__", "", 1, "__"),         # TXT-7
     ]
     return steps
 
 
+def _one(c, pattern, repl, rounds):
+    if rounds == 0:
+        return F.replace(c, F.lit(pattern), F.lit(repl))
+    return F.regexp_replace(c, pattern, repl)
+
+
 def apply_steps(c, steps) -> Column:
+    """All steps as one expression (no guards)."""
     c = _c(c)
-    for pattern, repl, rounds in steps:
-        if rounds == 0:
-            c = F.replace(c, F.lit(pattern), F.lit(repl))
-        else:
-            for _ in range(rounds):
-                c = F.regexp_replace(c, pattern, repl)
+    for pattern, repl, rounds, _guard in steps:
+        for _ in range(max(rounds, 1)):
+            c = _one(c, pattern, repl, rounds)
     return c
 
 
+def guarded_stages(steps):
+    """One stage per step and round, skipped when its guard is absent (a
+    literal that must occur, or ``("rlike", pattern)``).  Meant for
+    :func:`with_stages`: the guard reads the stage's input column twice, so the
+    stages stay separate projections and later rounds of nested removal cost a
+    substring test once nothing is left."""
+    out = []
+    for pattern, repl, rounds, guard in steps:
+        for _ in range(max(rounds, 1)):
+            def st(c, pattern=pattern, repl=repl, rounds=rounds, guard=guard):
+                if guard is None:
+                    return _one(c, pattern, repl, rounds)
+                cond = c.rlike(guard[1]) if isinstance(guard, tuple) else (F.instr(c, guard) > 0)
+                return F.when(cond, _one(c, pattern, repl, rounds)).otherwise(c)
+            out.append(st)
+    return out
+
+
+def _guard(lit: str, fn):
+    return lambda c: F.when(F.instr(c, lit) > 0, fn(c)).otherwise(c)
+
+
 def map_matches(c, pattern: str, fn, with_index: bool = False) -> Column:
     """Replace every match of ``pattern`` by ``fn(match)`` (or ``fn(match, i)``
     with the 0-based match number), in one left-to-right pass: the text is
@@ -169,25 +197,77 @@ def unescape(c) -> Column:
 
 def placeholders(c) -> Column:
     """TXT-14: the n-th ``<math>…</math>`` -> ``formula_n``, ``<code>`` -> ``codice_n``."""
-    c = _c(c)
-    for tag, name in PLACEHOLDERS:
-        pat = rf"(?is)<\s*{tag}(?:\s*| [^>]+?)>.*?<\s*/\s*{tag}\s*>"
-        c = map_matches(c, pat, lambda x, i, name=name: F.concat(F.lit(f"{name}_"), (i + 1).cast("string")),
-                        with_index=True)
-    return c
+    return _compose([_placeholder(tag, name) for tag, name in PLACEHOLDERS])(c)
 
 
-def clean_markup(c, to_html: bool = False) -> Column:
-    """clean(): TXT-10, 11, 12, 13, 8, 14, 15 (+ TXT-16 when ``to_html``)."""
-    c = apply_steps(c, html_steps())
-    if not to_html:
-        c = unescape(c)
-    c = placeholders(c)
+def _escape_html(c) -> Column:
+    """TXT-16."""
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def _cleanup(c, to_html: bool = False) -> Column:
     c = apply_steps(c, CLEANUP_STEPS)
+    return _escape_html(c) if to_html else c
+
+
+def clean_stages(to_html: bool = False, guarded: bool = False):
+    """clean(): TXT-10..13, 8, 14, 15 (+16), as a list of column stages.
+    ``guarded`` splits the regex chains into one guarded stage per step."""
+    if not guarded:
+        stages = [lambda c: apply_steps(c, html_steps())]
+        if not to_html:
+            stages.append(unescape)
+        stages += [_placeholder(tag, name) for tag, name in PLACEHOLDERS]
+        stages.append(lambda c: _cleanup(c, to_html))
+        return stages
+    stages = guarded_stages(html_steps())
+    if not to_html:
+        stages.append(_guard("&", unescape))
+    stages += [_guard("<", _placeholder(tag, name)) for tag, name in PLACEHOLDERS]
+    stages += guarded_stages(CLEANUP_STEPS)
     if to_html:
-        c = F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
-                      F.lit(">"), F.lit("&gt;"))
-    return c
+        stages.append(_escape_html)
+    return stages
+
+
+def _placeholder(tag, name):
+    pat = rf"(?is)<\s*{tag}(?:\s*| [^>]+?)>.*?<\s*/\s*{tag}\s*>"
+    return lambda c: map_matches(c, pat, lambda x, i: F.concat(F.lit(f"{name}_"), (i + 1).cast("string")),
+                                 with_index=True)
+
+
+def _compose(stages):
+    def run(c):
+        c = _c(c)
+        for st in stages:
+            c = st(c)
+        return c
+    return run
+
+
+def with_stages(df, col: str, out: str, stages):
+    """Apply column stages as separate projections.  A stage that reads its
+    input twice (split + extract) then reads a computed column instead of
+    repeating the whole chain below it (Catalyst keeps such projections apart)."""
+    cur = col
+    for i, st in enumerate(stages):
+        nxt = f"__{out}_s{i}"
+        df = df.withColumn(nxt, st(F.col(cur)))
+        if cur != col:
+            df = df.drop(cur)
+        cur = nxt
+    return df.withColumnRenamed(cur, out)
+
+
+def clean_markup(c, to_html: bool = False) -> Column:
+    """clean() as one expression (small inputs); prefer :func:`with_clean_markup`."""
+    return _compose(clean_stages(to_html))(c)
+
+
+def with_clean_markup(df, col: str, out: str, to_html: bool = False):
+    """clean() as guarded projections: the form for large texts."""
+    return with_stages(df, col, out, clean_stages(to_html, guarded=True))
 
 
 SYNTAXHIGHLIGHT = r"(?is)<syntaxhighlight[^>]*>.*?</syntaxhighlight>"
@@ -210,17 +290,31 @@ def decode_outside_highlight(c) -> Column:
                                    F.concat(inner, F.array(F.lit(""))), lambda p, r: F.concat(p, r)), "")
 
 
+def wiki_stages(depth: int = 5, guarded: bool = False):
+    """wiki2text (TXT-1, 3, 4, 6, 7, 9, 17, 18) as column stages."""
+    if not guarded:
+        return [protect_nowiki,
+                lambda c: F.replace(apply_steps(c, wiki_steps(depth)), F.lit(BRACE_MASK), F.lit("{")),
+                decode_outside_highlight]
+    return ([_guard("<nowiki>", protect_nowiki)] + guarded_stages(wiki_steps(depth))
+            + [lambda c: F.replace(c, F.lit(BRACE_MASK), F.lit("{")),
+               lambda c: (F.when(F.instr(F.lower(c), "<syntaxhighlight") > 0, decode_outside_highlight(c))
+                          .when(F.instr(c, "&") > 0, unescape(c)).otherwise(c))])
+
+
 def wiki_to_text(c, depth: int = 5) -> Column:
-    """wiki2text (TXT-1, 3, 4, 6, 7, 9, 17, 18)."""
-    c = protect_nowiki(c)
-    c = apply_steps(c, wiki_steps(depth))
-    c = F.replace(c, F.lit(BRACE_MASK), F.lit("{"))
-    return decode_outside_highlight(c)
+    return _compose(wiki_stages(depth))(c)
 
 
 def clean_wiki(c, depth: int = 5) -> Column:
-    """TXT-28 without the line compaction: wiki2text then clean."""
-    return clean_markup(wiki_to_text(c, depth))
+    """TXT-28 without the line compaction, one expression (small inputs);
+    prefer :func:`with_clean_wiki`."""
+    return _compose(wiki_stages(depth) + clean_stages())(c)
+
+
+def with_clean_wiki(df, col: str, out: str, depth: int = 5):
+    """wiki2text + clean() as guarded projections: the form for large texts."""
+    return with_stages(df, col, out, wiki_stages(depth, guarded=True) + clean_stages(guarded=True))
 
 
 def residual_markup(c) -> Column:

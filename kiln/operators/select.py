@@ -73,3 +73,16 @@ def semi_join(df: DataFrame, selection: DataFrame, on) -> DataFrame:
 def anti_join(df: DataFrame, done: DataFrame, on) -> DataFrame:
     """JOIN-3/FLT-15: rows without a match (work not yet done)."""
     return df.join(done, on, "left_anti")
+
+
+def keep_rows(df: DataFrame, predicate) -> DataFrame:
+    """``df.filter(predicate)`` for predicates on expensive computed columns.
+
+    A plain filter is pushed below the projection that computes the column and
+    the whole expression is then evaluated twice (filter and projection).  Here
+    the predicate is evaluated inside a generator over the row, which the
+    optimizer does not push through, so every column is computed once."""
+    cols = df.columns
+    kept = F.filter(F.array(F.struct(*cols)), lambda r: predicate(r))
+    return (df.select(F.explode_outer(kept).alias("_row")).filter(F.col("_row").isNotNull())
+            .select(*[F.col("_row")[c].alias(c) for c in cols]))
