@@ -21,11 +21,30 @@ def term_occurrences(df: DataFrame, id_col: str, tokens_col: str,
             .filter(F.col(term_col).isNotNull()))
 
 
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread a scan with fewer partitions than the cluster has cores (one
+    small file, one row group) before CPU-heavy row work; a scan of many
+    splits is left alone, so this costs nothing at scale."""
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
+def by_document(df: DataFrame, id_col: str) -> DataFrame:
+    """Hash-partition the documents on their id.  Every later per-document
+    aggregation (doc, term) then runs inside the partition with no exchange:
+    the text rows are shuffled instead of the several times larger
+    (doc, term) pairs.  A corpus stored bucketed on the id needs no shuffle."""
+    return df.repartition(id_col)
+
+
 def term_frequencies(df: DataFrame, id_col: str, tokens_col: str,
-                     keep=(), term_col: str = "term") -> DataFrame:
-    """(doc, term, tf).  A document sits in one partition, so the map-side partial
-    aggregation already reduces the token stream to distinct pairs."""
-    occ = term_occurrences(df, id_col, tokens_col, keep, term_col)
+                     keep=(), term_col: str = "term", partitioned: bool = False) -> DataFrame:
+    """(doc, term, tf), counted inside each document's partition
+    (``partitioned=True``: the input is already hashed on the id)."""
+    occ = term_occurrences(df if partitioned else by_document(df, id_col), id_col, tokens_col, keep, term_col)
     return occ.groupBy(id_col, *keep, term_col).agg(F.count(F.lit(1)).alias("tf"))
 
 

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.operators.features import label_index, term_occurrences
+from kiln.operators.features import by_document, label_index, term_occurrences
 
 # class id of the extra "term is in the vocabulary" row per term
 VOCAB_MARK = -1
@@ -119,15 +119,16 @@ def fit(docs: DataFrame, label_col: str, tokens_col: str, alpha: float = 1.0,
 
 
 def raw_scores(model: LongNaiveBayesModel, docs: DataFrame, id_col: str, tokens_col: str,
-               keep=()) -> DataFrame:
+               keep=(), partitioned: bool = False) -> DataFrame:
     """Per document: ``scores`` array (one log-joint per class, index order).
 
     Plan: explode -> (doc, term, tf) -> left join weights on term (AQE picks a
     broadcast when the weight table is small at run time, splits skewed hot
     terms otherwise) -> one hash aggregation per doc with K conditional sums.
     """
+    docs = docs if partitioned else by_document(docs, id_col)
     occ = docs.select(id_col, *keep, F.explode_outer(tokens_col).alias("term"))
-    tf = occ.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = occ.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))   # inside the partition
     joined = tf.join(model.weights, "term", "left")
     sums = [F.sum(F.when(F.col("k") == VOCAB_MARK, F.col("tf"))).alias("n_v")]
     sums += [F.sum(F.when(F.col("k") == c.idx, F.col("tf") * F.col("w"))).alias(f"s{c.idx}")
@@ -142,9 +143,9 @@ def raw_scores(model: LongNaiveBayesModel, docs: DataFrame, id_col: str, tokens_
 
 
 def predict(model: LongNaiveBayesModel, docs: DataFrame, id_col: str, tokens_col: str,
-            keep=()) -> DataFrame:
+            keep=(), partitioned: bool = False) -> DataFrame:
     """TOP-5: arg max class (first max = smallest index on ties)."""
-    scored = raw_scores(model, docs, id_col, tokens_col, keep)
+    scored = raw_scores(model, docs, id_col, tokens_col, keep, partitioned)
     labels = F.array(*[F.lit(c.label) for c in model.classes])
     best = F.array_position(F.col("scores"), F.array_max("scores"))
     return scored.select(

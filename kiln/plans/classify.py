@@ -19,7 +19,7 @@ def lang_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = d.filter("is_train")
     test = d.filter("NOT is_train")
     model = nb.fit(train, "lang", "tokens")
-    p = nb.predict(model, test, "doc_id", "tokens", keep=("lang",))
+    p = nb.predict(model, test, "doc_id", "tokens", keep=("lang",), partitioned=True)
     return p.select("doc_id", F.col("lang").alias("label"),
                     F.col("predicted_label").alias("prediction"),
                     F.round("score", 4).alias("score"))
@@ -92,7 +92,7 @@ def q_nb_binary(spark, sf_dir):
 def q_nb_ngram(spark, sf_dir):
     d = ngram_space(doc_tokens(spark, sf_dir), "tokens", (3, 4))
     model = nb.fit(d.filter("is_train"), "lang", "grams")
-    p = nb.predict(model, d.filter("NOT is_train"), "doc_id", "grams", keep=("lang",))
+    p = nb.predict(model, d.filter("NOT is_train"), "doc_id", "grams", keep=("lang",), partitioned=True)
     return p.select("doc_id", F.col("lang").alias("label"),
                     F.col("predicted_label").alias("prediction"), F.round("score", 4).alias("score"))
 
@@ -103,7 +103,7 @@ def q_ovr_predict(spark, sf_dir):
     the multi-class score only by its prior (K = 2), so one pass scores all."""
     d = doc_tokens(spark, sf_dir)
     model = nb.fit(d.filter("is_train"), "lang", "tokens", class_prior_k=2)
-    p = nb.predict(model, d.filter("NOT is_train"), "doc_id", "tokens", keep=("lang",))
+    p = nb.predict(model, d.filter("NOT is_train"), "doc_id", "tokens", keep=("lang",), partitioned=True)
     return p.select("doc_id", F.col("lang").alias("label"),
                     F.col("predicted_label").alias("prediction"), F.round("score", 4).alias("score"))
 
@@ -113,7 +113,7 @@ def q_confusion_pivot(spark, sf_dir):
     one label table (Q12)."""
     d = doc_tokens(spark, sf_dir)
     model = nb.fit(d.filter("is_train"), "lang", "tokens")
-    p = nb.predict(model, d.filter("NOT is_train"), "doc_id", "tokens", keep=("lang",))
+    p = nb.predict(model, d.filter("NOT is_train"), "doc_id", "tokens", keep=("lang",), partitioned=True)
     conf = evaluate.confusion_counts(p.select(F.col("lang").alias("label"),
                                               F.col("predicted_label").alias("prediction")))
     return evaluate.confusion_matrix(conf, model.labels, spark=spark)
