@@ -17,10 +17,15 @@ TARGET_URI = "WARC-Target-URI"
 DROP_PREFIXES = ("WARC", "Content-")
 
 
-def warc_records(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-6: one row per record: ``url``, ``header`` map, ``payload``.
-    Header and payload are separated at the first blank line (LF or CRLF)."""
-    raw = spark.read.option("lineSep", RECORD_SEP).text(path)
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Raw record text per WARC/WET record (column ``value``)."""
+    return spark.read.option("lineSep", RECORD_SEP).text(path)
+
+
+def parse_records(raw: DataFrame) -> DataFrame:
+    """SRC-6 on raw records: ``url``, ``header`` map, ``payload``.  Header and
+    payload are separated at the first blank line (LF or CRLF).  Works on batch
+    and streaming frames alike."""
     rec = F.regexp_replace(F.col("value"), r"^(WARC/1\.0)?\r?\n", "")
     parts = F.split(rec, r"\r?\n\r?\n", 2)
     hdr = F.regexp_replace(parts[0], r"\r", "")
@@ -31,28 +36,37 @@ def warc_records(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("header")[TARGET_URI].alias("url"), "header", "payload", "file"))
 
 
-def wet_documents(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
-    """SRC-5 + FLT-3 (+ FLT-4 in compat mode): (URI, text) of every record
-    with a target URI.
-
-    Default: text = payload with trailing white space removed (line breaks
-    kept, Q1).  ``compat=True`` gives the reference's form: every line of the
-    record that does not start with ``WARC`` or ``Content-`` concatenated with
-    no separator."""
-    recs = warc_records(spark, path)
-    if compat:
-        raw = spark.read.option("lineSep", RECORD_SEP).text(path)
-        rec = F.regexp_replace(F.col("value"), r"^(WARC/1\.0)?", "")
-        lines = F.split(F.regexp_replace(rec, r"\r", ""), "\n")
-        kept = F.filter(lines, lambda l: ~(l.startswith("WARC") | l.startswith("Content-")))
-        uri = F.regexp_extract(rec, rf"(?m)^{TARGET_URI}: ([^\r\n]*)", 1)
-        out = raw.select(uri.alias("URI"), F.array_join(kept, "").alias("text"))
-        return out.filter(F.col("URI") != "")
+def warc_records(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-6: one row per record of the files at ``path``."""
+    return parse_records(read_records(spark, path))
+
+
+def documents_of(records: DataFrame) -> DataFrame:
+    """SRC-5 + FLT-3 on parsed records: (URI, text) of records with a target URI."""
     text = F.regexp_replace(F.col("payload"), r"\s+$", "")
-    return recs.filter(F.col("url").isNotNull() & (F.col("url") != "")).select(
+    return records.filter(F.col("url").isNotNull() & (F.col("url") != "")).select(
         F.col("url").alias("URI"), text.alias("text"))
 
 
+def compat_documents_of(raw: DataFrame) -> DataFrame:
+    """SRC-5 + FLT-4 in the reference's form: every line of the record that
+    does not start with ``WARC`` or ``Content-``, fused with no separator (Q1)."""
+    rec = F.regexp_replace(F.col("value"), r"^(WARC/1\.0)?", "")
+    lines = F.split(F.regexp_replace(rec, r"\r", ""), "\n")
+    kept = F.filter(lines, lambda l: ~(l.startswith("WARC") | l.startswith("Content-")))
+    uri = F.regexp_extract(rec, rf"(?m)^{TARGET_URI}: ([^\r\n]*)", 1)
+    out = raw.select(uri.alias("URI"), F.array_join(kept, "").alias("text"))
+    return out.filter(F.col("URI") != "")
+
+
+def wet_documents(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
+    """SRC-5 + FLT-3 (+ FLT-4 in compat mode): (URI, text) of every record
+    with a target URI.  Default: text = payload with trailing white space
+    removed (line breaks kept, Q1); ``compat=True``: the reference's form."""
+    raw = read_records(spark, path)
+    return compat_documents_of(raw) if compat else documents_of(parse_records(raw))
+
+
 def wet_record(uri_col, text_col, record_id_col, date: str = "2016-02-05T21:52:39Z",
                eol: str = "\n"):
     """One WET conversion record as text (for writing fixtures and exports)."""
