@@ -47,6 +47,10 @@ class LongNaiveBayesModel:
     classes: list[ClassInfo]    # ordered by index
     vocab_size: int
     alpha: float = 1.0
+    # True when the vocabulary may hold terms without any class count: such
+    # terms then carry VOCAB_MARK rows.  Otherwise a token is in the vocabulary
+    # exactly when it finds a weight row, and no mark rows are needed.
+    marks: bool = False
 
     @property
     def labels(self) -> list[str]:
@@ -63,7 +67,7 @@ class LongNaiveBayesModel:
         spark = self.weights.sparkSession
         self.weights.write.mode("overwrite").parquet(f"{path}/weights")
         self.class_table(spark).withColumn("vocab_size", F.lit(self.vocab_size)) \
-            .withColumn("alpha", F.lit(self.alpha)) \
+            .withColumn("alpha", F.lit(self.alpha)).withColumn("marks", F.lit(self.marks)) \
             .coalesce(1).write.mode("overwrite").parquet(f"{path}/classes")
 
     @staticmethod
@@ -72,7 +76,7 @@ class LongNaiveBayesModel:
         classes = [ClassInfo(r.label, r.idx, r.n_docs, r.n_terms, r.prior, r.log_denominator)
                    for r in cls]
         return LongNaiveBayesModel(spark.read.parquet(f"{path}/weights"), classes,
-                                   int(cls[0].vocab_size), float(cls[0].alpha))
+                                   int(cls[0].vocab_size), float(cls[0].alpha), bool(cls[0].marks))
 
 
 def class_counts(docs: DataFrame, label_col: str, tokens_col: str, term_col: str = "term") -> DataFrame:
@@ -114,27 +118,35 @@ def fit(docs: DataFrame, label_col: str, tokens_col: str, alpha: float = 1.0,
     log_alpha = math.log(alpha)
     pairs = counts.select("term", idx_map[F.col(label_col).cast("string")].alias("k"),
                           (F.log(F.col("cnt") + alpha) - F.lit(log_alpha)).alias("w"))
-    marks = vocab_terms.select("term", F.lit(VOCAB_MARK).alias("k"), F.lit(1.0).alias("w"))
-    return LongNaiveBayesModel(pairs.unionByName(marks), classes, v, alpha)
+    if vocabulary is None:
+        return LongNaiveBayesModel(pairs, classes, v, alpha)
+    marks = vocab_terms.join(counts.select("term"), "term", "left_anti") \
+        .select("term", F.lit(VOCAB_MARK).alias("k"), F.lit(1.0).alias("w"))
+    return LongNaiveBayesModel(pairs.unionByName(marks), classes, v, alpha, marks=True)
 
 
 def raw_scores(model: LongNaiveBayesModel, docs: DataFrame, id_col: str, tokens_col: str,
                keep=(), partitioned: bool = False) -> DataFrame:
     """Per document: ``scores`` array (one log-joint per class, index order).
 
-    Plan: explode -> (doc, term, tf) -> left join weights on term (AQE picks a
+    Plan: documents hashed on id -> explode -> (doc, term, tf) counted inside
+    the partition -> left join weights on term (AQE picks a
     broadcast when the weight table is small at run time, splits skewed hot
     terms otherwise) -> one hash aggregation per doc with K conditional sums.
     """
     docs = docs if partitioned else by_document(docs, id_col)
-    occ = docs.select(id_col, *keep, F.explode_outer(tokens_col).alias("term"))
-    tf = occ.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))   # inside the partition
+    occ = docs.select(id_col, *keep, F.size(tokens_col).alias("_n_tok"),
+                      F.explode_outer(tokens_col).alias("term"))
+    # (doc, term, tf) inside the partition; the empty-document row has tf = 0
+    tf = occ.groupBy(id_col, *keep, "_n_tok", "term").agg(F.count("term").alias("tf"))
     joined = tf.join(model.weights, "term", "left")
-    sums = [F.sum(F.when(F.col("k") == VOCAB_MARK, F.col("tf"))).alias("n_v")]
+    # in-vocabulary tokens: all tokens minus those without any weight row
+    # (a mark row counts as a weight row)
+    sums = [F.sum(F.when(F.col("k").isNull(), F.col("tf")).otherwise(0)).alias("n_oov")]
     sums += [F.sum(F.when(F.col("k") == c.idx, F.col("tf") * F.col("w"))).alias(f"s{c.idx}")
              for c in model.classes]
-    agg = joined.groupBy(id_col, *keep).agg(*sums)
-    n_v = F.coalesce(F.col("n_v"), F.lit(0))
+    agg = joined.groupBy(id_col, *keep, "_n_tok").agg(*sums)
+    n_v = F.greatest(F.col("_n_tok"), F.lit(0)) - F.col("n_oov")
     log_alpha = math.log(model.alpha)
     scores = F.array(*[(F.lit(c.prior) - n_v * F.lit(c.log_denominator - log_alpha)
                         + F.coalesce(F.col(f"s{c.idx}"), F.lit(0.0)))
