@@ -30,15 +30,26 @@ def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> list[Data
 
 
 def stratified_split(df: DataFrame, key: str, stratum: str, train_fraction: float = 0.8,
-                     out_col: str = "part") -> DataFrame:
-    """SMP-2 exact form: inside every stratum the rows ordered by hash are cut at
-    ``ceil``-free ``percent_rank < train_fraction``.  The window partitions by the
-    stratum; a stratum holding a third of all rows is still one sort task, so
-    for very large strata use :func:`hash_split`, which is per row."""
+                     out_col: str = "part", buckets: int = 1024) -> DataFrame:
+    """SMP-2 exact form: inside every stratum, rows ordered by (md5(key), key)
+    are ``train`` while ``percent_rank < train_fraction``.
+
+    The rank inside a stratum is computed in two levels, so a stratum holding
+    most of the rows is never one task: rows fall into ``buckets`` md5 ranges;
+    a small (stratum, bucket) count table gives every bucket its offset (prefix
+    sum); ``row_number`` runs inside a (stratum, bucket) group only."""
     h = F.md5(F.col(key).cast("string"))
-    w = Window.partitionBy(stratum).orderBy(h, F.col(key))
-    return df.withColumn(out_col, F.when(F.percent_rank().over(w) < train_fraction, "train")
-                         .otherwise("test"))
+    d = df.withColumn("_h", h).withColumn(
+        "_b", (F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") * buckets / (1 << 32)).cast("int"))
+    counts = d.groupBy(stratum, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    w_off = Window.partitionBy(stratum).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(stratum, "_b", F.coalesce(F.sum("_c").over(w_off), F.lit(0)).alias("_off"),
+                            F.sum("_c").over(Window.partitionBy(stratum)).alias("_n"))
+    local = F.row_number().over(Window.partitionBy(stratum, "_b").orderBy("_h", F.col(key)))
+    ranked = d.withColumn("_r", local).join(offsets, [stratum, "_b"])
+    pr = F.when(F.col("_n") > 1, (F.col("_off") + F.col("_r") - 1) / (F.col("_n") - 1)).otherwise(F.lit(0.0))
+    return ranked.withColumn(out_col, F.when(pr < train_fraction, "train").otherwise("test")) \
+        .drop("_h", "_b", "_r", "_off", "_n")
 
 
 def first_n_per_group(df: DataFrame, group: str, order, n: int, rank_col: str = "rank") -> DataFrame:

@@ -96,3 +96,24 @@ def test_missing_labels(spark):
     s = spark.createDataFrame([("b",), ("c",)], "l string")
     out = sorted(tuple(r) for r in evaluate.missing_labels(e, s, "l").collect())
     assert out == [("a", "expected_only"), ("c", "seen_only")]
+
+
+def test_vocabulary_restricted_nb_equals_mllib(spark, sf):
+    """A given vocabulary (CountVectorizer-like) including terms never seen in
+    training: those terms still count as in-vocabulary (mark rows)."""
+    d = doc_tokens(spark, sf)
+    train, test = d.filter("is_train"), d.filter("NOT is_train")
+    cv = CountVectorizer(inputCol="tokens", outputCol="f", vocabSize=500).fit(train)
+    vocab = spark.createDataFrame([(t,) for t in cv.vocabulary] + [("zzunseen",)], "term string")
+    model = nb.fit(train, "lang", "tokens", vocabulary=vocab)
+    assert model.marks and model.vocab_size == 501
+    ours = {r.doc_id: r.predicted_label for r in nb.predict(model, test, "doc_id", "tokens").collect()}
+    lab = {r.lang: r.idx for r in label_index(train, "lang").collect()}
+    names = {v: k for k, v in lab.items()}
+    from pyspark.ml.feature import CountVectorizerModel
+    cv2 = CountVectorizerModel.from_vocabulary(cv.vocabulary + ["zzunseen"], inputCol="tokens", outputCol="f")
+    m = F.create_map(*[x for k, v in lab.items() for x in (F.lit(k), F.lit(v))])
+    ml = NaiveBayes(featuresCol="f", labelCol="label", modelType="multinomial").fit(
+        cv2.transform(train).withColumn("label", m[F.col("lang")]))
+    theirs = {r.doc_id: names[r.prediction] for r in ml.transform(cv2.transform(test)).collect()}
+    assert ours == theirs

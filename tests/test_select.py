@@ -45,3 +45,27 @@ def test_file_numbers_cap(spark):
     out = file_numbers(cum, "cum_bytes", "size", cap_bytes=250_000).orderBy("k").collect()
     assert [r.file_no for r in out] == [0, 0, 0, 1, 1, 2, 2, 2, 3, 3]
     assert out[0].dir == "AA" and out[0].file == "wiki_00"
+
+
+def test_top_k_per_group_is_group_limited(spark):
+    df = spark.range(0, 1000).select((F.col("id") % 3).alias("g"), F.col("id").cast("string").alias("p"))
+    plan = first_n_per_group(df, "g", "p", 9)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_keep_rows_evaluates_once(spark):
+    from kiln.operators.select import keep_rows
+    df = spark.createDataFrame([("a b",), ("",)], "t string")
+    d = df.select(F.upper(F.regexp_replace("t", "UNIQUEPATTERN", "")).alias("u"))
+    out = keep_rows(d, lambda r: F.length(r["u"]) > 0)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("UNIQUEPATTERN") == 1
+    assert [r.u for r in out.collect()] == ["A B"]
+
+
+def test_stratified_split_two_level_equals_window(spark, sf):
+    from pyspark.sql import Window
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    ours = {r.doc_id: r.part for r in stratified_split(d, "doc_id", "lang", 0.8, buckets=16).collect()}
+    w = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
+    ref = d.withColumn("part", F.when(F.percent_rank().over(w) < 0.8, "train").otherwise("test"))
+    assert ours == {r.doc_id: r.part for r in ref.collect()}
