@@ -44,15 +44,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this must be set by the cluster (a shared file system).  Only
     when it is unset (local tests) a private temp folder is created and set.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: only the configuration is visible
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="kiln-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
