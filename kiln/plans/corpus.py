@@ -221,6 +221,43 @@ def q_pack_files(spark, sf):
         "doc_id", "size", "cum_bytes", "file_no", "dir", "file")
 
 
+def q_pack_write(spark, sf):
+    """SNK-4 write: the packed files written (one folder per dir / file) and
+    read back: documents, lines and bytes per output file."""
+    d = documents(spark, sf)
+    blocks = d.select("doc_id", sink.doc_block("doc_id", "source", "text", "https://example.org/wiki").alias("block"))
+    sized = blocks.withColumn("size", F.octet_length("block"))
+    packed = sink.file_numbers(sink.running_total(sized, "doc_id", "size", block_rows=1000),
+                               "cum_bytes", "size", PACK_CAP)
+    out = scratch_path(spark, "packed")
+    sink.write_packed(packed, out, order_col="doc_id")
+    back = spark.read.text(out)            # partition discovery: dir, file
+    return back.groupBy("dir", "file").agg(F.count_if(F.col("value").startswith("<doc ")).alias("n_docs"),
+                                           F.count(F.lit(1)).alias("n_lines"),
+                                           F.sum(F.octet_length("value")).alias("n_bytes"))
+
+
+def q_class_folders(spark, sf):
+    """JOIN-5 + SNK-6: the selected files' texts written into one folder per
+    class (the source folder), read back: lines and bytes per class."""
+    sel = first_n_per_group(listing(spark, sf), "folder", "path", 9).select("doc_id")
+    rows = semi_join(documents(spark, sf), sel, "doc_id").select(F.col("text").alias("value"),
+                                                                  F.col("source").alias("class"))
+    out = scratch_path(spark, "classes")
+    sink.write_folders(rows, out, "class")
+    back = spark.read.text(out)
+    return back.groupBy("class").agg(F.count(F.lit(1)).alias("n_lines"),
+                                     F.sum(F.octet_length("value")).alias("n_bytes"))
+
+
+def q_url_list(spark, sf):
+    """SNK-8 -> FLT-14: the selected dump URLs written as a list and read back."""
+    urls = q_size_list(spark, sf).select("url")
+    out = scratch_path(spark, "urls")
+    sink.write_list(urls, out, "url")
+    return src.text_list(spark, out).select(F.col("value").alias("url"))
+
+
 def q_folder_concat(spark, sf):
     """SNK-5 + AGG-14: all texts of a folder into one folder output (partitioned
     write, no shuffle for the grouping), read back: lines and bytes per folder."""
@@ -249,6 +286,9 @@ QUERIES = {
     "q_manifest": q_manifest,
     "q_pack_files": q_pack_files,
     "q_folder_concat": q_folder_concat,
+    "q_pack_write": q_pack_write,
+    "q_class_folders": q_class_folders,
+    "q_url_list": q_url_list,
 }
 
 # ---------------------------------------------------------------------------
@@ -306,6 +346,18 @@ ORACLE = {
         SELECT doc_id, size, cum_bytes, file_no,
                chr(65 + CAST(floor(file_no / 100 / 26) % 26 AS INTEGER)) || chr(65 + CAST(floor(file_no / 100) % 26 AS INTEGER)) AS dir,
                printf('wiki_%02d', CAST(file_no % 100 AS INTEGER)) AS file FROM f""",
+    "q_pack_write": f"""WITH b AS (SELECT doc_id, {_BLOCK_LEN} AS size, len(string_split(text, chr(10))) + 4 AS n_lines FROM documents),
+        c AS (SELECT *, sum(size) OVER (ORDER BY doc_id) AS cum FROM b),
+        f AS (SELECT *, CAST(floor((cum - size) / {PACK_CAP}) AS BIGINT) AS file_no FROM c)
+        SELECT chr(65 + CAST(floor(file_no / 100 / 26) % 26 AS INTEGER)) || chr(65 + CAST(floor(file_no / 100) % 26 AS INTEGER)) AS dir,
+               printf('wiki_%02d', CAST(file_no % 100 AS INTEGER)) AS file, count(*) AS n_docs,
+               CAST(sum(n_lines) AS BIGINT) AS n_lines, CAST(sum(size - (n_lines - 1)) AS BIGINT) AS n_bytes
+        FROM f GROUP BY file_no""",
+    "q_class_folders": f"""SELECT source AS class, count(*) AS n_lines, CAST(sum(strlen(line)) AS BIGINT) AS n_bytes
+        FROM (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents
+              WHERE doc_id IN (SELECT doc_id FROM {_FIRST9})) GROUP BY source""",
+    "q_url_list": f"""SELECT 'https://dumps.example.org/' || lang || 'wiki/latest/' || lang || 'wiki-latest-pages-articles.xml.bz2' AS url
+        FROM {_SIZES} WHERE ok AND size / 1048576 <= {SIZE_THRESHOLD_MB}""",
     "q_folder_concat": """SELECT source AS folder, count(*) AS n_lines, CAST(sum(strlen(line)) AS BIGINT) AS n_bytes
         FROM (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY source""",
 }

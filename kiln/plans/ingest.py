@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kiln.plans import sqlfrag as S
 from kiln.plans.common import documents
 from kiln.session import read_table, scratch_path
 from kiln.sinks import files as sink
@@ -60,6 +61,19 @@ def q_doc_roundtrip(spark, sf):
                        "corrupt", "body")
 
 
+EXCLUDED = ["es"]
+
+
+def q_language_corpus(spark, sf):
+    """SRC-3 (J4 loader) + FEA-2 + FLT-5: one scan of all language folders,
+    language from the folder, listed languages excluded, records cleaned."""
+    d = documents(spark, sf)
+    out = scratch_path(spark, "langs")
+    blocks = d.select(sink.doc_block("doc_id", "source", "text", URL_BASE + "wiki").alias("block"), "lang")
+    sink.write_doc_blocks(blocks, out, partition_by=["lang"])
+    return src.language_corpus(spark, f"{out}/*/*", exclude=EXCLUDED, lang_level=1)
+
+
 # The site info block of the generated dump.
 SITEINFO = """<mediawiki xml:lang="en">
   <siteinfo>
@@ -137,6 +151,17 @@ def q_siteinfo(spark, sf):
         "base", F.col("n._key").alias("key"), F.coalesce(F.col("n._VALUE"), F.lit("")).alias("name"))
 
 
+def q_dump_templates(spark, sf):
+    """SRC-8 -> SRC-10 + FLT-16 + TXT-30 -> SNK-7 (parquet) -> SRC-17: the
+    template dictionary of the dump, saved and loaded again."""
+    from kiln.plans.markup import template_body
+    pages = wiki.first_by_id(wiki.dump_pages(spark, write_dump(spark, sf, compression=None)))
+    defs = wiki.template_pages(pages).select("title", template_body(F.col("text")).alias("body"))
+    out = scratch_path(spark, "templates")
+    defs.write.mode("overwrite").parquet(out)                # SNK-7
+    return spark.read.parquet(out)                           # SRC-17
+
+
 def write_medline(spark, sf) -> str:
     """conversations as MEDLINE citations: turn 0 = title, turns 1-2 =
     AbstractText elements, turn 3 = OtherAbstract (missing turns -> missing
@@ -171,9 +196,13 @@ QUERIES = {
     "q_dump_redirects": q_dump_redirects,
     "q_siteinfo": q_siteinfo,
     "q_medline": q_medline,
+    "q_language_corpus": q_language_corpus,
+    "q_dump_templates": q_dump_templates,
 }
 
 _URI = "'https://example.org/' || lang || '/' || doc_id"
+_DOCREC = ("'<doc id=\"' || doc_id || '\" url=\"https://example.org/wiki?curid=' || doc_id || '\" title=\"' || source "
+           "|| '\">' || chr(10) || source || chr(10) || chr(10) || text || chr(10)")
 _TITLE = "source || ' ' || doc_id"
 ORACLE = {
     "q_wet_roundtrip": rf"SELECT {_URI} AS URI, regexp_replace(text, '[\s\x{{0b}}]+$', '') AS text FROM documents",
@@ -187,6 +216,9 @@ ORACLE = {
     "q_dump_pages": f"""SELECT doc_id AS id, doc_id + 1000000 AS revid, {_TITLE} AS title, '0' AS ns, text FROM documents
         UNION ALL SELECT doc_id + 6000000, doc_id + 7000000, 'Empty ' || doc_id, '0', '' FROM documents WHERE doc_id % 11 = 0""",
     "q_dump_redirects": f"SELECT doc_id + 1000000 AS id, 'R ' || doc_id AS title, {_TITLE} AS target FROM documents",
+    "q_language_corpus": f"""SELECT {S.strip(f"regexp_replace({S.py_strip(_DOCREC)}, '<doc [^>]*>', '', 'g')")} AS fullText,
+        lang FROM documents WHERE lang NOT IN ('es')""",
+    "q_dump_templates": "SELECT 'Template:T' || doc_id AS title, '{{{1}}}' AS body FROM documents WHERE doc_id % 50 = 0",
     "q_siteinfo": """SELECT 'https://en.example.org/wiki' AS base, * FROM (VALUES ('0', ''), ('10', 'Template'),
         ('828', 'Module')) t(key, name)""",
     "q_medline": """WITH g AS (SELECT conv_id, max(text) FILTER (WHERE turn = 0) AS title,

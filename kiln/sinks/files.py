@@ -74,12 +74,13 @@ def file_numbers(df: DataFrame, cum_col: str, size_col: str, cap_bytes: int = 1
              .withColumn("file", F.format_string("wiki_%02d", (no % per_dir).cast("int")))
 
 
-def write_packed(df: DataFrame, path: str, block_col: str = "block", compression: str | None = None) -> None:
+def write_packed(df: DataFrame, path: str, block_col: str = "block", order_col: str | None = None,
+                 compression: str | None = None) -> None:
     """SNK-4 write: one output folder per (dir, file) holding that file's
-    records in order (range partitioning on the file number keeps files whole
-    and ordered)."""
-    out = (df.repartitionByRange("file_no").sortWithinPartitions("file_no", "_order")
-           if "_order" in df.columns else df.repartitionByRange("file_no"))
+    records in order.  Range partitioning on the file number keeps every file
+    in one task (equal keys share a range) and balances tasks by size."""
+    out = df.repartitionByRange("file_no")
+    out = out.sortWithinPartitions("file_no", order_col) if order_col else out
     w = out.select(block_col, "dir", "file").write.mode("overwrite").partitionBy("dir", "file")
     if compression:
         w = w.option("compression", compression)

@@ -19,8 +19,9 @@ ARTICLE_SCHEMA = StructType([StructField("fullText", StringType(), True),
 
 
 def folder_of(path_col="path", level: int = 1) -> F.Column:
-    """Name of the ``level``-th folder above the file."""
-    pattern = r"/([^/]+)" + r"/[^/]+" * level + "$"
+    """Name of the ``level``-th folder above the file (a ``key=value`` folder
+    of a partitioned write gives its value)."""
+    pattern = r"/(?:[^/=]+=)?([^/]+)" + r"/[^/]+" * level + "$"
     return F.regexp_extract(F.col(path_col), pattern, 1)
 
 
@@ -31,7 +32,10 @@ def labelled_lines(spark: SparkSession, root: str, labels: dict[str, float],
     the folder's numeric class.  Only the listed folders are scanned."""
     paths = [f"{root.rstrip('/')}/{folder}/{path_glob}" for folder in labels]
     keep = is_wiki_text_line if kind == "wiki" else is_article_text_line
-    m = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), F.lit(float(v)))])
+    def value(folder):   # a key=value folder is keyed by its value, like folder_of
+        return folder.split("=", 1)[1] if "=" in folder else folder
+
+    m = F.create_map(*[x for k, v in labels.items() for x in (F.lit(value(k)), F.lit(float(v)))])
     df = spark.read.text(paths).select(F.col("value").alias("fullText"),
                                        F.col("_metadata.file_path").alias("path"))
     return (df.filter(keep("fullText"))

@@ -93,6 +93,18 @@ def namespaces(spark: SparkSession, path: str) -> DataFrame:
         F.col("n._key").alias("key"), F.coalesce(F.col("n._VALUE"), F.lit("")).alias("name"))
 
 
+def with_extraction_totals(pages: DataFrame, name: str = "extraction_totals"):
+    """AGG-16: pages processed and template pages seen, collected as
+    observed metrics of the job that consumes the returned frame (no extra
+    pass).  Returns (frame, Observation); read ``observation.get`` after an
+    action."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    out = pages.observe(obs, F.count(F.lit(1)).alias("pages"),
+                        F.count_if(F.col("ns").isin(*TEMPLATE_NS)).alias("templates"))
+    return out, obs
+
+
 def template_pages(pages: DataFrame) -> DataFrame:
     """SRC-10/FLT-16: template and module pages (ns 10 / 828)."""
     return pages.filter(F.col("ns").isin(*TEMPLATE_NS))

@@ -180,3 +180,12 @@ def test_manifest_types_and_order(spark):
         assert False
     except ValueError:
         pass
+
+
+def test_extraction_totals_observed(spark):
+    d = scratch_path(spark, "dump")
+    _write(d, "dump.xml", DUMP.encode())
+    pages, obs = wiki.with_extraction_totals(wiki.dump_pages(spark, d))
+    n = wiki.article_pages(pages).count()
+    assert n == 4                                   # pages 1, 1 (copy), 2, 5
+    assert obs.get == {"pages": 6, "templates": 1}  # AGG-16, no extra pass
