@@ -348,31 +348,43 @@ def _title_dot(t: Column) -> Column:
     return F.when((t != "") & ~F.substring(t, -1, 1).isin("!", "?"), F.concat(t, F.lit("."))).otherwise(t)
 
 
-def compact(c) -> Column:
+def compact(c, keep_sections: bool = False) -> Column:
     """TXT-27: page text -> list of kept lines (sections, lists, residues and
     preformatted lines as in the reference's default mode).
 
-    One ``aggregate`` over the page's lines (no shuffle).  State: ``h`` a
-    heading is pending (the first text line after it is kept even when it is
-    preformatted), ``l`` the previous item line was a list item (the next text
-    line is kept whatever it looks like, Q20)."""
+    One ``aggregate`` over the page's lines (no shuffle).  State: ``pend`` the
+    pending headings (level, title) - a heading replaces its level and clears
+    deeper ones (TXT-19); the first text line after headings is kept even when
+    preformatted and, with ``keep_sections``, is preceded by the pending
+    headings in level order (SORT-2), so empty sections never appear; ``l`` the
+    previous item line was a list item (the next text line is kept whatever it
+    looks like, Q20)."""
     lines = F.filter(F.split(_c(c), "\n"), lambda x: x != "")
-    init = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("h"),
+    init = F.struct(F.array().cast("array<string>").alias("out"),
+                    F.array().cast("array<struct<lev:int,title:string>>").alias("pend"),
                     F.lit(False).alias("l"))
 
     def step(acc, line):
         k = line_kind(line)
-        out, h, l_ = acc["out"], acc["h"], acc["l"]
+        out, pend, l_ = acc["out"], acc["pend"], acc["l"]
+        h = F.size(pend) > 0
         page_title = _title_dot(F.substring(line, F.lit(3), F.greatest(F.length(line) - 4, F.lit(0))))
+        lev = F.length(F.regexp_extract(line, SECTION, 1))
+        heading = F.struct(lev.cast("int").alias("lev"), _title_dot(F.regexp_extract(line, SECTION, 2)).alias("title"))
         is_text = k.isin("R", "X", "B", "T")
         keep_after_list = is_text & l_
         keep_first = is_text & ~l_ & h & k.isin("B", "T")
         keep_plain = is_text & ~l_ & ~h & (k == "T")
+        first_out = (F.concat(out, F.transform(F.array_sort(pend), lambda p: p["title"]), F.array(line))
+                     if keep_sections else F.array_append(out, line))
         new_out = (F.when(k == "P", F.when(page_title != "", F.array_append(out, page_title)).otherwise(out))
-                   .when(keep_after_list | keep_first | keep_plain, F.array_append(out, line))
+                   .when(keep_first, first_out)
+                   .when(keep_after_list | keep_plain, F.array_append(out, line))
                    .otherwise(out))
-        new_h = F.when(k == "S", True).when(keep_first, False).otherwise(h)
+        new_pend = (F.when(k == "S", F.array_append(F.filter(pend, lambda p: p["lev"] < lev), heading))
+                    .when(keep_first, F.array().cast("array<struct<lev:int,title:string>>"))
+                    .otherwise(pend))
         new_l = F.when(k == "S", False).when(k == "L", True).when(keep_after_list, False).otherwise(l_)
-        return F.struct(new_out.alias("out"), new_h.alias("h"), new_l.alias("l"))
+        return F.struct(new_out.alias("out"), new_pend.alias("pend"), new_l.alias("l"))
 
     return F.aggregate(lines, init, step, lambda acc: acc["out"])

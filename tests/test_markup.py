@@ -60,3 +60,15 @@ def test_residual_markup_counts(spark):
     deep = "{{" * 7 + "x" + "}}" * 7
     out = run(spark, lambda c: M.residual_markup(M.clean_wiki(c)), [deep, "plain"])
     assert out[0] > 0 and out[1] == 0
+
+
+SECTIONS = [
+    ("intro\n== A ==\ntext a\n== B ==\n=== C ===\n== D ==\nd text", ["intro", "A.", "text a", "D.", "d text"]),
+    ("== Why? ==\n=== Sub ===\nx", ["Why?", "Sub.", "x"]),      # level order, '?' keeps no dot
+    ("== A ==\n=== B ===\n== C ==\ny", ["C.", "y"]),             # deeper pending heading cleared
+]
+
+
+@pytest.mark.parametrize("src,expected", SECTIONS)
+def test_compact_keep_sections(spark, src, expected):
+    assert run(spark, lambda c: M.compact(c, keep_sections=True), [src]) == [expected]
