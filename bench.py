@@ -35,7 +35,8 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_spark(f"local[{cpus}]", app="kiln-bench", shuffle_partitions=int(cpus) * 2,
+    spark = get_spark(f"local[{cpus}]", app="kiln-bench",
+                      shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", int(cpus) * 2)),
                       conf={"spark.driver.memory": "16g"})
     qs = registry.queries()
     names = [n for n in HEADLINE if n in qs]
