@@ -101,7 +101,10 @@ def fit(docs: DataFrame, label_col: str, tokens_col: str, alpha: float = 1.0,
         vocab_terms = vocabulary.select("term")
     else:
         vocab_terms = counts.select("term").distinct()
-    counts = counts.persist()
+    # Hash the count table on the term once and keep it: the vocabulary size
+    # (distinct terms) and the scoring join on the term then reuse this
+    # partitioning instead of shuffling the model table again.
+    counts = counts.repartition("term").persist()
     index = label_index(docs, label_col)
     totals = counts.groupBy(label_col).agg(F.sum("cnt").alias("n_terms"))
     meta = (index.join(totals, label_col, "left")
