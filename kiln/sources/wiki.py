@@ -8,7 +8,7 @@ whole dump one partition (multiLine) or break pages that span lines.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_END = "</page>\n"
