@@ -2,7 +2,7 @@
 
 Every step is a native regex or array expression on the text column, so a
 page never leaves the JVM and whole-stage code generation applies to the
-regex steps.  The steps are declared as data (:data:`HTML_STEPS`,
+regex steps.  The steps are declared as data (:func:`html_steps`,
 :func:`wiki_steps`) so the same chain can be checked against another engine.
 
 Nested markup (``{{…}}``, tables, dropped elements, links) is removed
