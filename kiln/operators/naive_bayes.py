@@ -101,10 +101,11 @@ def fit(docs: DataFrame, label_col: str, tokens_col: str, alpha: float = 1.0,
         vocab_terms = vocabulary.select("term")
     else:
         vocab_terms = counts.select("term").distinct()
-    # Hash the count table on the term once and keep it: the vocabulary size
-    # (distinct terms) and the scoring join on the term then reuse this
-    # partitioning instead of shuffling the model table again.
-    counts = counts.repartition("term").persist()
+    # The count table feeds class totals, vocabulary size and weights: keep it.
+    # (Hashing it on the term first would let the scoring join skip the model
+    # side's shuffle; measured slower at the tested scale, where AQE broadcasts
+    # the model, so it is not done.)
+    counts = counts.persist()
     index = label_index(docs, label_col)
     totals = counts.groupBy(label_col).agg(F.sum("cnt").alias("n_terms"))
     meta = (index.join(totals, label_col, "left")
