@@ -4,9 +4,10 @@
 The reference loads and scores crawl files in batch; this is the same
 operator chain over ``readStream``.  Scoring needs a join with the weight
 table and a per-document aggregation, so every micro-batch runs the batch
-plan through ``foreachBatch`` and appends to a parquet table; the query's
-checkpoint (in the shared folder of ``spark.checkpoint.dir``) makes a
-restarted job resume where it stopped without scoring a file twice.
+plan through ``foreachBatch`` and writes its own ``batch_id=`` folder of a
+parquet table (idempotent on replay); the query's checkpoint (in the shared
+folder of ``spark.checkpoint.dir``) makes a restarted job resume where it
+stopped.
 """
 
 from __future__ import annotations
@@ -40,8 +41,9 @@ def start_scoring(spark: SparkSession, model: nb.LongNaiveBayesModel, input_dir:
     checkpoint = checkpoint or scratch_path(spark, "crawl-stream-checkpoint")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        score_batch(model, batch).withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("append").parquet(output_dir)
+        # one folder per micro-batch, overwritten: a batch replayed after a
+        # failure replaces its own output instead of appending it twice
+        score_batch(model, batch).write.mode("overwrite").parquet(f"{output_dir}/batch_id={batch_id}")
 
     w = crawl_stream(spark, input_dir).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if trigger_once:
