@@ -117,3 +117,18 @@ def test_vocabulary_restricted_nb_equals_mllib(spark, sf):
         cv2.transform(train).withColumn("label", m[F.col("lang")]))
     theirs = {r.doc_id: names[r.prediction] for r in ml.transform(cv2.transform(test)).collect()}
     assert ours == theirs
+
+
+def test_probe_rows_scored(spark, sf):
+    """SRC-15 + MOD-7: in-line probe sentences scored with the language model."""
+    from kiln.functions.text import strip_punctuation, tokenize
+    from kiln.sources.text import inline_rows
+    d = doc_tokens(spark, sf)
+    model = nb.fit(d.filter("is_train"), "lang", "tokens")
+    probes = inline_rows(spark, [(1, "The weather is nice and the sea is calm."),
+                                 (2, "Le chat dort sur la chaise près de la fenêtre."),
+                                 (3, "≈57.7 units, mostly (n=18) — assessed."),
+                                 (4, "")], "id int, fullText string")
+    toks = probes.select("id", tokenize(strip_punctuation("fullText")).alias("tokens"))
+    out = {r.id: r.predicted_label for r in nb.predict(model, toks, "id", "tokens").collect()}
+    assert set(out) == {1, 2, 3, 4} and set(out.values()) <= set(model.labels)
