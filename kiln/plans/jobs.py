@@ -43,10 +43,12 @@ def line_classes(spark: SparkSession, folders: dict[str, tuple[str, float]], one
     """J1 / J2 / J3: ``folders`` maps a folder to (kind, class), kind ``wiki``
     (FLT-1) or ``article`` (FLT-2); every line is a row.  TF-IDF + NB (J1),
     with one-vs-rest (J2), or n-gram counts + NB (J3, ``ngram_orders``)."""
-    parts = []
+    # one scan per (root, line filter): the class comes from the folder name
+    groups: dict[tuple[str, str], dict[str, float]] = {}
     for folder, (kind, cls) in folders.items():
         root, name = folder.rstrip("/").rsplit("/", 1)
-        parts.append(src.labelled_lines(spark, root, {name: cls}, kind=kind))
+        groups.setdefault((root, kind), {})[name] = cls
+    parts = [src.labelled_lines(spark, root, labels, kind=kind) for (root, kind), labels in groups.items()]
     rows = union_all(parts, src.LINE_SCHEMA, spark)
     # stable split key: equal lines of one class fall on the same side
     rows = rows.withColumn("_key", F.xxhash64("fullText", "category"))
