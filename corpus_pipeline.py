@@ -1,8 +1,66 @@
-"""Corpus pipeline: documents to training shards (stages are added as their operators land)."""
+"""The corpus pipeline: documents to training shards in five stages.
 
-STAGES: list = []
-ORACLE_SQL = None
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written
+as Parquet and read again as the next stage's ``docs``; all but the last return
+the columns they got.
 
+1. ``toxicity``: texts that the severity model rejects go.
+2. ``near_duplicates``: of each SimHash component one document stays, the one with
+   the smallest id.
+3. ``decontamination``: documents that contain a benchmark passage go.
+4. ``mixing``: all rows stay, in files that follow the Pfair mix of the sources.
+5. ``training_order``: token-id shards; returns their index, one row per sequence.
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+Rows without a ``doc_id`` pass stages 1 to 4 under their text alone: they are
+scored and searched like others, and stay in stage 2.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kiln.llm import decontaminate, mixing, simhash, toxicity, training_order
+from kiln.llm.common import materialize
+from kiln.session import read_table, scratch_path
+
+ORACLE_SQL = None     # fitted models, SimHash and shards have no SQL form
+
+
+def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.keep_clean(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = materialize(simhash.near_duplicates(docs), "near-duplicates")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    # rows that repeat an id: one of them stays
+    twice = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    if twice.isEmpty():
+        return left
+    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs)
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return training_order.write_shards(docs, scratch_path(spark, "training-order"))
+
+
+STAGES = [("toxicity", clean_language), ("near_duplicates", one_of_each), ("decontamination", without_benchmark),
+          ("mixing", mixed_sources), ("training_order", shards)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each one's result written to the shared folder before the next."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
