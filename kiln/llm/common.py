@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.dataset as ds
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +13,8 @@ from kiln.session import scratch_path
 # Rows per Arrow batch handed to Python: texts are long, so the default of
 # 10,000 rows could fill a worker.
 ARROW_ROWS = 1000
+# Scan partitions whose side rows share a folder.
+SCAN_GROUP = 64
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -27,6 +32,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_by_scan(df: DataFrame, order: list[str], name: str) -> str:
+    """Write rows that belong to partitions of a scan (column ``_scan``), in
+    ``order``, to a folder of the shared file system; a later pass over the same
+    scan reads those of its own partition with :func:`read_by_scan`, so the
+    scanned texts need not move."""
+    path = scratch_path(df.sparkSession, name)
+    (df.withColumn("_group", F.floor(F.col("_scan") / SCAN_GROUP).cast("int")).repartition("_scan")
+     .sortWithinPartitions("_scan", *order).write.partitionBy("_group").parquet(path))
+    return path
+
+
+def read_by_scan(path: str, scan: int, schema: pa.Schema, order: list[str]) -> pa.Table:
+    """Inside a task: the side rows of scan partition ``scan``, in ``order``."""
+    store, root = fs.FileSystem.from_uri(path)
+    folder = f"{root}/_group={scan // SCAN_GROUP}"
+    if store.get_file_info(folder).type != fs.FileType.Directory:
+        return schema.empty_table()
+    table = ds.dataset(folder, filesystem=store, format="parquet").to_table(columns=schema.names, filter=ds.field("_scan") == scan)
+    return table.cast(schema).sort_by([(c, "ascending") for c in order])
+
+
 def range_parts(df: DataFrame, order: list, parts: int | None = None) -> DataFrame:
     """``df`` cut into key ranges: adds ``_part`` (0, 1, ... in key order) and is
     written once, so that the cut is the same however often it is read.  Rows

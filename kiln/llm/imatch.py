@@ -6,8 +6,8 @@ hash.  Only terms whose inverse document frequency lies in a band count
 documents): very common terms say nothing, very rare ones are noise.  A text's
 distinct terms in the band are sorted and hashed once for the whole lexicon and
 once for each of several seeded random subsets of it, from two thirds of the
-lexicon down to a hundredth: a large subset changes with any edit, a small one
-survives most.  The fingerprint is the sequence of these hashes; the likeness of
+lexicon down to a thousandth: a large subset changes with any edit, a small one
+survives most, so that the share of equal ones follows the share of equal terms.  The fingerprint is the sequence of these hashes; the likeness of
 two fingerprints is the share of equal hashes among the subsets that are not
 empty for both.
 
@@ -34,7 +34,8 @@ from kiln.llm.common import materialize
 
 RARE, COMMON = 0.001, 0.1
 # Share of the lexicon in each random subset after the whole one.
-KEEP = (2 / 3, 2 / 3, 1 / 3, 1 / 5, 1 / 8, 1 / 12, 1 / 20, 1 / 30, 1 / 40, 1 / 60, 1 / 100)
+KEEP = (2 / 3, 2 / 3, 1 / 3) + (1 / 64,) * 8 + (1 / 256,) * 8 + (1 / 1024,) * 8
+SMALL = 1 / 16        # subsets up to this share are looked up among their own terms only
 LEXICON_ROWS = 4_000_000
 SEGMENTS = 256
 ROWS_PER_PART = 5_000
@@ -69,7 +70,7 @@ def lexicon(docs: DataFrame, keep=KEEP, rare: float = RARE, common: float = COMM
     return materialize(band.select("h", own.alias("code")).union(mark), "lexicon")
 
 
-def _with_codes(df: DataFrame, keys: list[str], arrays: list[str], info: list[str], words: DataFrame) -> DataFrame:
+def _with_codes(df: DataFrame, keys: list[str], arrays: list[str], info: list[str], words: DataFrame, keep) -> DataFrame:
     """One row per ``keys`` again: ``info`` as it was, and for each column of
     ``arrays`` (term hashes) the sorted codes of those in the lexicon.  ``df`` is
     partitioned on the first key, so nothing but the lexicon moves."""
@@ -83,17 +84,19 @@ def _with_codes(df: DataFrame, keys: list[str], arrays: list[str], info: list[st
     found = flat.groupBy(*keys).agg(
         F.first("_info", ignorenulls=True).alias("_info"),
         *[F.collect_list(F.when((F.col("_kind") == i) & (F.col("code") != 0), F.col("code"))).alias(a) for i, a in enumerate(arrays)])
-    return found.select(*keys, *[F.col("_info")[c].alias(c) for c in info], *[F.sort_array(a).alias(a) for a in arrays])
+    found = found.select(*keys, *[F.col("_info")[c].alias(c) for c in info], *[F.sort_array(a).alias(a) for a in arrays])
+    small = sum(1 << j for j, share in enumerate(keep, 1) if share <= SMALL)
+    return found.select("*", *[F.filter(a, lambda c: c.bitwiseAND(F.lit(small)) != 0).alias(f"{a}_few") for a in arrays])
 
 
-def _hashes(codes: str, every, bits: int):
+def _hashes(codes: str, every, keep):
     """The fingerprint of a sorted array of codes as an array of longs."""
-    def bit(j):
-        h = F.xxhash64(F.filter(codes, lambda c: c.bitwiseAND(F.lit(1 << j)) != 0))
+    def subset(j, share):
+        h = F.xxhash64(F.filter(f"{codes}_few" if share <= SMALL else codes, lambda c: c.bitwiseAND(F.lit(1 << j)) != 0))
         return F.when(h == EMPTY, F.lit(0).cast("long")).otherwise(h)
 
     whole = F.when(F.size(codes) > 0, F.xxhash64(codes)).when(every == EMPTY, F.lit(0).cast("long")).otherwise(every)
-    return F.array(whole, *[bit(j) for j in range(1, bits)])
+    return F.array(whole, *[subset(j, share) for j, share in enumerate(keep, 1)])
 
 
 def likeness(a, b):
@@ -105,8 +108,8 @@ def likeness(a, b):
 
 
 def text_of(hashes):
-    """Fingerprint as text: 16 hex digits per hash."""
-    return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
+    """Fingerprint as text: 8 hex digits per hash."""
+    return F.array_join(F.transform(hashes, lambda h: F.lower(F.right(F.lpad(F.hex(h), 16, "0"), F.lit(8)))), "")
 
 
 def in_order(docs: DataFrame) -> DataFrame:
@@ -134,7 +137,6 @@ def fingerprints_with_edits(docs: DataFrame, keep=KEEP) -> DataFrame:
     edited_sha256, own, edited (arrays of hashes), near_edited, near_next."""
     words = lexicon(docs, keep)
     words = F.broadcast(words) if words.count() <= LEXICON_ROWS else words
-    bits = len(keep) + 1
     base = in_order(docs)
     order = [F.col("doc_id").desc_nulls_last(), F.col("_tie")]
 
@@ -148,8 +150,8 @@ def fingerprints_with_edits(docs: DataFrame, keep=KEEP) -> DataFrame:
              .where(F.col("doc_id").eqNullSafe(F.col("_id"))).groupBy("_part").agg(F.min("text").alias("text")))
     heads = heads.withColumn("_own", term_hashes("text"))
     heads = heads.withColumn("_all", F.xxhash64(F.sort_array("_own")))
-    heads = _with_codes(heads, ["_part"], ["_own"], ["text", "_all"], words)
-    heads = heads.select("_part", F.col("text").alias("_head"), _hashes("_own", F.col("_all"), bits).alias("_head_own"))
+    heads = _with_codes(heads, ["_part"], ["_own"], ["text", "_all"], words, keep)
+    heads = heads.select("_part", F.col("text").alias("_head"), _hashes("_own", F.col("_all"), keep).alias("_head_own"))
     edge = materialize(heads.join(follow, "_part").select(F.col("_before").alias("_part"), "_head", "_head_own"), "heads")
 
     w = Window.partitionBy("_part").orderBy(*order)
@@ -163,9 +165,9 @@ def fingerprints_with_edits(docs: DataFrame, keep=KEEP) -> DataFrame:
     rows = rows.select("_part", "_row", "doc_id", "n_chars", F.sha2(F.col("_changed").cast("binary"), 256).alias("edited_sha256"),
                        term_hashes("text").alias("_own"), term_hashes("_changed").alias("_edit"))
     rows = rows.withColumns({"_all": F.xxhash64(F.sort_array("_own")), "_all_edit": F.xxhash64(F.sort_array("_edit"))})
-    rows = _with_codes(rows, ["_part", "_row"], ["_own", "_edit"], ["doc_id", "n_chars", "edited_sha256", "_all", "_all_edit"], words)
-    rows = rows.select("_part", "_row", "doc_id", "n_chars", "edited_sha256", _hashes("_own", F.col("_all"), bits).alias("own"),
-                       _hashes("_edit", F.col("_all_edit"), bits).alias("edited"))
+    rows = _with_codes(rows, ["_part", "_row"], ["_own", "_edit"], ["doc_id", "n_chars", "edited_sha256", "_all", "_all_edit"], words, keep)
+    rows = rows.select("_part", "_row", "doc_id", "n_chars", "edited_sha256", _hashes("_own", F.col("_all"), keep).alias("own"),
+                       _hashes("_edit", F.col("_all_edit"), keep).alias("edited"))
     rows = rows.withColumn("_lead", F.lead("own").over(Window.partitionBy("_part").orderBy("_row")))
     ends = edge.select(F.col("_part").alias("_p"), "_head_own")
     rows = rows.join(ends, (F.col("_part") == F.col("_p")) & F.col("_lead").isNull(), "left")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import decontaminate, imatch, licenses, mixing, secrets, simhash, toxicity, training_order, warc
+from kiln.llm import decontaminate, imatch, licenses, mixing, secrets, simhash, suffix, toxicity, training_order, warc
 from kiln.session import read_table, scratch_path
 
 
@@ -31,6 +31,12 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(read_table(spark, sf_dir, "documents"))
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.without_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.write_shards(read_table(spark, sf_dir, "documents"), scratch_path(spark, "training-order"))
 
@@ -56,6 +62,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_imatch, op2_simhash_near_dedup, op3_warc_bundles, op4_source_mix, op6_training_order, op7_license_scan,
+    op1_imatch, op2_simhash_near_dedup, op3_warc_bundles, op4_source_mix, op5_repeated_passages, op6_training_order, op7_license_scan,
     op8_toxicity, op9_decontamination, op10_secret_scan)}
 ORACLE: dict[str, str] = {}

@@ -37,15 +37,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.dataset as ds
 import tiktoken
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import materialize, running_offsets, small_batches
-from kiln.session import scratch_path
+from kiln.llm.common import materialize, read_by_scan, running_offsets, small_batches, write_by_scan
 
 LENGTH = 2048                 # tokens of a sequence
 SHARD = 4096                  # sequences of a shard
@@ -54,7 +52,6 @@ ROUNDS = 6
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
 CACHED = 400_000              # words whose ids a worker keeps
-GROUP = 64                    # scan partitions whose offsets share a folder
 
 # Fixed value: the vocabulary's split pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -155,11 +152,9 @@ def tokenizer(vocabulary: bytes) -> Tokenizer:
 
 # ---- Spark ---------------------------------------------------------------------
 
-def _offset_file(folder: str, part: int, rows: int) -> tuple[list, list]:
+def _known(folder: str, part: int, rows: int) -> tuple[list, list]:
     """Ids and stream offsets of the documents of a scan partition, in its order."""
-    store, root = fs.FileSystem.from_uri(folder)
-    table = ds.dataset(f"{root}/_group={part // GROUP}", filesystem=store, format="parquet").to_table(
-        columns=["_row", "doc_id", "_offset"], filter=ds.field("_scan") == part).sort_by("_row")
+    table = read_by_scan(folder, part, _OFFSETS, ["_row"])
     if table["_row"].to_pylist() != list(range(table.num_rows)) or table.num_rows < rows:
         raise ValueError("the input lists other rows than before; store it first")
     return table["doc_id"].to_pylist(), table["_offset"].to_pylist()
@@ -192,10 +187,7 @@ def write_shards(docs: DataFrame, folder: str, key: str = KEY, length: int = LEN
     total = counts.agg(F.sum("_n")).first()[0] or 0
     n = -(-total // length)
     order = running_offsets(counts, ["doc_id", "_tie", "_scan", "_row"], F.col("_n"), "_offset")
-    places = scratch_path(spark, "token-offsets")
-    (order.withColumn("_group", F.floor(F.col("_scan") / GROUP).cast("int"))
-     .select("_group", "_scan", "_row", "doc_id", "_offset").repartition("_scan").sortWithinPartitions("_scan", "_row")
-     .write.partitionBy("_group").parquet(places))
+    places = write_by_scan(order.select("_scan", "_row", "doc_id", "_offset"), ["_row"], "token-offsets")
 
     def pieces(batches):
         encode, part, at = tokenizer(shared.value).ids, TaskContext.get().partitionId(), 0
@@ -203,7 +195,7 @@ def write_shards(docs: DataFrame, folder: str, key: str = KEY, length: int = LEN
         for b in batches:
             ids = b.column(0).to_pylist()
             if known is None:
-                known = _offset_file(places, part, len(ids))
+                known = _known(places, part, len(ids))
             out = []
             for k, (i, text) in enumerate(zip(ids, b.column(1).to_pylist(), strict=True)):
                 if at + k >= len(known[0]) or known[0][at + k] != i:
@@ -275,6 +267,7 @@ def write_shards(docs: DataFrame, folder: str, key: str = KEY, length: int = LEN
 
 
 INDEX = ("slot long, sequence long, shard long, byte_offset long, n_tokens int, doc_ids array<long>, tokens_sha256 string")
+_OFFSETS = pa.schema([("_row", pa.int64()), ("doc_id", pa.int64()), ("_offset", pa.int64())])
 _INDEX = pa.schema([("slot", pa.int64()), ("sequence", pa.int64()), ("shard", pa.int64()), ("byte_offset", pa.int64()),
                     ("n_tokens", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("tokens_sha256", pa.string())])
 
