@@ -198,47 +198,60 @@ class RunIndex:
             row = self.back(row)
 
 
+def _ordered(high: np.ndarray, index: np.ndarray, bits: int, free: int) -> tuple[np.ndarray, np.ndarray]:
+    """``index`` in the order of ``high``, and where a new value begins; sorted as
+    one number where both fit (``free`` bits left beside ``bits`` of the index)."""
+    if bits <= free:
+        both = np.sort((high << np.uint64(bits)) | index.astype(np.uint64))
+        high, index = both >> np.uint64(bits), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    else:
+        turn = np.argsort(high)
+        high, index = high[turn], index[turn]
+    return index, np.append(True, high[1:] != high[:-1])
+
+
 def _suffixes(text: np.ndarray, stop: np.ndarray):
     """Sorted suffixes, their ranks, and whether each shares LENGTH bytes with
     the one before it; ranks are doubled in length until all differ."""
-    n = len(text)
-    places = np.arange(n)
+    n, depth = len(text), 5
+    places, bits = np.arange(n), int(n).bit_length()
     left = stop - places                                           # bytes before the end mark
     key = np.zeros(n, np.uint64)
-    for k in range(7):
+    for k in range(depth):
         byte = text[np.minimum(places + k, n - 1)].astype(np.uint64)
         key = (key << np.uint64(8)) | np.where(left > k, byte, np.uint64(0))
-    key = (key << np.uint64(8)) | np.minimum(left, 7).astype(np.uint64)
-    order = np.argsort(key)
-    key = key[order]
-    new = np.append(True, key[1:] != key[:-1])
-    marks = int(np.searchsorted(key, 1))                           # only end marks have key 0; they go by segment
-    order[:marks], new[:marks] = np.sort(order[:marks]), True
+    key = (key << np.uint64(3)) | np.minimum(left, depth).astype(np.uint64)
+    order, new = _ordered(key, places, bits, 64 - 8 * depth - 3)
+    marks = np.flatnonzero(left == 0)                              # the smallest; they go by segment
+    order[:len(marks)], new[:len(marks)] = marks, True
+    new[len(marks):len(marks) + 1] = True
+    head = np.maximum.accumulate(np.where(new, places, 0))         # rank of each row
     rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(new, places, 0))
-    depth, seen = 7, None
+    rank[order] = head
+    slots, seen = places, None
     while True:
         if depth * 2 > LENGTH and seen is None:
-            # LENGTH bytes are equal where two overlapping stretches are
-            seen = rank.copy(), np.minimum(places + LENGTH - depth, stop)
-        head = rank[order]
+            seen = rank.copy(), LENGTH - depth
+        # rows that still equal a neighbour
         tied = np.append(head[1:] == head[:-1], False)
         tied[1:] |= tied[:-1].copy()
-        slots = np.flatnonzero(tied)
+        slots, head = slots[tied], head[tied]
         if not len(slots):
             break
         sub = order[slots]
-        pair = (rank[sub].astype(np.uint64) << np.uint64(32)) | rank[np.minimum(sub + depth, stop[sub])].astype(np.uint64)
-        turn = np.argsort(pair)
-        sub, pair = sub[turn], pair[turn]
+        pair = (head.astype(np.uint64) << np.uint64(bits)) | rank[np.minimum(sub + depth, stop[sub])].astype(np.uint64)
+        sub, new = _ordered(pair, sub, bits, 64 - 2 * bits)
         order[slots] = sub
-        new = np.append(True, pair[1:] != pair[:-1])
-        rank[sub] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
+        head = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
+        rank[sub] = head
         depth *= 2
-    part, there = seen or (rank, places)     # all differ before that length
-    a, b = order[1:], order[:-1]
-    same = (left[a] >= LENGTH) & (left[b] >= LENGTH) & (part[a] == part[b]) & (part[there[a]] == part[there[b]])
-    return order, rank, same
+    if seen is None:                                               # all differ before that length
+        return order, rank, np.zeros(n - 1, bool)
+    # LENGTH bytes are equal where two overlapping stretches are
+    part, further = seen
+    own, there = part[order], part[np.minimum(order + further, n - 1)]
+    whole = left[order] >= LENGTH
+    return order, rank, whole[1:] & whole[:-1] & (own[1:] == own[:-1]) & (there[1:] == there[:-1])
 
 
 # ---- Spark ---------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 ``P(grade <= k) = sigmoid(threshold_k - w . x)``: one weight vector shared by all
 ordered thresholds, over sparse binary features (the distinct words of a text and
-their ``PREFIX``-letter beginnings, which carry inflected forms).  A text's
+their beginnings of ``PREFIXES`` letters, which carry inflected forms).  A text's
 expected severity is the sum over k of P(grade > k); it is rejected when
 P(grade >= 1) reaches ``REJECT``.
 
@@ -12,9 +12,9 @@ than the others): the toxic training texts are cut into ``GRADES - 1`` groups by
 that number.  Grade 0 is not toxic.
 
 Fitting uses at most ``SAMPLE`` labelled rows, those with the smallest hash of
-their id (a documented bound; the driver holds their distinct words, nothing
-else of the corpus), and an L1 penalty, so that only words that tell the grades
-apart keep a weight and a long text is not rejected for its length.  Scoring
+their id (a documented bound).  Only features whose share differs between toxic and other
+texts by ``DIFFERS`` standard errors enter, under an L1 penalty, so that a long
+text is not rejected for its length.  Scoring
 runs over all documents inside their partitions, without a shuffle.
 
 Defined cases: null text is empty and scores the model's base rate; a null or
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -38,20 +38,26 @@ from kiln.llm.common import materialize, small_batches
 
 SAMPLE = 20_000      # labelled rows used for fitting, at most
 GRADES = 4
-PREFIX = 4
-LEAST = 3            # sample texts that must have a feature
-PENALTY = 2e-4
-STEPS = 300
-REJECT = 0.5
+PREFIXES = (3, 4, 5, 6)
+LEAST = 5            # sample texts that must have a feature
+DIFFERS = 3.0
+PENALTY = 1e-4
+STEPS = 400
+REJECT = 0.35        # below one half: a missed text is worse than a second look
+REMEMBERED = 400_000 # words kept in a task
 SEED = 8
 MARKER_RATIO, MARKER_TEXTS = 8.0, 5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def forms(word: str) -> list[str]:
+    """The word, and its beginnings marked by ``*``."""
+    return [word, *[word[:k] + "*" for k in PREFIXES if len(word) > k]]
+
+
 def features(text: str | None) -> set[str]:
-    """Distinct lower-cased words, and their beginnings marked by ``*``."""
-    words = set(_WORD.findall((text or "").lower()))
-    return words | {w[:PREFIX] + "*" for w in words if len(w) > PREFIX}
+    """The forms of the distinct lower-cased words."""
+    return {f for w in set(_WORD.findall((text or "").lower())) for f in forms(w)}
 
 
 @dataclass
@@ -59,10 +65,18 @@ class Model:
     """Weights by feature, and the ordered thresholds."""
     weights: dict[str, float]
     thresholds: list[float]
+    known: dict = field(default_factory=dict, repr=False)   # word: its forms that have a weight
 
     def score(self, text: str | None) -> float:
-        w = self.weights
-        return sum(w[f] for f in features(text) if f in w)
+        found: set[str] = set()
+        for w in set(_WORD.findall((text or "").lower())):
+            have = self.known.get(w)
+            if have is None:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                have = self.known[w] = tuple(f for f in forms(w) if f in self.weights)
+            found.update(have)
+        return sum(self.weights[f] for f in found)
 
     def above(self, score) -> np.ndarray:
         """P(grade > k) for each threshold k; one row per score."""
@@ -70,43 +84,46 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def grades(sets: list[set[str]], toxic: np.ndarray) -> np.ndarray:
-    """Grade of each training text, from its label and its marker words."""
-    n1, n0 = toxic.sum(), len(toxic) - toxic.sum()
-    c1, c0 = Counter(), Counter()
-    for s, t in zip(sets, toxic, strict=True):
-        (c1 if t else c0).update(f for f in s if f[-1] != "*")
-    marks = {f for f, c in c1.items() if c >= MARKER_TEXTS and c / n1 >= MARKER_RATIO * (c0[f] + 1) / (n0 + 1)}
-    count = np.array([len(s & marks) for s in sets])
+def standard_errors(having: int, bad: int, n: int, n_bad: int) -> float:
+    """Standard errors between a feature's share in toxic and in other texts."""
+    share = having / n
+    error = (share * (1 - share) * (1 / n_bad + 1 / (n - n_bad))) ** 0.5
+    return abs(bad / n_bad - (having - bad) / (n - n_bad)) / error if error else 0.0
+
+
+def grades(count: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Grade of each training text, from its label and its number of marker words."""
     cuts = np.quantile(count[toxic], np.linspace(0, 1, GRADES)[1:-1])
     return np.where(toxic, 1 + (count[:, None] > cuts[None, :]).sum(axis=1), 0)
 
 
-def fit_sample(sets: list[set[str]], toxic: np.ndarray) -> Model:
-    """The regression on the sample, by proximal steps scaled per coordinate."""
-    toxic = toxic.astype(bool)
-    if not toxic.any() or toxic.all():
+def fit_rows(counts: dict[str, tuple[int, int]], rows: list[tuple[set[str], bool]]) -> Model:
+    """The regression on the sample, by proximal steps scaled per coordinate.
+    ``counts``: texts and toxic texts with each feature that enters; ``rows``: the
+    entering features of each text, and its label."""
+    toxic = np.array([t for _, t in rows], bool)
+    n, n_bad = len(toxic), int(toxic.sum())
+    if not 0 < n_bad < n:
         return Model({}, [40.0] * (GRADES - 1))
-    y = grades(sets, toxic)
-    seen = Counter(f for s in sets for f in s)
-    names = sorted(f for f, c in seen.items() if c >= LEAST)
-    number = {f: i for i, f in enumerate(names)}
-    rows = [sorted(number[f] for f in s if f in number) for s in sets]
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.array([i for r in rows for i in r], np.int64)
-    n, w = len(y), np.zeros(len(names))
-    share = [(y > k).mean() for k in range(GRADES - 1)]
-    theta = -np.log(np.clip(share, 1e-4, 1 - 1e-4) / (1 - np.clip(share, 1e-4, 1 - 1e-4)))
-    theta = np.maximum.accumulate(theta + 1e-3 * np.arange(GRADES - 1))
+    marks = {f for f, (c, bad) in counts.items()
+             if f[-1] != "*" and bad >= MARKER_TEXTS and bad / n_bad >= MARKER_RATIO * (c - bad + 1) / (n - n_bad + 1)}
+    y = grades(np.array([len(s & marks) for s, _ in rows]), toxic)
+    number = {f: i for i, f in enumerate(sorted(counts))}
+    row = np.repeat(np.arange(n), [len(s) for s, _ in rows])
+    col = np.array([number[f] for s, _ in rows for f in sorted(s)], np.int64)
+    w = np.zeros(len(number))
+    share = np.clip([(y > k).mean() for k in range(GRADES - 1)], 1e-4, 1 - 1e-4)
+    theta = np.maximum.accumulate(np.log((1 - share) / share) + 1e-3 * np.arange(GRADES - 1))
     squares, squares_t = np.full(len(w), 1e-8), np.full(len(theta), 1e-8)
+    upper, lower = np.minimum(y, GRADES - 2), np.maximum(y, 1) - 1
     for _ in range(STEPS):
         s = np.bincount(row, weights=w[col], minlength=n)
-        up = np.where(y == GRADES - 1, 1.0, 1 / (1 + np.exp(-np.clip(theta[np.minimum(y, GRADES - 2)] - s, -40, 40))))
-        low = np.where(y == 0, 0.0, 1 / (1 + np.exp(-np.clip(theta[np.maximum(y, 1) - 1] - s, -40, 40))))
+        up = np.where(y == GRADES - 1, 1.0, 1 / (1 + np.exp(-np.clip(theta[upper] - s, -40, 40))))
+        low = np.where(y == 0, 0.0, 1 / (1 + np.exp(-np.clip(theta[lower] - s, -40, 40))))
         p = np.maximum(up - low, 1e-9)
         g = np.bincount(col, weights=((1 - up - low) / n)[row], minlength=len(w))
-        gt = (np.bincount(np.minimum(y, GRADES - 2), weights=np.where(y < GRADES - 1, -up * (1 - up) / p, 0) / n, minlength=len(theta))
-              + np.bincount(np.maximum(y, 1) - 1, weights=np.where(y > 0, low * (1 - low) / p, 0) / n, minlength=len(theta)))
+        gt = (np.bincount(upper, weights=np.where(y < GRADES - 1, -up * (1 - up) / p, 0) / n, minlength=len(theta))
+              + np.bincount(lower, weights=np.where(y > 0, low * (1 - low) / p, 0) / n, minlength=len(theta)))
         squares += g * g
         squares_t += gt * gt
         step = 0.3 / np.sqrt(squares)
@@ -117,23 +134,55 @@ def fit_sample(sets: list[set[str]], toxic: np.ndarray) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from at most ``sample`` labelled documents."""
+    """A model from at most ``sample`` labelled documents.  The tasks count the
+    sample's features; the driver gets those that enter, and each text's share of
+    them."""
     small_batches(docs.sparkSession)
     marked = (labels.where("doc_id is not null and toxic is not null")
-              .groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("_toxic"))
+              .groupBy(F.col("doc_id").cast("long").alias("_id")).agg((F.max("toxic") > 0).alias("_toxic"))
               .orderBy(F.xxhash64("_id", F.lit(SEED)), "_id").limit(sample))
-    marked = materialize(marked, "labels")
+    marked = F.broadcast(materialize(marked, "labels"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text")).join(marked, "_id")
+    # rows that share an id count once, with the smallest text
+    texts = materialize(texts.groupBy("_id").agg(F.min(F.struct("_text", "_toxic")).alias("x")).select("_id", "x._text", "x._toxic"), "labelled")
+
+    def count(batches):
+        seen, bad = Counter(), Counter()
+
+        def rows():
+            return pa.RecordBatch.from_pydict({"f": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64()),
+                                               "bad": pa.array([bad[f] for f in seen], pa.int64())})
 
-    def run(batches):
         for b in batches:
-            text = [" ".join(sorted(features(t))) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text), b.column(2)], names=["id", "features", "toxic"])
-
-    rows = (docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
-            .join(F.broadcast(marked), "_id")
-            .mapInArrow(run, "id long, features string, toxic int")
-            .groupBy("id").agg(F.min(F.struct("features", "toxic")).alias("x")).select("id", "x.*").orderBy("id").collect())
-    return fit_sample([set(r["features"].split()) for r in rows], np.array([r["toxic"] for r in rows], bool)) if rows else fit_sample([], np.zeros(0))
+            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                have = features(text)
+                seen.update(have)
+                if toxic:
+                    bad.update(have)
+            if len(seen) >= REMEMBERED:
+                yield rows()
+                seen.clear()
+                bad.clear()
+        if seen:
+            yield rows()
+
+    size = texts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("_toxic").cast("int")), F.lit(0)).alias("bad")).first()
+    if not 0 < size["bad"] < size["n"]:
+        return fit_rows({}, [])
+    share = F.col("n") / size["n"]
+    error = F.sqrt(share * (1 - share) * (1 / size["bad"] + 1 / (size["n"] - size["bad"])))
+    gap = F.abs(F.col("bad") / size["bad"] - (F.col("n") - F.col("bad")) / (size["n"] - size["bad"]))
+    counts = (texts.select("_text", "_toxic").mapInArrow(count, "f string, n long, bad long").groupBy("f")
+              .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where((F.col("n") >= LEAST) & (gap >= DIFFERS * error) & (error > 0)))
+    chosen = {r["f"]: (r["n"], r["bad"]) for r in counts.collect()}
+
+    def own(batches):
+        for b in batches:
+            text = [" ".join(sorted(f for f in features(t) if f in chosen)) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string()), b.column(2)], names=["id", "features", "toxic"])
+
+    rows = texts.select("_id", "_text", "_toxic").mapInArrow(own, "id long, features string, toxic boolean").orderBy("id").collect()
+    return fit_rows(chosen, [(set(r["features"].split()), r["toxic"]) for r in rows])
 
 
 def severity(docs: DataFrame, model: Model) -> DataFrame:
