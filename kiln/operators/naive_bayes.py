@@ -24,6 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.operators.features import by_document, label_index, term_occurrences
+from kiln.session import scratch_path
+
+# Labels whose constants the driver holds; a label column with more distinct
+# values is taken for a mistake (an id column, say) and refused.
+MAX_CLASSES = 10_000
 
 # class id of the extra "term is in the vocabulary" row per term
 VOCAB_MARK = -1
@@ -51,6 +56,9 @@ class LongNaiveBayesModel:
     # terms then carry VOCAB_MARK rows.  Otherwise a token is in the vocabulary
     # exactly when it finds a weight row, and no mark rows are needed.
     marks: bool = False
+    # how the tokens were made from text (see kiln.plans.jobs.FEATURES); scoring
+    # new text uses the same recipe
+    features: str = "words"
 
     @property
     def labels(self) -> list[str]:
@@ -68,7 +76,7 @@ class LongNaiveBayesModel:
         self.weights.write.mode("overwrite").parquet(f"{path}/weights")
         self.class_table(spark).withColumn("vocab_size", F.lit(self.vocab_size)) \
             .withColumn("alpha", F.lit(self.alpha)).withColumn("marks", F.lit(self.marks)) \
-            .coalesce(1).write.mode("overwrite").parquet(f"{path}/classes")
+            .withColumn("features", F.lit(self.features)).coalesce(1).write.mode("overwrite").parquet(f"{path}/classes")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "LongNaiveBayesModel":
@@ -76,7 +84,7 @@ class LongNaiveBayesModel:
         classes = [ClassInfo(r.label, r.idx, r.n_docs, r.n_terms, r.prior, r.log_denominator)
                    for r in cls]
         return LongNaiveBayesModel(spark.read.parquet(f"{path}/weights"), classes,
-                                   int(cls[0].vocab_size), float(cls[0].alpha), bool(cls[0].marks))
+                                   int(cls[0].vocab_size), float(cls[0].alpha), bool(cls[0].marks), cls[0].features)
 
 
 def class_counts(docs: DataFrame, label_col: str, tokens_col: str, term_col: str = "term") -> DataFrame:
@@ -93,35 +101,39 @@ def fit(docs: DataFrame, label_col: str, tokens_col: str, alpha: float = 1.0,
     ``vocabulary`` (a ``term`` column) restricts the features like a
     ``CountVectorizer`` vocabulary; default = every training term.
     ``class_prior_k`` overrides K in the prior (one-vs-rest uses 2).
-    The driver only receives K rows of class constants and one count.
+    The driver only receives K rows of class constants and one count; K is
+    bounded by :data:`MAX_CLASSES`.
     """
     counts = class_counts(docs, label_col, tokens_col)
     if vocabulary is not None:
         counts = counts.join(vocabulary.select("term"), "term", "left_semi")
-        vocab_terms = vocabulary.select("term")
-    else:
-        vocab_terms = counts.select("term").distinct()
-    # The count table feeds class totals, vocabulary size and weights: keep it.
-    # (Hashing it on the term first would let the scoring join skip the model
-    # side's shuffle; measured slower at the tested scale, where AQE broadcasts
-    # the model, so it is not done.)
-    counts = counts.persist()
+    # The count table feeds class totals, vocabulary size and weights: it is
+    # written once to the shared folder (a model outlives its executors, and
+    # nothing stays cached) and its lineage ends there.
+    spark = docs.sparkSession
+    path = scratch_path(spark, "nb-counts")
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    vocab_terms = vocabulary.select("term") if vocabulary is not None else counts.select("term").distinct()
     index = label_index(docs, label_col)
     totals = counts.groupBy(label_col).agg(F.sum("cnt").alias("n_terms"))
     meta = (index.join(totals, label_col, "left")
             .select(F.col(label_col).cast("string").alias("label"), F.col("idx").cast("int").alias("idx"),
                     F.col("n").alias("n_docs"), F.coalesce("n_terms", F.lit(0)).alias("n_terms"))
-            .orderBy("idx").collect())
+            .orderBy("idx").limit(MAX_CLASSES + 1).collect())
+    if len(meta) > MAX_CLASSES:
+        raise ValueError(f"{label_col} has more than {MAX_CLASSES} distinct labels")
     v = vocab_terms.count()
     n_total = sum(r.n_docs for r in meta)
     k = class_prior_k or len(meta)
     classes = [ClassInfo(r.label, r.idx, r.n_docs, r.n_terms,
                          math.log(r.n_docs + alpha) - math.log(n_total + k * alpha),
                          math.log(r.n_terms + v * alpha)) for r in meta]
-    idx_map = F.create_map(*[x for c in classes for x in (F.lit(c.label), F.lit(c.idx))])
     log_alpha = math.log(alpha)
-    pairs = counts.select("term", idx_map[F.col(label_col).cast("string")].alias("k"),
-                          (F.log(F.col("cnt") + alpha) - F.lit(log_alpha)).alias("w"))
+    # K rows, at most MAX_CLASSES
+    numbers = spark.createDataFrame([(c.label, c.idx) for c in classes], "_label string, k int")
+    pairs = (counts.join(F.broadcast(numbers), F.col(label_col).cast("string").eqNullSafe(F.col("_label")))
+             .select("term", "k", (F.log(F.col("cnt") + alpha) - F.lit(log_alpha)).alias("w")))
     if vocabulary is None:
         return LongNaiveBayesModel(pairs, classes, v, alpha)
     marks = vocab_terms.join(counts.select("term"), "term", "left_anti") \
@@ -129,14 +141,24 @@ def fit(docs: DataFrame, label_col: str, tokens_col: str, alpha: float = 1.0,
     return LongNaiveBayesModel(pairs.unionByName(marks), classes, v, alpha, marks=True)
 
 
+def with_row_id(df: DataFrame, out: str = "_row") -> DataFrame:
+    """A unique id per record of a file scan (partition and place in it).  Texts
+    and URIs repeat, so neither they nor their hash may stand for a record; call
+    this on the scan, before anything is shuffled."""
+    return df.withColumn(out, F.monotonically_increasing_id())
+
+
 def raw_scores(model: LongNaiveBayesModel, docs: DataFrame, id_col: str, tokens_col: str,
                keep=(), partitioned: bool = False) -> DataFrame:
     """Per document: ``scores`` array (one log-joint per class, index order).
+    ``id_col`` must be unique (:func:`with_row_id` where records have no id).
 
     Plan: documents hashed on id -> explode -> (doc, term, tf) counted inside
     the partition -> left join weights on term (AQE picks a
     broadcast when the weight table is small at run time, splits skewed hot
-    terms otherwise) -> one hash aggregation per doc with K conditional sums.
+    terms otherwise) -> classes as rows: one sum per (doc, class) that shares a
+    term, then one row per doc.  The classes of a (doc, term) are never tested
+    against each other, so the work grows with the non-zero pairs.
     """
     docs = docs if partitioned else by_document(docs, id_col)
     occ = docs.select(id_col, *keep, F.size(tokens_col).alias("_n_tok"),
@@ -144,23 +166,26 @@ def raw_scores(model: LongNaiveBayesModel, docs: DataFrame, id_col: str, tokens_
     # (doc, term, tf) inside the partition; the empty-document row has tf = 0
     tf = occ.groupBy(id_col, *keep, "_n_tok", "term").agg(F.count("term").alias("tf"))
     joined = tf.join(model.weights, "term", "left")
+    by_class = joined.groupBy(id_col, *keep, "_n_tok", "k").agg(
+        F.sum(F.col("tf") * F.col("w")).alias("s"), F.sum("tf").alias("t"))
     # in-vocabulary tokens: all tokens minus those without any weight row
     # (a mark row counts as a weight row)
-    sums = [F.sum(F.when(F.col("k").isNull(), F.col("tf")).otherwise(0)).alias("n_oov")]
-    sums += [F.sum(F.when(F.col("k") == c.idx, F.col("tf") * F.col("w"))).alias(f"s{c.idx}")
-             for c in model.classes]
-    agg = joined.groupBy(id_col, *keep, "_n_tok").agg(*sums)
+    agg = by_class.groupBy(id_col, *keep, "_n_tok").agg(
+        F.sum(F.when(F.col("k").isNull(), F.col("t")).otherwise(0)).alias("n_oov"),
+        F.map_from_entries(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "s")))).alias("found"))
     n_v = F.greatest(F.col("_n_tok"), F.lit(0)) - F.col("n_oov")
     log_alpha = math.log(model.alpha)
-    scores = F.array(*[(F.lit(c.prior) - n_v * F.lit(c.log_denominator - log_alpha)
-                        + F.coalesce(F.col(f"s{c.idx}"), F.lit(0.0)))
-                       for c in model.classes])
+    constants = F.array(*[F.struct(F.lit(c.idx).alias("k"), F.lit(c.prior).alias("prior"),
+                                   F.lit(c.log_denominator - log_alpha).alias("each")) for c in model.classes])
+    scores = F.transform(constants, lambda c: c["prior"] - n_v * c["each"]
+                         + F.coalesce(F.try_element_at(F.col("found"), c["k"]), F.lit(0.0)))
     return agg.select(id_col, *keep, scores.alias("scores"))
 
 
 def predict(model: LongNaiveBayesModel, docs: DataFrame, id_col: str, tokens_col: str,
             keep=(), partitioned: bool = False) -> DataFrame:
-    """TOP-5: arg max class (first max = smallest index on ties)."""
+    """TOP-5: arg max class (first max = smallest index on ties); one row out
+    for each row in, provided ``id_col`` is unique."""
     scored = raw_scores(model, docs, id_col, tokens_col, keep, partitioned)
     labels = F.array(*[F.lit(c.label) for c in model.classes])
     best = F.array_position(F.col("scores"), F.array_max("scores"))

@@ -15,12 +15,16 @@ from kiln.sources import crawl, text as src, wiki
 URL_BASE = "https://example.org/"
 
 
-def write_wet(spark, sf, eol="\n", compression=None) -> str:
+def write_wet(spark, sf, eol="\n", compression=None, varied=False) -> str:
     """documents as WET files: a warcinfo record, then one conversion record
-    per document (URI from language and id)."""
+    per document (URI from language and id).  ``varied``: format 1.0 or 1.1, and
+    no, one or two ``WARC-Concurrent-To`` headers, by row."""
     d = documents(spark, sf)
     uri = F.concat(F.lit(URL_BASE), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"))
-    recs = d.select(crawl.wet_record(uri, "text", "doc_id", eol=eol).alias("value"))
+    options = {} if not varied else {
+        "version": F.when(F.col("doc_id") % 2 == 0, "1.0").otherwise("1.1"),
+        "concurrent": F.slice(F.array(F.col("doc_id") + 1, F.col("doc_id") + 2), 1, (F.col("doc_id") % 3).cast("int"))}
+    recs = d.select(crawl.wet_record(uri, "text", "doc_id", eol=eol, **options).alias("value"))
     info = spark.createDataFrame([(crawl.warcinfo_record(eol),)], "value string")
     out = scratch_path(spark, "wet")
     w = info.unionByName(recs).write.mode("overwrite")
@@ -42,8 +46,9 @@ def q_wet_compat(spark, sf):
 
 def q_warc_records(spark, sf):
     """SRC-6: url, header fields and payload size of every record (gz, CRLF)."""
-    recs = crawl.warc_records(spark, write_wet(spark, sf, eol="\r\n", compression="gzip"))
+    recs = crawl.warc_records(spark, write_wet(spark, sf, eol="\r\n", compression="gzip", varied=True))
     return recs.select("url", F.col("header")["WARC-Type"].alias("warc_type"),
+                       F.col("header")["WARC-Concurrent-To"].alias("concurrent"),
                        F.col("header")["Content-Length"].cast("bigint").alias("content_length"),
                        F.size(F.map_keys("header")).alias("n_headers"),
                        F.octet_length(F.regexp_replace("payload", r"\s+$", "")).alias("payload_bytes"))
@@ -208,9 +213,11 @@ ORACLE = {
     "q_wet_roundtrip": rf"SELECT {_URI} AS URI, regexp_replace(text, '[\s\x{{0b}}]+$', '') AS text FROM documents",
     "q_wet_compat": f"SELECT {_URI} AS URI, replace(text, chr(10), '') AS text FROM documents",
     "q_warc_records": r"""SELECT 'https://example.org/' || lang || '/' || doc_id AS url, 'conversion' AS warc_type,
-            CAST(strlen(text) AS BIGINT) AS content_length, 6 AS n_headers,
+            CASE doc_id % 3 WHEN 1 THEN '<urn:uuid:' || (doc_id + 1) || '>'
+                WHEN 2 THEN '<urn:uuid:' || (doc_id + 1) || '>, <urn:uuid:' || (doc_id + 2) || '>' END AS concurrent,
+            CAST(strlen(text) AS BIGINT) AS content_length, CASE WHEN doc_id % 3 = 0 THEN 6 ELSE 7 END AS n_headers,
             CAST(strlen(regexp_replace(text, '[\s\x{0b}]+$', '')) AS INTEGER) AS payload_bytes FROM documents
-        UNION ALL SELECT NULL, 'warcinfo', 25, 5, 25""",
+        UNION ALL SELECT NULL, 'warcinfo', NULL, 25, 5, 25""",
     "q_doc_roundtrip": f"""SELECT CAST(doc_id AS VARCHAR) AS id, 'https://example.org/wiki?curid=' || doc_id AS url,
         source AS title, lang, FALSE AS corrupt, source || chr(10) || chr(10) || text || chr(10) AS body FROM documents""",
     "q_dump_pages": f"""SELECT doc_id AS id, doc_id + 1000000 AS revid, {_TITLE} AS title, '0' AS ns, text FROM documents

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.functions.text import clean_article, tokenize
+from kiln.functions.text import clean_article, strip_punctuation, tokenize
 from kiln.operators import evaluate, naive_bayes as nb
 from kiln.operators import pipelines as P
 from kiln.operators.features import by_document
@@ -66,14 +66,16 @@ def language_id(spark: SparkSession, corpus_glob: str, exclude=(), out_dir: str
     window), FEA-3/FEA-4 unigram + bigram features, long-form NB (MOD-6),
     label x prediction matrix (EVA-2) with the missing-label check (SET-3).
     With ``out_dir``: model (SNK-1) and matrix CSV (SNK-2) are written."""
-    corpus = src.language_corpus(spark, corpus_glob, exclude, lang_level)
-    corpus = corpus.withColumn("_key", F.xxhash64("fullText", "lang"))
-    corpus = by_document(corpus, "_key")
-    words = corpus.select("_key", "lang", tokenize("fullText").alias("w"))
-    feats = words.select("_key", "lang", language_features("w").alias("terms"))
+    # every record has its own id, so repeated articles are scored one by one;
+    # the content hash only decides the split (equal articles on one side)
+    corpus = nb.with_row_id(src.language_corpus(spark, corpus_glob, exclude, lang_level))
+    corpus = by_document(corpus.withColumn("_key", F.xxhash64("fullText", "lang")), "_row")
+    words = corpus.select("_row", "_key", "lang", tokenize("fullText").alias("w"))
+    feats = words.select("_row", "_key", "lang", language_features("w").alias("terms"))
     train, test = _split(feats, "_key", train_percent)
     model = nb.fit(train, "lang", "terms")
-    pred = nb.predict(model, test, "_key", "terms", keep=("lang",), partitioned=True)
+    model.features = "language"
+    pred = nb.predict(model, test, "_row", "terms", keep=("lang",), partitioned=True)
     ev = _evaluate(pred.select(F.col("lang").alias("label"), F.col("predicted_label").alias("prediction")), "label")
     matrix = evaluate.confusion_matrix(ev.confusion, model.labels, spark=spark)
     expected = corpus.select("lang").distinct()
@@ -97,9 +99,16 @@ def crawl_documents(spark: SparkSession, wet_path: str, compat: bool = False) ->
     return crawl.wet_documents(spark, wet_path, compat)
 
 
+# What a model's tokens are made of; stored with the model.
+FEATURES = {
+    "words": lambda text: tokenize(strip_punctuation(text)),
+    "language": lambda text: language_features(tokenize(clean_article(text))),
+}
+
+
 def score_crawl(model: nb.LongNaiveBayesModel, docs: DataFrame) -> DataFrame:
-    """The stated purpose of J1/J5: score crawl text with the J4 model (same
-    cleaning and features as :func:`language_id`)."""
-    words = docs.select("URI", tokenize(clean_article("text")).alias("w"))
-    feats = words.select("URI", language_features("w").alias("terms"))
-    return nb.predict(model, feats, "URI", "terms").select("URI", "predicted_label", "score")
+    """The stated purpose of J1/J5: score crawl text (URI, text) with a fitted
+    model, from the features it was fitted on.  One row per record, also where
+    URIs or texts repeat; batch and streaming jobs both use it."""
+    terms = nb.with_row_id(docs).select("_row", "URI", FEATURES[model.features]("text").alias("terms"))
+    return nb.predict(model, terms, "_row", "terms", keep=("URI",)).select("URI", "predicted_label", "score")

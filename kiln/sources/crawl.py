@@ -2,8 +2,9 @@
 
 A WET/WARC file is split into records by the text source's multi-character
 ``lineSep`` (plain files stay splittable; a ``.gz`` is one task per file).
-The separator is ``"\\nWARC/1.0"`` so a record starts only at a line start
-(Q2); the first record of a file still carries its leading ``WARC/1.0``.
+The separator is ``"\\nWARC/1."`` so a record of format 1.0 or 1.1 starts only
+at a line start (Q2); the minor version stays in front of the record, and the
+first record of a file still carries its leading ``WARC/1.``.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Record marker and header names used by the loader.
-RECORD_SEP = "\nWARC/1.0"
+RECORD_SEP = "\nWARC/1."
+VERSION = r"^(WARC/1\.)?[0-9]\r?\n"
 TARGET_URI = "WARC-Target-URI"
 DROP_PREFIXES = ("WARC", "Content-")
 
@@ -24,12 +26,17 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_records(raw: DataFrame) -> DataFrame:
     """SRC-6 on raw records: ``url``, ``header`` map, ``payload``.  Header and
-    payload are separated at the first blank line (LF or CRLF).  Works on batch
-    and streaming frames alike."""
-    rec = F.regexp_replace(F.col("value"), r"^(WARC/1\.0)?\r?\n", "")
+    payload are separated at the first blank line (LF or CRLF).  A header that is
+    given several times (legal, e.g. ``WARC-Concurrent-To``) keeps all its values,
+    joined by ``", "``.  Works on batch and streaming frames alike."""
+    rec = F.regexp_replace(F.col("value"), VERSION, "")
     parts = F.split(rec, r"\r?\n\r?\n", 2)
-    hdr = F.regexp_replace(parts[0], r"\r", "")
-    header = F.str_to_map(hdr, F.lit("\n"), F.lit(": "))
+    lines = F.split(F.regexp_replace(parts[0], r"\r", ""), "\n")
+    fields = F.transform(lines, lambda x: F.struct(F.substring_index(x, ": ", 1).alias("name"),
+                                                   F.when(F.instr(x, ": ") > 0, F.substr(x, F.instr(x, ": ") + 2)).alias("value")))
+    names = F.array_distinct(F.transform(fields, lambda f: f["name"]))
+    header = F.map_from_arrays(names, F.transform(names, lambda n: F.array_join(
+        F.transform(F.filter(fields, lambda f: f["name"] == n), lambda f: f["value"]), ", ")))
     return (raw.filter(F.col("value").rlike(r"\S"))
             .select(header.alias("header"), F.coalesce(parts[1], F.lit("")).alias("payload"),
                     F.col("_metadata.file_path").alias("file"))
@@ -51,7 +58,7 @@ def documents_of(records: DataFrame) -> DataFrame:
 def compat_documents_of(raw: DataFrame) -> DataFrame:
     """SRC-5 + FLT-4 in the reference's form: every line of the record that
     does not start with ``WARC`` or ``Content-``, fused with no separator (Q1)."""
-    rec = F.regexp_replace(F.col("value"), r"^(WARC/1\.0)?", "")
+    rec = F.regexp_replace(F.col("value"), VERSION, "")
     lines = F.split(F.regexp_replace(rec, r"\r", ""), "\n")
     kept = F.filter(lines, lambda l: ~(l.startswith("WARC") | l.startswith("Content-")))
     uri = F.regexp_extract(rec, rf"(?m)^{TARGET_URI}: ([^\r\n]*)", 1)
@@ -68,15 +75,19 @@ def wet_documents(spark: SparkSession, path: str, compat: bool = False) -> DataF
 
 
 def wet_record(uri_col, text_col, record_id_col, date: str = "2016-02-05T21:52:39Z",
-               eol: str = "\n"):
-    """One WET conversion record as text (for writing fixtures and exports)."""
+               eol: str = "\n", version="1.0", concurrent=None):
+    """One WET conversion record as text (for writing fixtures and exports);
+    ``concurrent``: an array of ids, each written as ``WARC-Concurrent-To``."""
     def c(x):
         return F.col(x) if isinstance(x, str) else x
 
     body = c(text_col)
+    version = F.lit(version) if isinstance(version, str) else version
+    more = F.lit("") if concurrent is None else F.array_join(
+        F.transform(concurrent, lambda i: F.concat(F.lit("WARC-Concurrent-To: <urn:uuid:"), i.cast("string"), F.lit(f">{eol}"))), "")
     return F.concat(
-        F.lit(f"WARC/1.0{eol}WARC-Type: conversion{eol}WARC-Target-URI: "), c(uri_col),
-        F.lit(f"{eol}WARC-Date: {date}{eol}WARC-Record-ID: <urn:uuid:"), c(record_id_col).cast("string"),
+        F.lit("WARC/"), version, F.lit(f"{eol}WARC-Type: conversion{eol}WARC-Target-URI: "), c(uri_col),
+        F.lit(f"{eol}WARC-Date: {date}{eol}"), more, F.lit("WARC-Record-ID: <urn:uuid:"), c(record_id_col).cast("string"),
         F.lit(f">{eol}Content-Type: text/plain{eol}Content-Length: "),
         F.octet_length(body).cast("string"), F.lit(f"{eol}{eol}"), body, F.lit(f"{eol}{eol}"))
 

@@ -5,20 +5,17 @@ The reference loads and scores crawl files in batch; this is the same
 operator chain over ``readStream``.  Scoring needs a join with the weight
 table and a per-document aggregation, so every micro-batch runs the batch
 plan through ``foreachBatch`` and writes its own ``batch_id=`` folder of a
-parquet table (idempotent on replay); the query's checkpoint (in the shared
-folder of ``spark.checkpoint.dir``) makes a restarted job resume where it
-stopped.
+parquet table (idempotent on replay); the checkpoint folder, which the caller
+names, makes a restarted job resume where it stopped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from kiln.functions.text import strip_punctuation, tokenize
 from kiln.operators import naive_bayes as nb
+from kiln.plans import jobs
 from kiln.sources import crawl
-from kiln.session import scratch_path
 
 
 def crawl_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int = 16) -> DataFrame:
@@ -29,16 +26,16 @@ def crawl_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int
 
 
 def score_batch(model: nb.LongNaiveBayesModel, docs: DataFrame) -> DataFrame:
-    """MOD-7 on one batch of crawl documents: predicted language per URI."""
-    toks = docs.select("URI", tokenize(strip_punctuation("text")).alias("tokens"))
-    p = nb.predict(model, toks, "URI", "tokens")
-    return p.select("URI", F.col("predicted_label").alias("prediction"), "score")
+    """MOD-7 on one batch of crawl documents: predicted language per record, by
+    the batch job's own scoring."""
+    return jobs.score_crawl(model, docs).withColumnRenamed("predicted_label", "prediction")
 
 
 def start_scoring(spark: SparkSession, model: nb.LongNaiveBayesModel, input_dir: str, output_dir: str,
-                  checkpoint: str | None = None, trigger_once: bool = False):
-    """Start the streaming job; returns the ``StreamingQuery``."""
-    checkpoint = checkpoint or scratch_path(spark, "crawl-stream-checkpoint")
+                  checkpoint: str, trigger_once: bool = False):
+    """Start the streaming job; returns the ``StreamingQuery``.  ``checkpoint`` is
+    a lasting folder of the shared file system: a job started again with the same
+    one goes on after the last finished micro-batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # one folder per micro-batch, overwritten: a batch replayed after a

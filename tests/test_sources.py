@@ -189,3 +189,13 @@ def test_extraction_totals_observed(spark):
     n = wiki.article_pages(pages).count()
     assert n == 4                                   # pages 1, 1 (copy), 2, 5
     assert obs.get == {"pages": 6, "templates": 1}  # AGG-16, no extra pass
+
+
+def test_warc_versions_and_repeated_headers(spark):
+    d = scratch_path(spark, "warc")
+    rec = "WARC/{}\r\nWARC-Type: response\r\nWARC-Target-URI: http://{}/\r\nWARC-Concurrent-To: <a>\r\nWARC-Concurrent-To: <b>\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
+    _write(d, "a.warc", (rec.format("1.1", "x") + rec.format("1.1", "y") + rec.format("1.0", "z")).encode())
+    recs = {r.url: r for r in crawl.warc_records(spark, d).collect()}
+    assert sorted(recs) == ["http://x/", "http://y/", "http://z/"]
+    assert all(r.header["WARC-Concurrent-To"] == "<a>, <b>" and r.payload.strip() == "hi" for r in recs.values())
+    assert {r.URI: r.text for r in crawl.wet_documents(spark, d).collect()} == dict.fromkeys(recs, "hi")
