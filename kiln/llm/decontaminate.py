@@ -36,15 +36,14 @@ from pyspark.sql import functions as F
 
 from kiln.llm.common import small_batches
 
-Q = 8
+Q = 8                 # a power of two
 PER_EDIT = 12
 PASSAGE = 256
 BAND = 32             # over PASSAGE * 3 // 2 // PER_EDIT, the largest budget
 LEAST = 32
 BLOCK = 1 << 20
-SLICE = 1 << 20       # characters, and pairs, worked on at a time
+SLICE = 1 << 17       # characters, and pairs, worked on at a time
 TABLE_BITS = 22
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def normalise(text: str | None) -> str:
@@ -60,11 +59,10 @@ def qgrams(c: np.ndarray) -> np.ndarray:
     n = len(c) - Q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    wide = c.astype(np.uint64)
-    h = wide[:n].copy()
-    for k in range(1, Q):
-        h *= _BASE
-        h += wide[k:k + n]
+    h, base, step = c.astype(np.uint64), 0x9E3779B97F4A7C15, 1
+    while step < Q:                       # grams of 1, 2, 4 .. characters
+        h = h[:len(h) - step] * np.uint64(base) + h[step:]
+        base, step = base * base & 0xFFFFFFFFFFFFFFFF, step * 2
     return h ^ (h >> np.uint64(29))
 
 
@@ -84,10 +82,8 @@ class Index:
     owner: np.ndarray             # passage of each place
     offset: np.ndarray
     table: np.ndarray             # quick test by the hash's top bits
-
-    def need(self, p: int) -> int:
-        n = len(self.texts[p])
-        return n - Q + 1 - Q * budget(n)
+    needs: np.ndarray             # q-grams that a part within the budget shares
+    grams: list[np.ndarray]       # of each passage
 
 
 def build(items: list[tuple[int | None, str]]) -> Index:
@@ -109,13 +105,25 @@ def build(items: list[tuple[int | None, str]]) -> Index:
     keys, first = np.unique(flat[order], return_index=True)
     table = np.zeros(1 << TABLE_BITS, bool)
     table[(keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
-    return Index(ids, texts, np.append(first, len(flat)), keys, owner[order], offset[order], table)
+    needs = np.array([len(t) - Q + 1 - Q * budget(len(t)) for t in texts], np.int64)
+    return Index(ids, texts, np.append(first, len(flat)), keys, owner[order], offset[order], table, needs, grams)
+
 
+def counted(values: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how often each occurs (or its weights' sum)."""
+    if weights is None:
+        values = np.sort(values)
+        first = np.flatnonzero(np.append(True, values[1:] != values[:-1])[:len(values)])
+        return values[first], np.diff(np.append(first, len(values)))
+    turn = np.argsort(values)
+    values, weights = values[turn], weights[turn]
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])[:len(values)])
+    return values[first], np.add.reduceat(weights, first) if len(first) else weights
 
-def _pairs(index: Index, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+
+def _pairs(index: Index, h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(passage, diagonal) of the shared q-grams, a slice at a time."""
-    h = qgrams(text)
-    at = np.flatnonzero(index.table[(h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
+    at = np.flatnonzero(index.table[h >> np.uint64(64 - TABLE_BITS)])
     row = np.searchsorted(index.keys, h[at])
     ok = index.keys[np.minimum(row, len(index.keys) - 1)] == h[at]
     at, row = at[ok], row[ok]
@@ -130,27 +138,24 @@ def _pairs(index: Index, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndar
         lo = hi
 
 
-def bands(index: Index, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(passage, first diagonal) of the bands that reach their passage's bound."""
+def bands(index: Index, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(passage, first diagonal) of the bands that reach their passage's bound;
+    ``h``: the q-grams of the text."""
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     low = -(PASSAGE * 3 // 2 + 2 * BAND)
-    width = (len(text) - low) // BAND + 2
-    for owner, diagonal in _pairs(index, text):
-        band = (diagonal - low) // BAND
-        key, n = np.unique(owner * width + band, return_counts=True)
-        keys, inverse = np.unique(np.concatenate([keys, key]), return_inverse=True)
-        counts = np.bincount(inverse, weights=np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
+    width = (len(h) - low) // BAND + 2
+    for owner, diagonal in _pairs(index, h):
+        key, n = counted(owner * width + (diagonal - low) // BAND)
+        keys, counts = counted(np.concatenate([keys, key]), np.concatenate([counts, n])) if len(keys) else (key, n)
     # a band covers its own diagonals and the next ones
-    both = np.unique(np.concatenate([keys, keys - 1]))
-    total = np.zeros(len(both), np.int64)
-    for shift in (0, 1):
-        at = np.searchsorted(keys, both + shift)
-        hit = (at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == both + shift) if len(keys) else np.zeros(len(both), bool)
-        total[hit] += counts[at[hit]]
-    owner, first = both // width, both % width * BAND + low
-    need = np.array([index.need(p) for p in range(len(index.texts))], np.int64)
-    keep = total >= need[owner] if len(both) else np.zeros(0, bool)
-    return owner[keep], first[keep]
+    next_too = np.append(keys[1:] == keys[:-1] + 1, False)[:len(keys)]
+    total = counts + np.where(next_too, np.append(counts[1:], 0)[:len(keys)], 0)
+    alone = keys[np.append(True, keys[1:] != keys[:-1] + 1)[:len(keys)]] - 1     # a band with hits in its second half only
+    single = counts[np.append(True, keys[1:] != keys[:-1] + 1)[:len(keys)]]
+    keys, total = np.concatenate([keys, alone]), np.concatenate([total, single])
+    owner = keys // width
+    keep = total >= index.needs[owner] if len(keys) else np.zeros(0, bool)
+    return owner[keep], keys[keep] % width * BAND + low
 
 
 def aligned(passage: str, text: str, first: int) -> tuple[int, int]:
@@ -166,11 +171,15 @@ def aligned(passage: str, text: str, first: int) -> tuple[int, int]:
     far, step = np.int64(1 << 30), np.arange(width + 1)
     place = left + step                                        # text characters before this cell, row 0
     row = np.where((place >= 0) & (place <= len(text)), 0, far)
+    differs = np.ones(width + 1, bool)
     for i, c in enumerate(codes(passage).astype(np.int64)):
-        same = np.append(padded[i:i + width], -2)
-        cell = np.minimum(row + (same != c), np.append(row[1:], far) + 1)
-        cell = np.where((place + i + 1 >= 0) & (place + i + 1 <= len(text)), cell, far)
-        row = np.minimum(cell, np.minimum.accumulate(cell - step) + step)
+        np.not_equal(padded[i:i + width], c, out=differs[:width])
+        cell = row + differs
+        np.minimum(cell[:-1], row[1:] + 1, out=cell[:-1])
+        if place[0] + i + 1 < 0 or place[-1] + i + 1 > len(text):
+            cell[(place + i + 1 < 0) | (place + i + 1 > len(text))] = far
+        cell -= step
+        row = np.minimum.accumulate(cell) + step
     k = int(row.argmin())
     return int(row[k]), int(place[k]) + n
 
@@ -191,19 +200,24 @@ def search(index: Index, texts: list[str | None]) -> list[dict[int, tuple[int, i
         gap = [0x110000] * Q
         joined = np.concatenate([x for t in clean[lo:hi] for x in (codes(t), np.array(gap, np.uint32))])
         starts = np.cumsum([0] + [len(t) + Q for t in clean[lo:hi]])
-        for p, first in zip(*bands(index, joined), strict=True):
+        h = qgrams(joined)
+        for p, first in zip(*(x.tolist() for x in bands(index, h)), strict=True):
             n = len(index.texts[p])
             d0 = int(np.searchsorted(starts, max(0, first - n), side="right")) - 1
             d1 = int(np.searchsorted(starts, first + 2 * BAND + 2 * n, side="right")) - 1
             for d in range(max(0, d0), min(hi - lo - 1, d1) + 1):
-                text, best = clean[lo + d], found[lo + d].get(int(p))
+                text, best = clean[lo + d], found[lo + d].get(p)
                 if best and best[0] == 0:
                     continue
+                # enough of the passage's own q-grams must be in the band's part of this text
+                part = h[max(starts[d], first):min(starts[d] + max(0, len(text) - Q + 1), first + 2 * BAND + n)]
+                if np.isin(index.grams[p], part).sum() < index.needs[p]:
+                    continue
                 from_, to = max(0, first - starts[d] - 2 * BAND), max(0, first - starts[d] + 4 * BAND + 2 * n)
                 exact = text.find(index.texts[p], from_, to)
                 edits, end = (0, exact + n) if exact >= 0 else aligned(index.texts[p], text, int(first - starts[d]))
                 if edits <= budget(n) and (best is None or (edits, end) < best):
-                    found[lo + d][int(p)] = (edits, end)
+                    found[lo + d][p] = (edits, end)
         lo = hi
     return found
 
