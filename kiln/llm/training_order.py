@@ -33,7 +33,9 @@ import base64
 import hashlib
 import json
 import math
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +53,7 @@ KEY = "kiln-training-order"
 ROUNDS = 6
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
-CACHED = 400_000              # words whose ids a worker keeps
+CACHED = 1_000_000            # words whose ids a worker keeps
 
 # Fixed value: the vocabulary's split pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -94,50 +96,65 @@ class Feistel:
 
 # ---- tokens --------------------------------------------------------------------
 
-class _Odd(Exception):
-    """A word at which the text cannot be split before tokenising."""
-
-
-class _Words(dict):
-    """Ids (2-byte) of a word with the space before it, worked out once."""
-
-    def __init__(self, encoding):
-        super().__init__()
-        self.encoding = encoding
-
-    def __missing__(self, word: str) -> bytes:
-        if not word or word[-1].isspace():
-            raise _Odd
-        ids = np.array(self.encoding.encode_ordinary(" " + word), "<u2").tobytes()
-        if len(self) >= CACHED:
-            self.clear()
-        self[word] = ids
-        return ids
-
-
 class Tokenizer:
-    """Byte-pair ids of whole texts.  The split pattern never joins a space to
-    what stands before it unless that is white space too, so words between
-    single spaces are tokenised one by one and remembered; other texts whole."""
+    """Byte-pair ids (2-byte, little-endian) of whole texts.  The split pattern
+    never joins a space to what stands before it unless that is white space too,
+    so words between single spaces can be tokenised apart: each distinct word
+    once, many in one call, and remembered.  A text in which white space meets
+    such a space is tokenised whole."""
 
     def __init__(self, vocabulary: bytes):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.words = _Words(self.encoding)
+        self.spaced = np.zeros(1 << 16, bool)          # ids that begin with a space
+        self.spaced[[i for t, i in ranks.items() if t[:1] == b" "]] = True
+        self.words: dict[str, bytes] = {}              # ids of a word with the space before it
+        self.sizes: dict[str, int] = {}                # their number
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), "<u2").tobytes()
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        if first[-1:].isspace():
-            return self.whole(text)
-        try:
-            return b"".join([self.whole(first), *map(self.words.__getitem__, rest)])
-        except _Odd:
-            return self.whole(text)
+        return array("H", self.encoding.encode_ordinary(text)).tobytes()
+
+    def _learn(self, known: dict, parts: list[list[str]], sizes: bool) -> None:
+        words = set(chain.from_iterable(p[1:] for p in parts))
+        new = words.difference(known)
+        if len(known) + len(new) > CACHED:
+            known.clear()
+            new = words
+        new = [w for w in new if w and not w[-1].isspace()]
+        if not new:
+            return
+        ids = np.array(self.encoding.encode_ordinary(" " + " ".join(new)), "<u2")
+        first = np.flatnonzero(self.spaced[ids])       # one such id for each word
+        stop = np.append(first[1:], len(ids))
+        if sizes:
+            known.update(zip(new, (stop - first).tolist(), strict=True))
+        else:
+            data = ids.tobytes()
+            known.update(zip(new, [data[a:z] for a, z in zip((2 * first).tolist(), (2 * stop).tolist(), strict=True)], strict=True))
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        parts = [(t or "").split(" ") for t in texts]
+        self.sizes.clear()
+        self._learn(self.words, parts, sizes=False)
+        out = []
+        for text, p in zip(texts, parts, strict=True):
+            try:
+                out.append(self.whole(p[0]) + b"".join(map(self.words.__getitem__, p[1:])) if not p[0][-1:].isspace() else self.whole(text))
+            except KeyError:
+                out.append(self.whole(text))
+        return out
+
+    def counts(self, texts: list[str | None]) -> list[int]:
+        """Number of ids of each text."""
+        parts = [(t or "").split(" ") for t in texts]
+        self._learn(self.sizes, parts, sizes=True)
+        size, out = self.encoding.encode_ordinary, []
+        for text, p in zip(texts, parts, strict=True):
+            try:
+                out.append(len(size(p[0])) + sum(map(self.sizes.__getitem__, p[1:])) if not p[0][-1:].isspace() else len(size(text)))
+            except KeyError:
+                out.append(len(size(text)))
+        return out
 
 
 def tokenizer(vocabulary: bytes) -> Tokenizer:
@@ -174,16 +191,16 @@ def write_shards(docs: DataFrame, folder: str, key: str = KEY, length: int = LEN
     with open(vocabulary, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
 
-    def count(batches):
-        encode, part, at = tokenizer(shared.value).ids, TaskContext.get().partitionId(), 0
+    def lengths(batches):
+        counts, part, at = tokenizer(shared.value).counts, TaskContext.get().partitionId(), 0
         for b in batches:
-            n = [len(encode(t)) // 2 + 1 for t in b.column(1).to_pylist()]
+            n = [x + 1 for x in counts(b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array([part] * len(n), pa.int32()),
                  pa.array(range(at, at + len(n)), pa.int64())], names=["doc_id", "_tie", "_n", "_scan", "_row"])
             at += len(n)
 
-    counts = materialize(docs.mapInArrow(count, "doc_id long, _tie long, _n long, _scan int, _row long"), "token-counts")
+    counts = materialize(docs.mapInArrow(lengths, "doc_id long, _tie long, _n long, _scan int, _row long"), "token-counts")
     total = counts.agg(F.sum("_n")).first()[0] or 0
     n = -(-total // length)
     order = running_offsets(counts, ["doc_id", "_tie", "_scan", "_row"], F.col("_n"), "_offset")
@@ -197,10 +214,10 @@ def write_shards(docs: DataFrame, folder: str, key: str = KEY, length: int = LEN
             if known is None:
                 known = _known(places, part, len(ids))
             out = []
-            for k, (i, text) in enumerate(zip(ids, b.column(1).to_pylist(), strict=True)):
+            for k, (i, tokens) in enumerate(zip(ids, encode(b.column(1).to_pylist()), strict=True)):
                 if at + k >= len(known[0]) or known[0][at + k] != i:
                     raise ValueError("the input lists other rows than before; store it first")
-                data, start = encode(text) + closing, known[1][at + k]
+                data, start = tokens + closing, known[1][at + k]
                 stop = start + len(data) // 2
                 for s in range(start // length, (stop - 1) // length + 1):
                     lo, hi = max(start, s * length), min(stop, (s + 1) * length)
