@@ -97,21 +97,21 @@ def grades(count: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return np.where(toxic, 1 + (count[:, None] > cuts[None, :]).sum(axis=1), 0)
 
 
-def fit_rows(counts: dict[str, tuple[int, int]], rows: list[tuple[set[str], bool]]) -> Model:
+def fit_rows(counts: dict[str, tuple[int, int]], rows: list[tuple[np.ndarray, bool]]) -> Model:
     """The regression on the sample, by proximal steps scaled per coordinate.
     ``counts``: texts and toxic texts with each feature that enters; ``rows``: the
-    entering features of each text, and its label."""
+    numbers of each text's features (places in the sorted names), and its label."""
     toxic = np.array([t for _, t in rows], bool)
     n, n_bad = len(toxic), int(toxic.sum())
     if not 0 < n_bad < n:
         return Model({}, [40.0] * (GRADES - 1))
-    marks = {f for f, (c, bad) in counts.items()
-             if f[-1] != "*" and bad >= MARKER_TEXTS and bad / n_bad >= MARKER_RATIO * (c - bad + 1) / (n - n_bad + 1)}
-    y = grades(np.array([len(s & marks) for s, _ in rows]), toxic)
-    number = {f: i for i, f in enumerate(sorted(counts))}
-    row = np.repeat(np.arange(n), [len(s) for s, _ in rows])
-    col = np.array([number[f] for s, _ in rows for f in sorted(s)], np.int64)
-    w = np.zeros(len(number))
+    names = sorted(counts)
+    marks = np.array([f[-1] != "*" and bad >= MARKER_TEXTS and bad / n_bad >= MARKER_RATIO * (c - bad + 1) / (n - n_bad + 1)
+                      for f, (c, bad) in sorted(counts.items())], bool)
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(s) for s, _ in rows])
+    col = np.concatenate([*[s for s, _ in rows], np.zeros(0, np.int32)]).astype(np.int32)
+    y = grades(np.bincount(row[marks[col]], minlength=n), toxic)
+    w = np.zeros(len(names))
     share = np.clip([(y > k).mean() for k in range(GRADES - 1)], 1e-4, 1 - 1e-4)
     theta = np.maximum.accumulate(np.log((1 - share) / share) + 1e-3 * np.arange(GRADES - 1))
     squares, squares_t = np.full(len(w), 1e-8), np.full(len(theta), 1e-8)
@@ -130,7 +130,7 @@ def fit_rows(counts: dict[str, tuple[int, int]], rows: list[tuple[set[str], bool
         w = w - step * g
         w = np.sign(w) * np.maximum(np.abs(w) - step * PENALTY, 0)
         theta = np.maximum.accumulate(theta - 0.3 / np.sqrt(squares_t) * gt)
-    return Model({f: float(w[i]) for f, i in number.items() if w[i]}, [float(t) for t in theta])
+    return Model({f: float(x) for f, x in zip(names, w, strict=True) if x}, [float(t) for t in theta])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -176,13 +176,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
               .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where((F.col("n") >= LEAST) & (gap >= DIFFERS * error) & (error > 0)))
     chosen = {r["f"]: (r["n"], r["bad"]) for r in counts.collect()}
 
+    number = {f: i for i, f in enumerate(sorted(chosen))}
+
     def own(batches):
         for b in batches:
-            text = [" ".join(sorted(f for f in features(t) if f in chosen)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string()), b.column(2)], names=["id", "features", "toxic"])
+            have = [np.array(sorted(number[f] for f in features(t) if f in number), "<i4").tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(have, pa.binary()), b.column(2)], names=["id", "features", "toxic"])
 
-    rows = texts.select("_id", "_text", "_toxic").mapInArrow(own, "id long, features string, toxic boolean").orderBy("id").collect()
-    return fit_rows(chosen, [(set(r["features"].split()), r["toxic"]) for r in rows])
+    rows = texts.select("_id", "_text", "_toxic").mapInArrow(own, "id long, features binary, toxic boolean").orderBy("id").collect()
+    return fit_rows(chosen, [(np.frombuffer(r["features"], "<i4"), r["toxic"]) for r in rows])
 
 
 def severity(docs: DataFrame, model: Model) -> DataFrame:

@@ -34,7 +34,8 @@ def test_more_markers_are_more_severe():
         for f in s:
             counts[f] = (counts.get(f, (0, 0))[0] + 1, counts.get(f, (0, 0))[1] + t)
     counts = {f: c for f, c in counts.items() if X.standard_errors(*c, len(sets), sum(toxic)) >= X.DIFFERS}
-    model = X.fit_rows(counts, [(s & counts.keys(), t) for s, t in zip(sets, toxic, strict=True)])
+    names = {f: i for i, f in enumerate(sorted(counts))}
+    model = X.fit_rows(counts, [(np.array(sorted(names[f] for f in s if f in names), "<i4"), t) for s, t in zip(sets, toxic, strict=True)])
     assert model.thresholds == sorted(model.thresholds)
     severity = [model.above([model.score(" ".join(["waa", *bad[:k]]))]).sum() for k in range(6)]
     assert severity == sorted(severity) and severity[0] < 0.3 and severity[5] > 1.5
