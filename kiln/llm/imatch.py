@@ -38,7 +38,7 @@ KEEP = (2 / 3, 2 / 3, 1 / 3) + (1 / 64,) * 8 + (1 / 256,) * 8 + (1 / 1024,) * 8
 SMALL = 1 / 16        # subsets up to this share are looked up among their own terms only
 LEXICON_ROWS = 4_000_000
 SEGMENTS = 256
-ROWS_PER_PART = 5_000
+ROWS_PER_PART = 1_000
 NOT_A_TERM = r"[^\p{L}\p{N}]+"
 EMPTY = 42            # xxhash64 of an empty array is its seed
 MARK = 0              # stands for "no term": in every text once, in no subset
