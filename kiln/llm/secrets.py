@@ -49,7 +49,8 @@ LEVEL = 3
 FLUSH = 100_000
 _SENSITIVE = re.compile("|".join(WORDS), re.IGNORECASE | re.ASCII)
 _STRING = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % CANDIDATE)
-_IDENTIFIER = re.compile(r"[^\W\d]\w{2,31}")
+# Words without digits, whole: a random string must not vouch for itself.
+_IDENTIFIER = re.compile(r"(?<!\w)[^\W\d]{3,24}(?!\w)")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
