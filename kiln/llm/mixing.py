@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.llm.common import materialize
+from kiln.llm.common import fresh, materialize
 
 BLOCK = 64           # documents
 PERIOD = 4096        # shares in all
@@ -148,8 +148,8 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block: in
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """All rows of ``docs`` with their own columns, in files that follow the mix
     (rows with equal ids stay together; rows without an id come first)."""
-    place = schedule(docs, **options).where("doc_id is not null").groupBy("doc_id").agg(F.min("position").alias("_mix"))
-    place = place.withColumnRenamed("doc_id", "_mix_id")
-    joined = docs.join(place, docs["doc_id"] == place["_mix_id"], "left").drop("_mix_id")
+    at, own = fresh(docs, "_mix"), fresh(docs, "_mix_id")
+    place = schedule(docs, **options).where("doc_id is not null").groupBy(F.col("doc_id").alias(own)).agg(F.min("position").alias(at))
+    joined = docs.join(place, F.col("doc_id") == F.col(own), "left").drop(own)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return joined.repartitionByRange(n, "_mix").sortWithinPartitions("_mix").drop("_mix")
+    return joined.repartitionByRange(n, at).sortWithinPartitions(at).drop(at)
