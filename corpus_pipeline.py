@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.llm import decontaminate, mixing, simhash, toxicity, training_order
-from kiln.llm.common import materialize
+from kiln.llm.common import fresh, materialize
 from kiln.session import read_table, scratch_path
 
 ORACLE_SQL = None     # fitted models, SimHash and shards have no SQL form
@@ -33,8 +33,9 @@ def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = materialize(simhash.near_duplicates(docs), "near-duplicates")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    own = fresh(docs, "_gone")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col(own), "left_anti")
     # rows that repeat an id: one of them stays
     twice = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
     if twice.isEmpty():
