@@ -53,7 +53,7 @@ KEY = "kiln-training-order"
 ROUNDS = 6
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
-CACHED = 1_000_000            # words whose ids a worker keeps
+CACHED = 300_000              # words whose ids a worker keeps
 
 # Fixed value: the vocabulary's split pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
