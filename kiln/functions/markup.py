@@ -1,13 +1,12 @@
 """Wiki / HTML markup cleaning as column expressions (TXT-1..32).
 
-Every step is a native regex or array expression on the text column, so a
-page never leaves the JVM and whole-stage code generation applies to the
-regex steps.  The steps are declared as data (:func:`html_steps`,
+Steps are native regex or array expressions on the text column, except where
+markup nests (:mod:`kiln.functions.nested`, Arrow batches).  The steps are declared as data (:func:`html_steps`,
 :func:`wiki_steps`) so the same chain can be checked against another engine.
 
-Nested markup (``{{…}}``, tables, dropped elements, links) is removed
-innermost-first, ``depth`` rounds (default 5); deeper leftovers stay visible
-(:func:`residual_markup` counts them) instead of being hidden.
+Nested markup (``{{…}}``, tables, dropped elements, links) is removed at any
+depth in one scan; unbalanced markup stays visible (:func:`residual_markup`
+counts it) instead of being hidden.
 """
 
 from __future__ import annotations
@@ -17,6 +16,8 @@ import html.entities
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kiln.functions import nested
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's behaviour)
 # ---------------------------------------------------------------------------
@@ -59,15 +60,14 @@ def _proto_alt() -> str:
     return "|".join(p.replace("/", r"/") for p in URL_PROTOCOLS)
 
 
-# A step is (pattern, replacement-with-$n-groups, rounds).  Rounds > 1 repeat
-# the step (innermost-first removal of nested markup).
+# A step is (pattern, replacement-with-$n-groups, rounds, guard); a callable in
+# place of the pattern takes the column and handles nesting itself.
 def html_steps(engine: str = "spark"):
     """clean() part: comments, self-closing tags, tags kept with content,
     dropped elements, in that order.
 
-    ``spark``: all dropped elements in one alternation with a back reference,
-    innermost first, 5 rounds (5 passes instead of 32 x 5).  ``re2``: one lazy
-    pattern per element (for engines without look-ahead / back references);
+    ``spark``: dropped elements of any depth in one scan (:mod:`nested`).
+    ``re2``: one lazy pattern per element (for engines without back references);
     both give the same text on markup without same-name nesting."""
     tags = _alt(KEEP_CONTENT_TAGS + ("a",))
     steps = [
@@ -77,9 +77,8 @@ def html_steps(engine: str = "spark"):
         (rf"(?i)</\s*(?:{tags})>", "", 1, "</"),
     ]
     if engine == "spark":                                                                  # TXT-13
-        open_ = rf"<\s*({_alt(DROP_ELEMENTS)})\b[^>/]*>"
-        steps.append((rf"(?is){open_}(?:(?!<\s*\1\b[^>/]*>).)*?<\s*/\s*\1>", "", 5,
-                      ("rlike", rf"(?i)<\s*(?:{_alt(DROP_ELEMENTS)})\b")))
+        steps.append((lambda c: nested.mapped(c, c.rlike(rf"(?i)<\s*(?:{_alt(DROP_ELEMENTS)})\b"),
+                                              lambda t: nested.without_elements(t, DROP_ELEMENTS)), "", 1, None))
     else:
         for t in DROP_ELEMENTS:
             steps.append((rf"(?is)<\s*{t}\b[^>/]*>.*?<\s*/\s*{t}>", "", 1, None))
@@ -96,14 +95,23 @@ CLEANUP_STEPS = [
 ]
 
 
-def wiki_steps(depth: int = 5):
+def wiki_steps(engine: str = "spark", depth: int = 5):
     """wiki2text part before the HTML decode: templates and tables (TXT-1),
     quotes (TXT-3), internal links with the namespace rule (TXT-4, TXT-17),
-    external links (TXT-6), behaviour switches (TXT-7)."""
+    external links (TXT-6), behaviour switches (TXT-7).
+
+    ``spark``: nested markup of any depth in one scan (:mod:`nested`); ``re2``:
+    ``depth`` rounds, innermost first."""
     q2, q3, q5 = "''", "'''", "'''''"
-    steps = [
-        (r"\{\{[^{}]*\}\}", "", depth, "{{"),                                              # TXT-1
-        (r"(?s)\{\|[^{}]*?\|\}", "", depth, "{|"),
+    if engine == "spark":
+        templates = [(lambda c: nested.mapped(c, (F.instr(c, "{{") > 0) | (F.instr(c, "{|") > 0), nested.without_templates), "", 1, None)]
+        links = [(lambda c: nested.mapped(c, F.instr(c, "[[") > 0, lambda t: nested.link_text(t, PROTECT)), "", 1, None)]
+    else:
+        templates = [(r"\{\{[^{}]*\}\}", "", depth, "{{"), (r"(?s)\{\|[^{}]*?\|\}", "", depth, "{|")]
+        links = [(rf"\[\[:?[^\[\]|:{PROTECT}]+:[^\[\]]*\]\]", "", 1, "[["),
+                 (r"\[\[(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]", "$1", 1, "[[")] * 3
+    return [
+        *templates,                                                                        # TXT-1
         (rf"{q5}(.*?){q5}", "$1", 1, q5),                                                  # TXT-3
         (rf"{q3}(.*?){q3}", "$1", 1, q3),
         (rf"{q2}\"([^\"]*?)\"{q2}", "\"$1\"", 1, q2 + '"'),
@@ -111,20 +119,17 @@ def wiki_steps(depth: int = 5):
         (r"\"\"([^\"]*?)\"\"", "\"$1\"", 1, '""'),
         (q3, "", 0, None), (q2, "\"", 0, None),
         (rf"\[\[(:?)({_alt(ACCEPTED_NAMESPACES)}):", f"[[$1{PROTECT}$2:", 1, "[["),         # TXT-17
-    ]
-    for _ in range(3):                                                                     # TXT-4
-        steps.append((rf"\[\[:?[^\[\]|:{PROTECT}]+:[^\[\]]*\]\]", "", 1, "[["))
-        steps.append((r"\[\[(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]", "$1", 1, "[["))
-    steps += [
+        *links,                                                                            # TXT-4
         (PROTECT, "", 0, None),
         (rf"(?is)\[(?:{_proto_alt()})[^\]\[<>\"\x00-\x20\x7f\s]+\s*([^\]\[\x00-\x08\x0a-\x1f]*?)\]",
          "$1", 1, "["),                                                                    # TXT-6
         ("__(?:" + "|".join(w.strip("_") for w in SWITCHES) + ")__", "", 1, "__"),         # TXT-7
     ]
-    return steps
 
 
 def _one(c, pattern, repl, rounds):
+    if callable(pattern):
+        return pattern(c)
     if rounds == 0:
         return F.replace(c, F.lit(pattern), F.lit(repl))
     return F.regexp_replace(c, pattern, repl)
@@ -153,6 +158,7 @@ def guarded_stages(steps):
                     return _one(c, pattern, repl, rounds)
                 cond = c.rlike(guard[1]) if isinstance(guard, tuple) else (F.instr(c, guard) > 0)
                 return F.when(cond, _one(c, pattern, repl, rounds)).otherwise(c)
+            st.barrier = callable(pattern)
             out.append(st)
     return out
 
@@ -183,7 +189,7 @@ def decode_entity(e: Column) -> Column:
     hx = F.regexp_extract(e, r"^&#[xX]([0-9a-fA-F]+);$", 1)
     name = F.regexp_extract(e, r"^&(\w+);$", 1)
     code = (F.when(dec != "", dec.try_cast("bigint"))
-            .when(hx != "", F.when(F.length(hx) <= 8, F.conv(hx, 16, 10).try_cast("bigint"))))
+            .when(hx != "", F.when(F.length(F.ltrim(F.lit("0"), hx)) <= 8, F.conv(hx, 16, 10).try_cast("bigint"))))
     valid = (code >= 0) & (code <= 0x10FFFF) & ~((code >= 0xD800) & (code <= 0xDFFF))
     char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
     return F.coalesce(char, F.when(name != "", _entity_map()[name]), e)
@@ -249,13 +255,19 @@ def _compose(stages):
 def with_stages(df, col: str, out: str, stages):
     """Apply column stages as separate projections.  A stage that reads its
     input twice (split + extract) then reads a computed column instead of
-    repeating the whole chain below it (Catalyst keeps such projections apart)."""
+    repeating the whole chain below it (Catalyst keeps such projections apart).
+    After a stage that goes to Python (``barrier``) a one-element generator ends
+    the chain: Catalyst would else join the projections between two such stages
+    into one expression, which grows threefold with each."""
     cur = col
     for i, st in enumerate(stages):
         nxt = f"__{out}_s{i}"
         df = df.withColumn(nxt, st(F.col(cur)))
         if cur != col:
             df = df.drop(cur)
+        if getattr(st, "barrier", False):
+            df = df.select(*[c for c in df.columns if c != nxt], F.explode_outer(F.array(nxt)).alias(f"{nxt}_b"))
+            nxt = f"{nxt}_b"
         cur = nxt
     return df.withColumnRenamed(cur, out)
 
@@ -290,36 +302,36 @@ def decode_outside_highlight(c) -> Column:
                                    F.concat(inner, F.array(F.lit(""))), lambda p, r: F.concat(p, r)), "")
 
 
-def wiki_stages(depth: int = 5, guarded: bool = False):
+def wiki_stages(guarded: bool = False):
     """wiki2text (TXT-1, 3, 4, 6, 7, 9, 17, 18) as column stages."""
     if not guarded:
         return [protect_nowiki,
-                lambda c: F.replace(apply_steps(c, wiki_steps(depth)), F.lit(BRACE_MASK), F.lit("{")),
+                lambda c: F.replace(apply_steps(c, wiki_steps()), F.lit(BRACE_MASK), F.lit("{")),
                 decode_outside_highlight]
-    return ([_guard("<nowiki>", protect_nowiki)] + guarded_stages(wiki_steps(depth))
+    return ([_guard("<nowiki>", protect_nowiki)] + guarded_stages(wiki_steps())
             + [lambda c: F.replace(c, F.lit(BRACE_MASK), F.lit("{")),
                lambda c: (F.when(F.instr(F.lower(c), "<syntaxhighlight") > 0, decode_outside_highlight(c))
                           .when(F.instr(c, "&") > 0, unescape(c)).otherwise(c))])
 
 
-def wiki_to_text(c, depth: int = 5) -> Column:
-    return _compose(wiki_stages(depth))(c)
+def wiki_to_text(c) -> Column:
+    return _compose(wiki_stages())(c)
 
 
-def clean_wiki(c, depth: int = 5) -> Column:
+def clean_wiki(c) -> Column:
     """TXT-28 without the line compaction, one expression (small inputs);
     prefer :func:`with_clean_wiki`."""
-    return _compose(wiki_stages(depth) + clean_stages())(c)
+    return _compose(wiki_stages() + clean_stages())(c)
 
 
-def with_clean_wiki(df, col: str, out: str, depth: int = 5):
+def with_clean_wiki(df, col: str, out: str):
     """wiki2text + clean() as guarded projections: the form for large texts."""
-    return with_stages(df, col, out, wiki_stages(depth, guarded=True) + clean_stages(guarded=True))
+    return with_stages(df, col, out, wiki_stages(guarded=True) + clean_stages(guarded=True))
 
 
 def residual_markup(c) -> Column:
-    """Count of markup openers left after cleaning (deeper than ``depth``
-    nesting or unbalanced): reported, not hidden."""
+    """Count of markup openers left after cleaning (unbalanced): reported, not
+    hidden."""
     return F.size(F.regexp_extract_all(_c(c), F.lit(r"\{\{|\}\}|\[\[|\]\]"), 0))
 
 

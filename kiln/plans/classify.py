@@ -216,7 +216,7 @@ _PROBE_SRC = f"""SELECT doc_id, lang, {S.tokens(S.strip('text'))} AS w, TRUE AS
 _PIVOT = """, conf AS (SELECT label, prediction, count(*) AS n FROM pred GROUP BY ALL),
 grid AS (SELECT a.label, b.label AS prediction, coalesce(conf.n, 0) AS n
          FROM cls a CROSS JOIN cls b LEFT JOIN conf ON conf.label = a.label AND conf.prediction = b.label)
-SELECT * FROM (PIVOT grid ON prediction USING first(n) GROUP BY label)"""
+SELECT label, """ + ", ".join(f"max(n) FILTER (WHERE prediction = '{x}') AS {x}" for x in ("de", "en", "es", "fr")) + " FROM grid GROUP BY label"
 
 
 ORACLE = {

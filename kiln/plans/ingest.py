@@ -168,12 +168,12 @@ def q_dump_templates(spark, sf):
 
 
 def write_medline(spark, sf) -> str:
-    """conversations as MEDLINE citations: turn 0 = title, turns 1-2 =
-    AbstractText elements, turn 3 = OtherAbstract (missing turns -> missing
-    elements)."""
+    """conversations as MEDLINE citations, one for every four turns: the first =
+    title, the next two = AbstractText elements, the fourth = OtherAbstract
+    (missing turns -> missing elements)."""
     c = read_table(spark, sf, "conversations")
-    g = c.groupBy("conv_id").agg(*[F.max(F.when(F.col("turn") == k, F.col("text"))).alias(f"t{k}")
-                                   for k in range(4)])
+    g = c.groupBy("conv_id", F.floor(F.col("turn") / 4)).agg(
+        *[F.max(F.when(F.col("turn") % 4 == k, F.col("text"))).alias(f"t{k}") for k in range(4)])
 
     abstract = F.when(F.col("t1").isNotNull(), F.struct(
         F.filter(F.array("t1", "t2"), lambda x: x.isNotNull()).alias("AbstractText")))
@@ -228,9 +228,9 @@ ORACLE = {
     "q_dump_templates": "SELECT 'Template:T' || doc_id AS title, '{{{1}}}' AS body FROM documents WHERE doc_id % 50 = 0",
     "q_siteinfo": """SELECT 'https://en.example.org/wiki' AS base, * FROM (VALUES ('0', ''), ('10', 'Template'),
         ('828', 'Module')) t(key, name)""",
-    "q_medline": """WITH g AS (SELECT conv_id, max(text) FILTER (WHERE turn = 0) AS title,
-            max(text) FILTER (WHERE turn = 1) AS abstract, max(text) FILTER (WHERE turn = 3) AS other_abstract
-            FROM conversations GROUP BY conv_id)
+    "q_medline": """WITH g AS (SELECT conv_id, max(text) FILTER (WHERE turn % 4 = 0) AS title,
+            max(text) FILTER (WHERE turn % 4 = 1) AS abstract, max(text) FILTER (WHERE turn % 4 = 3) AS other_abstract
+            FROM conversations GROUP BY conv_id, turn // 4)
         SELECT title, abstract, other_abstract,
                concat_ws(chr(10) || chr(10), title, nullif(concat_ws('', abstract, other_abstract), '')) AS text FROM g""",
 }

@@ -63,13 +63,18 @@ def file_numbers(df: DataFrame, cum_col: str, size_col: str, cap_bytes: int = 1
                  per_dir: int = 100) -> DataFrame:
     """SNK-4 naming: file number = floor(bytes before the record / cap) (a file
     may exceed the cap by one record, Q18), 100 files per directory, directories
-    ``AA``, ``AB``, …, files ``wiki_00`` … ``wiki_99``."""
-    cap = max(int(cap_bytes), 200 * 1024)
+    ``AA``, ``AB``, … ``ZZ``, then ``BAA`` and so on with as many letters as are
+    needed, files ``wiki_00`` … ``wiki_99``.  A cap under 200 KiB is refused."""
+    cap = int(cap_bytes)
+    if cap < 200 * 1024:
+        raise ValueError("a file takes at least 200 KiB")
     start = F.col(cum_col) - F.col(size_col)
     no = F.floor(start / cap)
-    d = F.floor(no / per_dir)
-    letters = F.concat(F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (F.floor(d / 26) % 26 + 1).cast("int"), 1),
-                       F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (d % 26 + 1).cast("int"), 1))
+    d = F.floor(no / per_dir).cast("bigint")
+    # base 26 with at least two digits, A = 0; 14 digits hold every bigint
+    digit = lambda k: F.substr(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (F.floor(d / F.lit(26 ** k)) % 26 + 1).cast("int"), F.lit(1))
+    more = [F.when(d >= 26 ** k, digit(k)).otherwise("") for k in range(13, 1, -1)]
+    letters = F.concat(*more, digit(1), digit(0))
     return df.withColumn("file_no", no.cast("bigint")).withColumn("dir", letters) \
              .withColumn("file", F.format_string("wiki_%02d", (no % per_dir).cast("int")))
 

@@ -82,7 +82,8 @@ def site_info(spark: SparkSession, path: str) -> DataFrame:
     si = F.regexp_extract("chunk", r"(?s)(<siteinfo>.*?</siteinfo>)", 1)
     schema = "base STRING, namespaces STRUCT<namespace: ARRAY<STRUCT<_key: STRING, _VALUE: STRING>>>"
     parsed = F.from_xml(si, schema, {"rowTag": "siteinfo"})
-    return (ch.filter(si != "").select(parsed.alias("s"))
+    # a substring test finds the one chunk that holds the header
+    return (ch.filter(F.instr("chunk", "<siteinfo>") > 0).filter(si != "").select(parsed.alias("s"))
             .select(F.regexp_replace("s.base", r"/[^/]*$", "").alias("base"),
                     F.col("s.namespaces.namespace").alias("namespaces")))
 

@@ -24,13 +24,23 @@ CASES = [
     ("<b>bo</b><span class=x>sp</span>", "bosp"),                      # TXT-12
     ("a<ref>cite</ref>b<div><div>in</div>out</div>c", "abc"),         # TXT-13 nested
     ("<math>x^2</math> and <math>y</math>; <code>c</code>", "formula_1 and formula_2; codice_1"),  # TXT-14
+    ("a" + "<div>L<DIV x=1>" * 25 + "</div>" * 50 + "z", "az"),        # TXT-13 depth 50
+    ("a" + "{{t|" * 40 + "x" + "}}" * 40 + "[[File:f|" * 40 + "c" + "]]" * 40 + "b", "ab"),   # TXT-1, TXT-4 depth 40
+    ("<li>one<li>two</li> {{open [[File:x|[[inner]] rest", "<li>one {{open [[File:x|inner rest"),  # unbalanced stays
+    ("&#x0000000000041;", "A"),                                       # TXT-8 leading zeros
     ("<<q>>\tmany    spaces.....,, x,.", "«q» many spaces..., x."),     # TXT-15
     ("<nowiki>{{kept}}</nowiki>", "<nowiki>{{kept}}</nowiki>"),       # TXT-18
 ]
 
 
-@pytest.mark.parametrize("src,expected", CASES)
-def test_clean_wiki_cases(spark, src, expected):
+def test_clean_wiki_cases(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)], "i int, t string")
+    got = {r.i: r.o for r in M.with_clean_wiki(df, "t", "o").collect()}
+    assert [(CASES[i][0], got[i]) for i in range(len(CASES))] == CASES
+
+
+def test_one_expression_gives_the_same(spark):
+    src, expected = CASES[0]
     assert run(spark, M.clean_wiki, [src]) == [expected]
 
 
@@ -57,9 +67,10 @@ def test_compact_cases(spark, src, expected):
 
 
 def test_residual_markup_counts(spark):
-    deep = "{{" * 7 + "x" + "}}" * 7
-    out = run(spark, lambda c: M.residual_markup(M.clean_wiki(c)), [deep, "plain"])
-    assert out[0] > 0 and out[1] == 0
+    """Balanced markup leaves nothing at any depth; what has no partner is counted."""
+    texts = ["{{" * 7 + "x" + "}}" * 7, "{{" * 7 + "x" + "}}" * 5, "plain"]
+    out = run(spark, lambda c: M.residual_markup(M.clean_wiki(c)), texts)
+    assert out == [0, 2, 0]
 
 
 SECTIONS = [
@@ -72,3 +83,15 @@ SECTIONS = [
 @pytest.mark.parametrize("src,expected", SECTIONS)
 def test_compact_keep_sections(spark, src, expected):
     assert run(spark, lambda c: M.compact(c, keep_sections=True), [src]) == [expected]
+
+
+def test_large_page(spark):
+    """A page of 1 MB with thousands of nested blocks is cleaned in one scan."""
+    import time
+    block = "{{a|{{b}}|[[File:x|[[y]]]]}}<div><div>in</div></div>word "
+    page = block * 18_000
+    t0 = time.time()
+    df = spark.createDataFrame([(1, page)], "i int, t string")
+    out = M.with_clean_wiki(df, "t", "o").first().o
+    assert out == "word " * 18_000 and len(page) > 1_000_000
+    assert time.time() - t0 < 60
