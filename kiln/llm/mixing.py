@@ -1,22 +1,25 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 Each source's documents are put in a seeded random order and cut into blocks of
-``block`` documents.  Source s has ``c_s`` shares; with ``P`` the shares of all
-sources that still have blocks, its weight is ``w = c_s / P``, and its i-th block
-(from 0) is released at slot ``floor(i / w)`` with deadline ``ceil((i + 1) / w)``.
-Earliest deadline first among the released blocks fills every slot and keeps each
-source, after any number of slots t, within less than one block of ``w * t``.
-
-All lags are zero again after P slots, so the schedule repeats: one period (at
-most ``PERIOD`` slots, or four per source) is worked out on the driver and a block's slot follows
-from its number by arithmetic inside the tasks.  When a source is used up, a new
-phase begins with the others' shares and the bound starts anew.  Every document
-gets exactly one place.  The driver sees one count per source; the plan holds at
-most one period per phase, and phases are at most as many as sources.
-
-Defined cases: a null source is a source of its own; a source that ``weights``
-does not name has one share, as has a weight that rounds to none; equal weights
-and equal deadlines go by source name; repeated rows are separate documents and
+``block`` documents.  The weights are taken as exact fractions: with ``c_s`` whole
+shares of source s in their ratio and ``P`` the shares of all sources that still
+have blocks, its weight is ``w = c_s / P``, and its i-th block (from 0) is released
+at slot ``floor(i / w)`` with deadline ``ceil((i + 1) / w)``.  Earliest deadline
+first among the released blocks fills every slot and keeps each source, after any
+number of slots t, within less than one block of ``w * t``.
+
+All lags are zero again after P slots, so the schedule repeats: the driver works
+out one period, or the slots until a source is used up if that comes first, and a
+block's slot follows from its number by arithmetic inside the tasks.  When a source
+is used up, a new phase begins with the others' weights and the bound starts anew.
+Every document gets exactly one place.  The driver sees one count per source; the
+plan holds at most eight bytes a block (not a document), and phases are at most as
+many as sources.
+
+Defined cases: a null source is a source of its own; sources of
+weight 0, as those that ``weights`` does not name, follow when all others are used
+up, with equal weights; negative and non-finite weights are errors; equal deadlines
+go by source name; repeated rows are separate documents and
 rows with equal ids are interchangeable; an empty table gives no rows; extra
 columns are ignored.
 """
@@ -24,6 +27,8 @@ columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +38,22 @@ from pyspark.sql import functions as F
 from kiln.llm.common import fresh, materialize
 
 BLOCK = 64           # documents
-PERIOD = 4096        # shares in all
 ALPHA = 0.7          # default weights: documents of the source to this power
 SEED = 17
 BUCKET = 20_000      # rows ranked in one window, about
 
 
-def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Weights as whole shares of ``period``, at least one each, by largest remainder."""
+def shares(weights: dict[str, float], period: int | None = None) -> dict[str, int]:
+    """Weights as whole shares in exactly their ratio; with ``period`` rounded to so
+    many shares in all, at least one each, by largest remainder."""
+    if period is None:
+        if not all(0 <= w < math.inf for w in weights.values()):
+            raise ValueError("weights must be finite and not negative")
+        exact = {s: Fraction(w) for s, w in weights.items()}
+        scale = math.lcm(*(x.denominator for x in exact.values()))
+        whole = {s: int(x * scale) for s, x in exact.items()}
+        common = math.gcd(*whole.values()) or 1
+        return {s: x // common for s, x in whole.items()}
     period = max(period, 4 * len(weights))
     total = sum(weights.values()) or 1.0
     exact = {s: w / total * period for s, w in weights.items()}
@@ -52,8 +65,9 @@ def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
     return out
 
 
-def one_period(c: dict[str, int]) -> list[str]:
-    """The source of each of the sum(c) slots, earliest deadline first."""
+def one_period(c: dict[str, int], blocks: dict[str, int] | None = None) -> list[str]:
+    """The source of each of the sum(c) slots, earliest deadline first; with
+    ``blocks`` only up to the slot that uses up the first source."""
     p, t, order = sum(c.values()), 0, []
     waiting = [(0, -(-p // n), s, 0) for s, n in c.items()]   # release, deadline, source, block
     heapq.heapify(waiting)
@@ -65,6 +79,8 @@ def one_period(c: dict[str, int]) -> list[str]:
         _, s, i = heapq.heappop(ready)
         order.append(s)
         i += 1
+        if blocks is not None and i == blocks[s]:
+            break
         if i < c[s]:
             heapq.heappush(waiting, (i * p // c[s], -(-(i + 1) * p // c[s]), s, i))
         t += 1
@@ -73,20 +89,26 @@ def one_period(c: dict[str, int]) -> list[str]:
 
 def phases(blocks: dict[str, int], c: dict[str, int]) -> dict[str, list[tuple]]:
     """For each source its phases: (first block, base slot, period, slots of its
-    blocks in one period)."""
+    blocks in one period, or in the phase where that is shorter)."""
     left, done, base = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0
     out: dict[str, list[tuple]] = {s: [] for s in blocks}
     while left:
-        active = {s: c[s] for s in left}
-        order, p = one_period(active), sum(active.values())
+        active = {s: c[s] for s in left if c[s]} or dict.fromkeys(left, 1)
+        common = math.gcd(*active.values())
+        active = {s: n // common for s, n in active.items()}
+        order = one_period(active, left)
+        p = len(order)
         place: dict[str, list[int]] = {s: [] for s in active}
         for slot, s in enumerate(order):
             place[s].append(slot)
         slots = {s: np.array(x, np.int64) for s, x in place.items()}
-        end = min((n - 1) // c[s] * p + int(slots[s][(n - 1) % c[s]]) for s, n in left.items()) + 1
-        for s in active:
-            out[s].append((done[s], base, p, slots[s]))
-            used = end // p * c[s] + int(np.searchsorted(slots[s], end % p))
+        # a source without a slot here stays for a later phase
+        end = min((left[s] - 1) // len(x) * p + int(x[(left[s] - 1) % len(x)]) for s, x in slots.items() if len(x)) + 1
+        for s, x in slots.items():
+            if not len(x):
+                continue
+            out[s].append((done[s], base, p, x))
+            used = end // p * len(x) + int(np.searchsorted(x, end % p))
             done[s] += used
             left[s] -= used
         left = {s: n for s, n in left.items() if n}
@@ -113,9 +135,10 @@ def ranked(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK,
-             period: int = PERIOD, seed: int = SEED) -> DataFrame:
+             period: int | None = None, seed: int = SEED) -> DataFrame:
     """(doc_id, source, block, slot, position): ``slot`` of the document's block in
-    the mix and ``position = slot * block + place in the block``, the order to read in."""
+    the mix and ``position = slot * block + place in the block``, the order to read in;
+    ``period`` rounds the weights to so many shares."""
     order = materialize(ranked(docs, seed), "mix-ranks")
     sizes = {r["_source"]: r["n"] for r in order.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).collect()}
     given = {"=" + s if s is not None else "": w for s, w in (weights or {}).items()}

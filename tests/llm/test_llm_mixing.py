@@ -1,6 +1,8 @@
 import random
 from collections import Counter
+from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from kiln.llm import mixing as M
@@ -80,3 +82,33 @@ def test_mixed_keeps_rows_and_columns(docs_of):
 def test_empty_table(docs_of):
     assert M.schedule(docs_of([])).count() == 0
     assert M.mixed(docs_of([])).count() == 0
+
+
+def worst_lag(weights, slots):
+    """Most blocks by which a source leaves its given weight in the first slots."""
+    table, total, worst = M.phases({s: slots for s in weights}, M.shares(weights)), sum(map(Fraction, weights.values())), 0.0
+    for s, w in weights.items():
+        i = np.arange(slots)
+        starts = np.array([x[0] for x in table[s]])
+        k = np.searchsorted(starts, i, side="right") - 1
+        at = np.concatenate([base + (i[k == n] - first) // len(x) * p + x[(i[k == n] - first) % len(x)]
+                             for n, (first, base, p, x) in enumerate(table[s])])
+        at = at[at < slots]
+        for count, slot in zip(range(len(at)), at.tolist(), strict=True):
+            ideal = Fraction(w) / total
+            worst = max(worst, abs(float(count - ideal * slot)), abs(float(count + 1 - ideal * (slot + 1))))
+        worst = max(worst, abs(float(len(at) - Fraction(w) / total * slots)))
+    return worst
+
+
+def test_long_schedules_keep_the_given_weights():
+    ends = {f"s{k}": (300 + 211 * k) ** 0.7 for k in range(20)}
+    for weights in ({"a": 1, "b": 2}, {"a": 1.0, "b": 1e-5}, ends, {"hot": 10.0, **{f"s{k}": 1.0 for k in range(20)}}):
+        assert worst_lag(weights, 150_000) < 1 + 1e-9
+
+
+def test_a_weight_of_zero_waits_for_the_others():
+    table = M.phases({"a": 50, "b": 20, "z": 5, "y": 5}, M.shares({"a": 0.3, "b": 0.7, "z": 0, "y": 0}))
+    assert table["z"][0][1] == table["y"][0][1] == 70 and [x[0] for x in table["a"]] == [0, table["a"][1][0]]
+    with pytest.raises(ValueError):
+        M.shares({"a": -1.0, "b": 2.0})
