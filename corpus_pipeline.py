@@ -9,7 +9,8 @@ the columns they got.
    the smallest id.
 3. ``decontamination``: documents that contain a benchmark passage go.
 4. ``mixing``: all rows stay, in files that follow the Pfair mix of the sources.
-5. ``training_order``: token-id shards; returns their index, one row per sequence.
+5. ``training_order``: token-id shards, their sequences cut from the documents in
+   the order of stage 4's files; returns their index, one row per sequence.
 
 Rows without a ``doc_id`` pass stages 1 to 4 under their text alone: they are
 scored and searched like others, and stay in stage 2.
@@ -52,7 +53,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return training_order.write_shards(docs, scratch_path(spark, "training-order"))
+    return training_order.write_shards(docs, scratch_path(spark, "training-order"), as_listed=True)
 
 
 STAGES = [("toxicity", clean_language), ("near_duplicates", one_of_each), ("decontamination", without_benchmark),

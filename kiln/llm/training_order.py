@@ -1,7 +1,7 @@
 """Token ids in training order: packed sequences, permuted, in fixed-stride shards.
 
-All documents, in the order of their ids and each closed by the end-of-text
-token, make one stream of token ids that is cut into sequences of ``LENGTH``; the
+All documents, in the order of their ids (or, with ``as_listed``, of their files
+and the rows in them) and each closed by the end-of-text token, make one stream of token ids that is cut into sequences of ``LENGTH``; the
 last one is filled up with end-of-text tokens.  A keyed Feistel permutation of
 the sequence numbers, walked along its cycle until it falls inside the range,
 gives every sequence its global slot: no shuffle order is stored, and slot and
@@ -23,7 +23,8 @@ leaves the same file.
 
 Defined cases: null text is empty and gives the end-of-text token alone; special
 token strings in a text are ordinary text; rows without an id come first; rows
-with equal ids go by the hash of their text, repeated rows are kept; an empty
+with equal ids go by the hash of their text (``as_listed``: all rows as they
+stand), repeated rows are kept; an empty
 table gives no sequence and no shard; extra columns are ignored.
 """
 
@@ -178,14 +179,26 @@ def _known(folder: str, part: int, rows: int) -> tuple[list, list]:
 
 
 def write_shards(docs: DataFrame, folder: str, key: str = KEY, length: int = LENGTH, shard: int = SHARD,
-                 vocabulary: str = TOKENIZER, end: int = END, stored: bool = True) -> DataFrame:
+                 vocabulary: str = TOKENIZER, end: int = END, stored: bool = True, as_listed: bool = False) -> DataFrame:
     """Write the shards of ``docs`` below ``folder`` and return their index, one
     row per sequence: slot, sequence, shard, byte_offset, n_tokens (without the
-    filling), doc_ids (in stream order), tokens_sha256."""
+    filling), doc_ids (in stream order), tokens_sha256.  ``as_listed`` cuts the
+    sequences from the rows as the input's files list them (by number of the file,
+    as Spark names them, then row), not by id."""
     spark = docs.sparkSession
     small_batches(spark)
+    if as_listed and not stored:
+        raise ValueError("only a stored input has an order of its own")
+    keys = ["doc_id", "_tie", "_scan", "_row"]
+    listed = []
+    if as_listed:
+        about = docs.metadataColumn("_metadata")
+        name = about.getField("file_path")
+        # file numbers are padded, so a longer name has the higher number
+        listed = [F.length(name).alias("_long"), name.alias("_file"), about.getField("row_index").alias("_at")]
+        keys = ["_long", "_file", "_at"]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       F.xxhash64("text").alias("_tie"))
+                       F.xxhash64("text").alias("_tie"), *listed)
     if not stored:
         docs = materialize(docs, "order-input")
     with open(vocabulary, "rb") as f:
@@ -196,14 +209,15 @@ def write_shards(docs: DataFrame, folder: str, key: str = KEY, length: int = LEN
         for b in batches:
             n = [x + 1 for x in counts(b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array([part] * len(n), pa.int32()),
-                 pa.array(range(at, at + len(n)), pa.int64())], names=["doc_id", "_tie", "_n", "_scan", "_row"])
+                [b.column(0), *b.columns[2:], pa.array(n, pa.int64()), pa.array([part] * len(n), pa.int32()),
+                 pa.array(range(at, at + len(n)), pa.int64())], names=["doc_id", *b.schema.names[2:], "_n", "_scan", "_row"])
             at += len(n)
 
-    counts = materialize(docs.mapInArrow(lengths, "doc_id long, _tie long, _n long, _scan int, _row long"), "token-counts")
+    extra = "_long int, _file string, _at long, " if as_listed else ""
+    counts = materialize(docs.mapInArrow(lengths, f"doc_id long, _tie long, {extra}_n long, _scan int, _row long"), "token-counts")
     total = counts.agg(F.sum("_n")).first()[0] or 0
     n = -(-total // length)
-    order = running_offsets(counts, ["doc_id", "_tie", "_scan", "_row"], F.col("_n"), "_offset")
+    order = running_offsets(counts, keys, F.col("_n"), "_offset")
     places = write_by_scan(order.select("_scan", "_row", "doc_id", "_offset"), ["_row"], "token-offsets")
 
     def pieces(batches):

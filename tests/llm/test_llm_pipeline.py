@@ -1,5 +1,5 @@
 import corpus_pipeline as P
-from kiln.llm import decontaminate, simhash, toxicity
+from kiln.llm import decontaminate, mixing, simhash, toxicity
 from kiln.llm.common import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -43,3 +43,20 @@ def test_empty(spark, sf, stored):
     for _, stage in P.STAGES:
         docs = materialize(stage(spark, docs, sf), "test")
     assert docs.count() == 0
+
+
+def test_the_mix_decides_the_sequences(spark, stored):
+    docs = stored([(i, f"text number {i} " + "word " * (i % 90), "ab"[i % 3 == 0]) for i in range(3000)])
+
+    def sequences(mixed):
+        rows = sorted(P.STAGES[-1][1](spark, mixed, "").collect(), key=lambda r: r["sequence"])
+        ids = [i for r in rows for i in r["doc_ids"]]
+        return list(dict.fromkeys(ids))
+
+    seen = {}
+    for name, weights in (("more a", {"a": 9, "b": 1}), ("more b", {"a": 1, "b": 9})):
+        place = {r["doc_id"]: r["position"] for r in mixing.schedule(docs, weights=weights).collect()}
+        seen[name] = sequences(materialize(mixing.mixed(docs, weights=weights), "test"))
+        assert seen[name] == sorted(place, key=place.get)
+    assert seen["more a"] != seen["more b"]
+    assert sequences(docs.orderBy("doc_id").transform(lambda d: materialize(d, "test"))) == list(range(3000))
