@@ -1,9 +1,10 @@
 """Licence scans: Dice coefficient over word bigrams of normalised text.
 
-A document's units are its lines, its paragraphs (lines between blank lines) and
-the whole text.  Unit and template are normalised (lower case, words of letters,
-digits and inner dots; copyright lines with their years and names dropped) and
-compared as multisets of word bigrams: ``2 * shared / (bigrams of the unit +
+A document's units are its lines, its paragraphs (lines between blank lines), the
+whole text and all runs of consecutive lines, blank ones among them.  Unit and
+template are normalised (lower case, words of letters, digits and inner dots; a
+copyright notice that begins a line dropped with its years and names, up to the end
+of its sentence or a word that begins a licence) and compared as multisets of word bigrams: ``2 * shared / (bigrams of the unit +
 bigrams of the template)``.  A template can reach ``SIMILARITY`` only if the
 smaller of the two has at least ``SIMILARITY / (2 - SIMILARITY)`` of the larger
 one's bigrams: units outside the bounds of all templates are not even split, and
@@ -11,18 +12,26 @@ for each unit only the templates within its bounds that share a bigram are
 compared.  Templates are given, few and small, so they go to every task;
 documents are scanned where they are, without a shuffle.
 
+Runs of lines: with ``h`` of a unit's ``n`` bigrams in a template of ``T``, the
+coefficient reaches ``SIMILARITY`` only if ``h - n * SIMILARITY / 2`` is at least
+``T * SIMILARITY / 2``.  Running sums of that difference give, in one pass over the
+lines with such bigrams, the lines where a run can begin at all; only from those on
+are the runs within the size bounds compared, line by line.
+
 Defined cases: null text and texts without a unit in bounds give no rows; a unit
 of one word has no bigram and matches nothing; ties between templates go to the
 larger one, then by name; for each document and template the best unit counts
-(then line before paragraph before whole text, then the earliest); repeated rows
+(then line before paragraph before whole text before run, then the earliest); repeated rows
 are scanned each; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
-from itertools import chain
+from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -81,15 +90,25 @@ TEMPLATES = {
     "CC0-1.0-notice": (
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
 }
-UNITS = ("line", "paragraph", "text")
-
-_COPYRIGHT = re.compile(r"(?i)\W*(?:copyright\b|\(c\)|©)")
+UNITS = ("line", "paragraph", "text", "run")
+
+_COPYRIGHT = re.compile(r"(?i)\W*(?:copyright\b(?!\s+(?:and|holders?|laws?|licen[cs]es?|notices?|or|owners?|statements?)\b)|\(c\)|©)")
+# Where a copyright notice ends: a sentence's end (not after an initial or Inc.), or before a word that begins a licence.
+_CLAUSE_END = re.compile(
+    r"(?i)(?<!\W\w)(?<!\binc)(?<!\bltd)(?<!\bco)(?<!\bcorp)(?<!\bjr)(?<!\bsr)(?<!\bet al)[.;](?=\s+\S)"
+    r"|(?=\b(?:licen[cs]ed|released|distributed|redistributions?|permission|this|use of|to the extent)\s)")
+_RESERVED = re.compile(r"(?i)\W*(?:all|some|no) rights reserved\b")
 _TOKEN = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
 
 
 def line_words(line: str) -> list[str]:
     """The normalised words of one line."""
-    return [] if _COPYRIGHT.match(line) else _TOKEN.findall(line.lower())
+    while notice := _COPYRIGHT.match(line):
+        stop = _CLAUSE_END.search(line, notice.end())
+        line = line[stop.end():] if stop else ""
+        if reserved := _RESERVED.match(line):
+            line = line[reserved.end():]
+    return _TOKEN.findall(line.lower())
 
 
 def bigrams(words: list[str]) -> Counter:
@@ -126,6 +145,58 @@ class Matcher:
         dice = {name: 2 * s / (n + self.size[name]) for name, s in shared.items()}
         return {name: d for name, d in dice.items() if d >= self.similarity}
 
+    def runs(self, lines: list[list[str]]) -> Iterator[tuple[str, float, int]]:
+        """(template, dice, first line) of the best run of two or more lines for
+        each template that one reaches."""
+        words = list(chain.from_iterable(lines))
+        having, places = self.having, defaultdict(list)
+        for i, x in enumerate(zip(words, words[1:])):
+            if x in having:
+                for name in having[x]:
+                    places[name].append(i)
+        half = self.similarity / 2
+        line_of = first = None
+        for name, hits in places.items():
+            size = self.size[name]
+            if len(hits) < half * (size + self.low[name]) - 1e-9:
+                continue
+            if line_of is None:
+                line_of = list(chain.from_iterable([k] * len(x) for k, x in enumerate(lines)))
+                first = list(accumulate((len(x) for x in lines), initial=0))
+            # A best run begins in a line with a hit's first word and ends in one with a hit's second word.
+            starts, stops, ends = [], [], []     # (line, hits before); hits up to; word after
+            for k, i in enumerate(hits):
+                if not starts or starts[-1][0] != line_of[i]:
+                    starts.append((line_of[i], k))
+                stop = first[line_of[i + 1] + 1]
+                if ends and ends[-1] == stop:
+                    stops[-1] = k + 1
+                else:
+                    ends.append(stop)
+                    stops.append(k + 1)
+            gain = [h - half * (e - 1) for h, e in zip(stops, ends, strict=True)]
+            ahead = list(accumulate(reversed(gain), max))[::-1]
+            best, grams = None, self.grams[name]
+            for line, before in starts:
+                begin = first[line]
+                j = bisect_right(ends, begin)
+                if j == len(ends) or ahead[j] - (before - half * begin) < half * size - 1e-9:
+                    continue
+                count: Counter = Counter()
+                shared, k = 0, before
+                while j < len(ends) and (n := ends[j] - 1 - begin) <= self.high[name]:
+                    while k < stops[j]:
+                        x = words[hits[k]], words[hits[k] + 1]
+                        count[x] += 1
+                        shared += count[x] <= grams[x]
+                        k += 1
+                    d = 2 * shared / (n + size)
+                    if d >= self.similarity and line_of[ends[j] - 1] > line and (best is None or d > best[0]):
+                        best = (d, line)
+                    j += 1
+            if best:
+                yield name, *best
+
     def scan(self, text: str) -> list[tuple[str, float, str, int]]:
         """(template, dice, unit, first line) of the best unit for each template."""
         lines, found = [line_words(line) for line in text.split("\n")], {}
@@ -147,6 +218,9 @@ class Matcher:
             start = i + 1
         if len(lines) > 1:
             look(2, 0, list(chain.from_iterable(lines)))
+            for name, d, at in self.runs(lines):
+                if name not in found or (-d, 3, at) < found[name]:
+                    found[name] = (-d, 3, at)
         return [(name, -d, UNITS[kind], at) for name, (d, kind, at) in found.items()]
 
 

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -51,3 +52,38 @@ def test_best_and_empty(docs_of):
     assert [r["license"] for r in rows if r["best"]] == ["Apache-2.0-short"]
     assert L.scan(docs_of([])).count() == 0
     assert L.scan(docs_of([(1, "anything at all")]), templates={}).count() == 0
+
+
+MIT = L.TEMPLATES["MIT"].replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+
+
+def test_a_header_with_blank_lines_in_front_of_code():
+    match = L.Matcher(L.TEMPLATES, L.SIMILARITY)
+    code = "\n\nimport sys\n\n" + "\n".join(f"def function_{i}(value):\n    return value + {i}" for i in range(200))
+    gpl = L.TEMPLATES["GPL-3.0-notice"].replace("version. This", "version.\n\nThis").replace("details. You", "details.\n\nYou")
+    assert MIT.count("\n\n") == gpl.count("\n\n") == 2
+    assert match.scan("MIT License\n\nCopyright (c) 2020 Foo\n\n" + MIT + code) == [("MIT", 1.0, "run", 4)]
+    assert match.scan("#!/bin/x\n\n" + gpl.replace(" of ", " of\n") + code) == [("GPL-3.0-notice", 1.0, "run", 2)]
+
+
+def test_runs_equal_all_runs():
+    rnd = random.Random(5)
+    templates = {"x": "a b c d e f g h", "y": "a b a b c a b", "z": "d e f"}
+    match = L.Matcher(templates, L.SIMILARITY)
+    for _ in range(3000):
+        lines = [[rnd.choice("abcdefgh") if rnd.random() < 0.3 else "abcdefgh"[(k + j) % 8] for j in range(rnd.randint(0, 4))] for k in range(rnd.randint(1, 9))]
+        best = {}
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                for name, t in templates.items():
+                    best[name] = max(best.get(name, 0), dice(" ".join(w for x in lines[i:j] for w in x), t))
+        got = {name: d for name, d, _, _ in match.scan("\n".join(" ".join(x) for x in lines))}
+        assert {n: round(d, 9) for n, d in got.items()} == {n: round(d, 9) for n, d in best.items() if d >= L.SIMILARITY}
+
+
+def test_only_the_copyright_notice_is_dropped():
+    for line in ("Copyright (c) 2020 Foo. Released under the MIT License.", "# (c) 2020-2021 J. Foo, Inc. All rights reserved. Released under the MIT License.",
+                 "Copyright 2020 Foo, released under the MIT License."):
+        assert [r[:2] for r in L.Matcher(L.TEMPLATES, L.SIMILARITY).scan(line)] == [("MIT-short", 1.0)], line
+    assert L.line_words("Copyright (c) 2020 Foo Inc.") == L.line_words("© Foo. All rights reserved.") == []
+    assert L.line_words("copyright notice and this") == ["copyright", "notice", "and", "this"]
