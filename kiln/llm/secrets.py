@@ -7,7 +7,16 @@ span are measured by the bytes they add to a Zstandard frame of their
 surroundings, with a dictionary of identifiers as prefix: compressed(surroundings
 + candidate) - compressed(surroundings).  Words and identifiers are found in the
 surroundings or the dictionary and add a few bytes; a random string adds nearly
-its own length.  From ``NOVELTY`` bytes per character on, the string is reported.
+its own length.  From ``NOVELTY`` bytes per character on, or ``DENSITY`` of the bits
+of its own alphabet (digits, hex digits, or all characters of a string) if that is
+less, the string is reported.
+
+Secrets must not vouch for one another: base spans, other candidates and all other
+strings of ``CANDIDATE`` or more characters are left out of the surroundings.  Only
+strings that stand before it, away from any sensitive word, and share ``CANDIDATE``
+characters with it stay and count as known.  Entropy coding and repeats make long
+strings cheaper, so a string is judged by its pieces of ``PIECE`` characters as well:
+one novel piece is enough.
 
 The identifier dictionary holds the words that stand around sensitive words in
 the corpus, counted over all documents, the most frequent ``DICTIONARY`` of them
@@ -21,7 +30,9 @@ ignored; without any sensitive word the dictionary is empty and nothing is novel
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -44,11 +55,14 @@ CANDIDATE = 16
 REACH = 64
 AROUND = 256
 NOVELTY = 0.8
+DENSITY = 0.95
+PIECE = 32
 DICTIONARY = 4096
 LEVEL = 3
 FLUSH = 100_000
 _SENSITIVE = re.compile("|".join(WORDS), re.IGNORECASE | re.ASCII)
 _STRING = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % CANDIDATE)
+_ALPHABETS = [(re.compile(p), size) for p, size in ((r"[0-9]+", 10), (r"[0-9a-f]+|[0-9A-F]+", 16), (r"[0-9A-Fa-f]+", 22), (r".+", 67))]
 # Words without digits, whole: a random string must not vouch for itself.
 _IDENTIFIER = re.compile(r"(?<!\w)[^\W\d]{3,24}(?!\w)")
 
@@ -76,15 +90,50 @@ def packer(words: list[str]) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False, **kept)
 
 
-def novelty(pack: zstandard.ZstdCompressor, text: str, start: int, end: int) -> float:
-    """Bytes that text[start:end] adds to its surroundings, per character."""
-    around = (text[max(0, start - AROUND):start] + "\n" + text[end:end + AROUND] + "\n").encode(errors="replace")
-    return (len(pack.compress(around + text[start:end].encode())) - len(pack.compress(around))) / (end - start)
+def surroundings(text: str, start: int, end: int, hidden: list[tuple[int, int]]) -> bytes:
+    """The text around text[start:end] without the ``hidden`` spans (in order) and
+    without other long strings, unless they stand before it and share a run with it."""
+    lo, hi = max(0, start - AROUND), end + AROUND
+    runs = {text[i:i + CANDIDATE] for i in range(start, end - CANDIDATE + 1)}
+
+    def shared(a: int, b: int) -> bool:
+        return any(text[i:i + CANDIDATE] in runs for i in range(a, b - CANDIDATE + 1))
+
+    gone = [(a, b) for a, b in hidden[:bisect_left(hidden, (hi, 0))] if b > lo and (b <= start or a >= end)]
+    gone += [m.span() for m in _STRING.finditer(text, lo, start) if not shared(*m.span())]
+    gone += [m.span() for m in _STRING.finditer(text, end, hi + CANDIDATE) if m.start() < hi]
+    out, at = [], lo
+    for a, b in sorted([*gone, (start, end)]):
+        if b > at:
+            out.append(text[at:max(at, a)] + "\n" * (a == start))
+            at = b
+    out.append(text[at:max(at, hi)] + "\n")
+    return "".join(out).encode(errors="replace")
+
+
+def limit(string: str) -> float:
+    """Added bytes per character from which the string is novel."""
+    size = next(n for p, n in _ALPHABETS if p.fullmatch(string))
+    return min(NOVELTY, DENSITY * math.log2(size) / 8)
+
+
+def novel(pack: zstandard.ZstdCompressor, text: str, start: int, end: int, hidden: list[tuple[int, int]]) -> bool:
+    """Whether text[start:end], or a piece of it, is novel in its surroundings."""
+    around = surroundings(text, start, end, hidden)
+    bare = len(pack.compress(around))
+
+    def new(a: int, b: int) -> bool:
+        return len(pack.compress(around + text[a:b].encode())) - bare >= limit(text[a:b]) * (b - a)
+
+    if new(start, end):
+        return True
+    last = end - PIECE
+    return any(new(a, a + PIECE) for a in [*range(start, last, PIECE // 2), last]) if last > start else False
 
 
 def novel_spans(pack: zstandard.ZstdCompressor, text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Incompressible strings near sensitive words, outside the base spans."""
-    out, done = [], -1
+    found, done = [], -1
     taken = sorted((a, b) for _, a, b in base)
     for _, after in sensitive(text):
         for m in _STRING.finditer(text, max(after, done)):
@@ -94,9 +143,9 @@ def novel_spans(pack: zstandard.ZstdCompressor, text: str, base: list[tuple[str,
             if any(a < end and start < b for a, b in taken):
                 continue
             done = end
-            if novelty(pack, text, start, end) >= NOVELTY:
-                out.append(("novel", start, end))
-    return out
+            found.append((start, end))
+    hidden = sorted([*taken, *found])
+    return [("novel", a, b) for a, b in found if novel(pack, text, a, b, hidden)]
 
 
 def identifiers(docs: DataFrame, size: int = DICTIONARY) -> list[str]:

@@ -64,3 +64,38 @@ def test_identifiers_are_counted_over_all_rows(docs_of):
     rows = [(i, "my_config token other_name") for i in range(30)] + [(99, "token rare_name"), (100, "far_away words only")]
     words = S.identifiers(docs_of(rows))
     assert words[:3] == ["token", "my_config", "other_name"] and "rare_name" in words and "far_away" not in words
+
+
+def test_copies_do_not_hide_a_secret():
+    rnd = random.Random(6)
+    pack = S.packer(["configuration", "token", "password"])
+    for _ in range(30):
+        key = random_string(rnd, 40)
+        twice = f"the credential is {key} as in bearer {key}. And so on"
+        assert [t[0] for t in S.novel_spans(pack, twice, S.base_spans(twice))] == ["novel"] * 2
+        echo = f"the credential is {key} and, a good many words further on in the very same line, {key}."
+        assert S.novel_spans(pack, echo, S.base_spans(echo)) == [("novel", 18, 58)]
+        config = f"password={key} then bearer {key}"
+        assert [config[a:b] for _, a, b in S.novel_spans(pack, config, S.base_spans(config))] == [key]
+
+
+def test_length_does_not_hide_a_secret():
+    rnd = random.Random(7)
+    pack = S.packer(["configuration", "token", "password"])
+    for n in (64, 128, 400, 800, 1500, 3000):
+        for letters in (string.ascii_letters + string.digits + "+/", "0123456789ABCDEF"):
+            for _ in range(20):
+                text = "some words around it, bearer " + "".join(rnd.choice(letters) for _ in range(n)) + " and some after"
+                assert S.novel_spans(pack, text, S.base_spans(text)) == [("novel", 29, 29 + n)], (n, letters)
+    assert S.novel_spans(pack, "bearer " + random_string(rnd, 40) * 30, []) == [("novel", 7, 1207)]
+    assert S.novel_spans(pack, "bearer " + "configuration" * 40, []) == S.novel_spans(pack, "bearer " + "=-" * 300, []) == []
+
+
+def test_neighbours_do_not_hide_a_secret():
+    rnd = random.Random(8)
+    pack = S.packer(["configuration", "token", "password"])
+    keys = "\n".join(f"bearer {random_string(rnd, 44)}" for _ in range(50))
+    assert len(S.novel_spans(pack, keys, S.base_spans(keys))) == 50
+    for _ in range(50):
+        text = f"{random_string(rnd, 400)} then bearer {random_string(rnd, 44)} end {random_string(rnd, 400)}"
+        assert ("novel", 413, 457) in S.novel_spans(pack, text, S.base_spans(text))
