@@ -16,11 +16,12 @@ with those of the same anchor, and neighbouring windows with one anchor form a
    with equal bytes the task keeps the earliest; the others are repeats, marked on
    the spot.  The kept ones go to the partition of their anchor.
 3. Index: a partition takes its anchors' distinct segments, earliest first, a few
-   million bytes at a time, and builds their Burrows-Wheeler transform, kept as
-   runs with the sampled positions of run ends.  The segments are then streamed
-   backward through the runs (LF steps): at each place the row reached gives the
-   place's matching statistics, whether it matches ``LENGTH`` bytes elsewhere and
-   where the earliest such match starts.  A window with an earlier one is marked.
+   million bytes at a time, and builds their suffix array and from it the runs of
+   their Burrows-Wheeler transform.  The segments are then streamed backward
+   through the runs (LF steps): the block of the suffix array that the row reached
+   lies in says whether the place matches ``LENGTH`` bytes elsewhere and where the
+   earliest such match starts (the sampled positions of run ends are not read).  A
+   window with an earlier one is marked.
 4. The marks go back by scan partition and are cut out of the texts.
 
 Texts are never shuffled; what a task holds is bounded by its scan partition's
