@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 import pyarrow.dataset as ds
 from pyarrow import fs
@@ -113,3 +115,37 @@ def components(edges: DataFrame) -> DataFrame:
             break
         state = after
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def slices(data: bytes, size: int, separators: bytes) -> Iterator[bytes]:
+    """``data`` in parts of about ``size`` bytes, each but the last ending with
+    one of the one-byte ``separators``; a longer run without one stays whole."""
+    at = 0
+    while at < len(data):
+        end = len(data)
+        if end - at > size:
+            cut = max(data.rfind(s, at, at + size) for s in (separators[i:i + 1] for i in range(len(separators))))
+            if cut < 0:
+                after = [p for i in range(len(separators)) if (p := data.find(separators[i:i + 1], at + size)) >= 0]
+                cut = min(after, default=len(data) - 1)
+            end = cut + 1
+        yield data[at:end]
+        at = end
+
+
+# Keys with over one in so many of a join's rows are hot: fewer keys than that.
+HOT_SHARE = 4096
+
+
+def join_unique(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join of ``left`` (a stored table, read twice) with ``right``, which
+    has one row per key.  A key that more than one in :data:`HOT_SHARE` of left's
+    rows have would make its task long: these keys, fewer than ``HOT_SHARE``, are
+    joined by broadcast, all others by a shuffle in which no key has more rows."""
+    per_key = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    hot = materialize(per_key.where(F.col("_n") > left.count() / HOT_SHARE + 1000).select(*on), "hot-keys")
+    if hot.isEmpty():
+        return left.join(right, on)
+    hot_rows = materialize(right.join(F.broadcast(hot), on), "hot-rows")
+    return (left.join(F.broadcast(hot_rows), on)
+            .unionByName(left.join(F.broadcast(hot), on, "left_anti").join(right, on)))

@@ -6,7 +6,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import decontaminate, imatch, licenses, mixing, secrets, simhash, suffix, toxicity, training_order, warc
+from kiln.llm import (
+    collocations,
+    decontaminate,
+    imatch,
+    licenses,
+    mixing,
+    oracles,
+    quality,
+    resample,
+    secrets,
+    simhash,
+    suffix,
+    toxicity,
+    training_order,
+    warc,
+)
 from kiln.session import read_table, scratch_path
 
 
@@ -61,7 +76,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_novel")
 
 
+def op11_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_imatch, op2_simhash_near_dedup, op3_warc_bundles, op4_source_mix, op5_repeated_passages, op6_training_order, op7_license_scan,
-    op8_toxicity, op9_decontamination, op10_secret_scan)}
-ORACLE: dict[str, str] = {}
+    op8_toxicity, op9_decontamination, op10_secret_scan, op11_quality_ranking, op12_importance_resampling, op13_collocations)}
+ORACLE: dict[str, str] = {"op12_importance_resampling": oracles.RESAMPLE, "op13_collocations": oracles.COLLOCATIONS}
