@@ -217,18 +217,32 @@ def q_pack_files(spark, sf):
     d = documents(spark, sf)
     blocks = d.select("doc_id", F.octet_length(
         sink.doc_block("doc_id", "source", "text", "https://example.org/wiki")).alias("size"))
-    cum = sink.running_total(blocks, "doc_id", "size", block_rows=1000)
+    cum = sink.running_total(blocks, "doc_id", "size")
     return sink.file_numbers(cum, "cum_bytes", "size", PACK_CAP).select(
         "doc_id", "size", "cum_bytes", "file_no", "dir", "file")
 
 
+PACK_KEYS = 97        # distinct hashed keys of q_pack_hashed, whatever the table's size
+
+
+def q_pack_hashed(spark, sf):
+    """WIN-3 + SNK-4 in the order of a hashed key that many blocks share (ties by
+    id): output file of every document block."""
+    d = documents(spark, sf)
+    blocks = d.select(F.md5(F.pmod(F.col("doc_id"), F.lit(PACK_KEYS)).cast("string")).alias("key"), "doc_id", F.octet_length(
+        sink.doc_block("doc_id", "source", "text", "https://example.org/wiki")).alias("size"))
+    cum = sink.running_total(blocks, ["key", "doc_id"], "size")
+    return sink.file_numbers(cum, "cum_bytes", "size", PACK_CAP).select(
+        "key", "doc_id", "size", "cum_bytes", "file_no", "dir", "file")
+
+
 def q_pack_write(spark, sf):
     """SNK-4 write: the packed files written (one folder per dir / file) and
     read back: documents, lines and bytes per output file."""
     d = documents(spark, sf)
     blocks = d.select("doc_id", sink.doc_block("doc_id", "source", "text", "https://example.org/wiki").alias("block"))
     sized = blocks.withColumn("size", F.octet_length("block"))
-    packed = sink.file_numbers(sink.running_total(sized, "doc_id", "size", block_rows=1000),
+    packed = sink.file_numbers(sink.running_total(sized, "doc_id", "size"),
                                "cum_bytes", "size", PACK_CAP)
     out = scratch_path(spark, "packed")
     sink.write_packed(packed, out, order_col="doc_id")
@@ -287,6 +301,7 @@ QUERIES = {
     "q_manifest": q_manifest,
     "q_pack_files": q_pack_files,
     "q_folder_concat": q_folder_concat,
+    "q_pack_hashed": q_pack_hashed,
     "q_pack_write": q_pack_write,
     "q_class_folders": q_class_folders,
     "q_url_list": q_url_list,
@@ -347,6 +362,12 @@ ORACLE = {
         SELECT doc_id, size, cum_bytes, file_no,
                chr(65 + CAST(floor(file_no / 100 / 26) % 26 AS INTEGER)) || chr(65 + CAST(floor(file_no / 100) % 26 AS INTEGER)) AS dir,
                printf('wiki_%02d', CAST(file_no % 100 AS INTEGER)) AS file FROM f""",
+    "q_pack_hashed": f"""WITH b AS (SELECT md5(CAST(doc_id % {PACK_KEYS} AS VARCHAR)) AS key, doc_id, CAST({_BLOCK_LEN} AS INTEGER) AS size FROM documents),
+        c AS (SELECT *, CAST(sum(size) OVER (ORDER BY key, doc_id) AS BIGINT) AS cum_bytes FROM b),
+        f AS (SELECT *, CAST(floor((cum_bytes - size) / {PACK_CAP}) AS BIGINT) AS file_no FROM c)
+        SELECT key, doc_id, size, cum_bytes, file_no,
+               chr(65 + CAST(floor(file_no / 100 / 26) % 26 AS INTEGER)) || chr(65 + CAST(floor(file_no / 100) % 26 AS INTEGER)) AS dir,
+               printf('wiki_%02d', CAST(file_no % 100 AS INTEGER)) AS file FROM f""",
     "q_pack_write": f"""WITH b AS (SELECT doc_id, {_BLOCK_LEN} AS size, len(string_split(text, chr(10))) + 4 AS n_lines FROM documents),
         c AS (SELECT *, sum(size) OVER (ORDER BY doc_id) AS cum FROM b),
         f AS (SELECT *, CAST(floor((cum - size) / {PACK_CAP}) AS BIGINT) AS file_no FROM c)

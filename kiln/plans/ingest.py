@@ -79,17 +79,17 @@ def q_language_corpus(spark, sf):
     return src.language_corpus(spark, f"{out}/*/*", exclude=EXCLUDED, lang_level=1)
 
 
-# The site info block of the generated dump.
-SITEINFO = """<mediawiki xml:lang="en">
-  <siteinfo>
-    <sitename>Example</sitename>
-    <base>https://en.example.org/wiki/Main_Page</base>
-    <namespaces>
-      <namespace key="0" case="first-letter" />
-      <namespace key="10" case="first-letter">Template</namespace>
-      <namespace key="828" case="first-letter">Module</namespace>
-    </namespaces>
-  </siteinfo>"""
+def site_header(d):
+    """The site info block of the generated dump: the base URL from the first
+    language, the names of keys 10 and 828, and a namespace for every source."""
+    sources = F.array_sort(F.collect_set("source"))
+    own = F.transform(sources, lambda x, i: F.concat(F.lit('      <namespace key="'), (i * 2 + 100).cast("string"),
+                                                      F.lit('" case="first-letter">'), wiki.xml_escape(x), F.lit("</namespace>\n")))
+    return d.agg(F.concat(
+        F.lit('<mediawiki xml:lang="'), F.min("lang"), F.lit('">\n  <siteinfo>\n    <sitename>Example</sitename>\n    <base>https://'), F.min("lang"),
+        F.lit(".example.org/w"), F.count(F.lit(1)).cast("string"), F.lit('/Main_Page</base>\n    <namespaces>\n      <namespace key="0" case="first-letter" />\n'
+              '      <namespace key="10" case="first-letter">Template</namespace>\n      <namespace key="828" case="first-letter">Module</namespace>\n'),
+        F.array_join(own, ""), F.lit("    </namespaces>\n  </siteinfo>")).alias("value")).select(F.lit(-1).cast("long").alias("pos"), "value")
 
 
 def _page(id_, title, ns, revid, body, redirect=None):
@@ -125,8 +125,7 @@ def write_dump(spark, sf, compression="bzip2") -> str:
     rows.append(d.filter(i % 11 == 0).select((i * 8 + 4).alias("pos"), _page(
         i + 6_000_000, F.concat(F.lit("Empty "), i.cast("string")), F.lit("0"), i + 7_000_000,
         F.lit("")).alias("value")))
-    head = spark.createDataFrame([(-1, SITEINFO), (1 << 62, "</mediawiki>")], "pos long, value string")
-    allrows = head
+    allrows = site_header(d).unionByName(spark.createDataFrame([(1 << 62, "</mediawiki>")], "pos long, value string"))
     for r in rows:
         allrows = allrows.unionByName(r)
     out = scratch_path(spark, "dump")
@@ -151,9 +150,7 @@ def q_dump_redirects(spark, sf):
 
 def q_siteinfo(spark, sf):
     """SRC-9: base URL and namespaces (key, name) of the dump's site info."""
-    si = wiki.site_info(spark, write_dump(spark, sf, compression=None))
-    return si.select("base", F.explode("namespaces").alias("n")).select(
-        "base", F.col("n._key").alias("key"), F.coalesce(F.col("n._VALUE"), F.lit("")).alias("name"))
+    return wiki.namespaces(spark, write_dump(spark, sf, compression=None))
 
 
 def q_dump_templates(spark, sf):
@@ -226,8 +223,10 @@ ORACLE = {
     "q_language_corpus": f"""SELECT {S.strip(f"regexp_replace({S.py_strip(_DOCREC)}, '<doc [^>]*>', '', 'g')")} AS fullText,
         lang FROM documents WHERE lang NOT IN ('es')""",
     "q_dump_templates": "SELECT 'Template:T' || doc_id AS title, '{{{1}}}' AS body FROM documents WHERE doc_id % 50 = 0",
-    "q_siteinfo": """SELECT 'https://en.example.org/wiki' AS base, * FROM (VALUES ('0', ''), ('10', 'Template'),
-        ('828', 'Module')) t(key, name)""",
+    "q_siteinfo": """WITH b AS (SELECT 'https://' || min(lang) || '.example.org/w' || count(*) AS base FROM documents),
+        n AS (SELECT CAST(98 + 2 * row_number() OVER (ORDER BY source) AS VARCHAR) AS key, source AS name FROM (SELECT DISTINCT source FROM documents)
+            UNION ALL SELECT * FROM (VALUES ('0', ''), ('10', 'Template'), ('828', 'Module')) t(key, name))
+        SELECT base, key, name FROM b, n""",
     "q_medline": """WITH g AS (SELECT conv_id, max(text) FILTER (WHERE turn % 4 = 0) AS title,
             max(text) FILTER (WHERE turn % 4 = 1) AS abstract, max(text) FILTER (WHERE turn % 4 = 3) AS other_abstract
             FROM conversations GROUP BY conv_id, turn // 4)

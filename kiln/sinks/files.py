@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.session import scratch_path
+
 
 def doc_block(id_col: str, title_col: str, text_col: str, url_base: str | None = None,
               revid_col: str | None = None) -> Column:
@@ -38,25 +40,31 @@ def write_doc_blocks(df: DataFrame, path: str, block_col: str = "block",
     w.text(path)
 
 
-def running_total(df: DataFrame, order_key: str, size_col: str,
-                  block_rows: int = 100_000, out_col: str = "cum_bytes") -> DataFrame:
-    """WIN-3: inclusive running sum of ``size_col`` in ``order_key`` order,
-    computed in two levels so no window ever holds the whole table:
-
-    1. per key block (``order_key div block_rows``): block sums -> a small
-       table; its prefix sum gives each block's offset;
-    2. per block: running sum inside the block (at most ``block_rows`` keys).
-    """
-    blk = F.floor(F.col(order_key) / block_rows)
-    d = df.withColumn("_blk", blk)
-    sums = d.groupBy("_blk").agg(F.sum(size_col).alias("_bsum"))
-    offsets = sums.select("_blk", (F.sum("_bsum").over(
-        Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    local = F.sum(size_col).over(Window.partitionBy("_blk").orderBy(order_key)
-                                 .rowsBetween(Window.unboundedPreceding, 0))
-    return (d.withColumn("_loc", local).join(offsets, "_blk")
-            .withColumn(out_col, F.coalesce("_off", F.lit(0)) + F.col("_loc"))
-            .drop("_blk", "_loc", "_off"))
+def running_total(df: DataFrame, order: str | list[str], size_col: str, parts: int | None = None, out_col: str = "cum_bytes") -> DataFrame:
+    """WIN-3: inclusive running sum of ``size_col`` in the order of the columns
+    ``order`` (of any type; sparse, hashed and repeated keys alike), in two levels:
+
+    1. the rows are cut into ranges of the order (sampled bounds) and written once
+       to the shared folder, so that the cut stays the same however often it is read;
+    2. a window inside each range, plus the sums of the ranges before it: the only
+       window over everything has one row per range.
+
+    Rows with equal keys are told apart by a hash of their other columns and at last
+    by their place in the input, so a key that many rows share is cut as well."""
+    order = [order] if isinstance(order, str) else list(order)
+    spark = df.sparkSession
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    others = [c for c in df.columns if c not in order]
+    keys = [*order, "_tie", "_place"]
+    path = scratch_path(spark, "ranges")
+    (df.withColumn("_tie", F.xxhash64(*others) if others else F.lit(0)).withColumn("_place", F.monotonically_increasing_id())
+     .repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id()).write.parquet(path))
+    cut = spark.read.parquet(path)
+    sums = cut.groupBy("_range").agg(F.sum(size_col).alias("_sum"))
+    before = sums.select("_range", (F.sum("_sum").over(Window.orderBy("_range")) - F.col("_sum")).alias("_before"))
+    inside = F.sum(size_col).over(Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
+    return (cut.withColumn("_inside", inside).join(F.broadcast(before), "_range")
+            .withColumn(out_col, F.col("_before") + F.col("_inside")).drop("_range", "_inside", "_before", "_tie", "_place"))
 
 
 def file_numbers(df: DataFrame, cum_col: str, size_col: str, cap_bytes: int = 1 << 20,

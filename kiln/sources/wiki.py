@@ -8,12 +8,16 @@ whole dump one partition (multiLine) or break pages that span lines.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kiln.session import scratch_path
+
 PAGE_END = "</page>\n"
-PAGE_SCHEMA = ("title STRING, ns STRING, id BIGINT, "
-               "revision STRUCT<id: BIGINT, text: STRING>")
+PAGE_SCHEMA = "revision STRUCT<id: BIGINT, text: STRING>"
+HEAD_CHARS = 1 << 16     # of a page that may stand before its revision
 XML_OPTS = {"excludeAttribute": "true"}
 # Disambiguation markers (a line starting with the template).
 DISAMBIG = r"(?m)^\{\{disambig(uation)?(\|[^}]*)?\}\}"
@@ -44,27 +48,45 @@ def dump_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dump_pages(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-8: (id, revid, title, ns, redirect, text, file, pos) for every page.
-    ns defaults to '0'; ``<text/>`` gives ''."""
-    ch = dump_chunks(spark, path)
-    page = F.regexp_extract("chunk", r"(?s)(<page>.*)$", 1)
-    parsed = F.from_xml(F.concat(page, F.lit("</page>")), PAGE_SCHEMA, XML_OPTS)
-    redirect = F.regexp_extract(page, r'<redirect\s+title="([^"]*)"', 1)
-    return (ch.filter(page != "")
-            .select(parsed.alias("p"), F.when(redirect != "", redirect).alias("redirect_raw"), "file", "block", "pos")
-            .select(F.col("p.id").alias("id"), F.col("p.revision.id").alias("revid"),
-                    F.col("p.title").alias("title"), F.coalesce("p.ns", F.lit("0")).alias("ns"),
-                    xml_unescape(F.col("redirect_raw")).alias("redirect"),
-                    F.coalesce("p.revision.text", F.lit("")).alias("text"), "file", "block", "pos"))
-
-
-def first_by_id(pages: DataFrame) -> DataFrame:
+    """SRC-8: (id, revid, title, ns, redirect, text, file, block, pos) of every page.
+    ns defaults to '0'; ``<text/>`` gives ''.  Everything but the text and the
+    revision stands in the page's head, before ``<revision>``, so a plan that does
+    not read these two (:func:`first_by_id`) parses no page."""
+    at = F.instr("chunk", "<page>")
+    head = F.substring_index(F.substr("page", F.lit(1), F.lit(HEAD_CHARS)), "<revision>", 1)
+    tag = lambda name: F.regexp_extract("head", rf"<{name}>\s*([^<]*)", 1)
+    redirect = F.regexp_extract("head", r'<redirect\s+title="([^"]*)"', 1)
+    body = F.from_xml(F.concat("page", F.lit("</page>")), PAGE_SCHEMA, XML_OPTS)["revision"]
+    return (dump_chunks(spark, path).filter(at > 0)
+            .select(F.substr("chunk", at).alias("page"), "file", "block", "pos")
+            .select(head.alias("head"), body.alias("revision"), "file", "block", "pos")
+            .select(F.expr("try_cast(regexp_extract(head, '<id>\\\\s*([0-9]+)', 1) AS BIGINT)").alias("id"), F.col("revision.id").alias("revid"),
+                    xml_unescape(F.trim(tag("title"))).alias("title"), F.coalesce(F.nullif(tag("ns"), F.lit("")), F.lit("0")).alias("ns"),
+                    xml_unescape(F.nullif(redirect, F.lit(""))).alias("redirect"),
+                    F.coalesce("revision.text", F.lit("")).alias("text"), "file", "block", "pos"))
+
+
+# Repeated ids handed to every task at most; more are joined by a shuffle.
+REPEATED_IDS = 1_000_000
+
+
+def first_by_id(pages: DataFrame, repeated_ids: int = REPEATED_IDS) -> DataFrame:
     """WIN-1: keep the first page per id in input order (file, block, position).
-    A ``min_by`` aggregate: copies of an id are reduced map-side before the
-    shuffle, so even an id repeated on a third of the pages stays cheap."""
-    cols = pages.columns
-    first = F.min_by(F.struct(*cols), F.struct("file", "block", "pos"))
-    return pages.groupBy("id").agg(first.alias("_p")).select(*[F.col("_p")[c].alias(c) for c in cols])
+    Decided on the keys alone: an aggregate over (id, file, block, pos) finds the few
+    ids that occur more than once and where each is first; pages of those ids that
+    stand elsewhere go.  The texts are neither sorted nor aggregated, and not
+    shuffled unless over ``repeated_ids`` ids repeat.  The scan runs twice; the first
+    time reads the heads only."""
+    spark = pages.sparkSession
+    place = F.struct("file", "block", "pos")
+    path = scratch_path(spark, "repeated-ids")
+    (pages.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
+     .select(F.col("id").alias("_id"), F.col("first").alias("_first")).write.parquet(path))
+    repeated = spark.read.parquet(path)
+    if repeated.count() <= repeated_ids:
+        repeated = F.broadcast(repeated)
+    same = F.col("id").eqNullSafe(F.col("_id"))
+    return pages.join(repeated, same, "left").where(F.col("_first").isNull() | (place == F.col("_first"))).drop("_id", "_first")
 
 
 def article_pages(pages: DataFrame, drop_disambiguation: bool = False) -> DataFrame:
@@ -75,23 +97,34 @@ def article_pages(pages: DataFrame, drop_disambiguation: bool = False) -> DataFr
     return out
 
 
+SITE_SCHEMA = "base STRING, namespaces STRUCT<namespace: ARRAY<STRUCT<_key: STRING, _VALUE: STRING>>>"
+
+
 def site_info(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-9: one row: base URL (cut at the last '/') and namespaces
-    (key, name) from the ``<siteinfo>`` block."""
-    ch = dump_chunks(spark, path)
-    si = F.regexp_extract("chunk", r"(?s)(<siteinfo>.*?</siteinfo>)", 1)
-    schema = "base STRING, namespaces STRUCT<namespace: ARRAY<STRUCT<_key: STRING, _VALUE: STRING>>>"
-    parsed = F.from_xml(si, schema, {"rowTag": "siteinfo"})
-    # a substring test finds the one chunk that holds the header
-    return (ch.filter(F.instr("chunk", "<siteinfo>") > 0).filter(si != "").select(parsed.alias("s"))
-            .select(F.regexp_replace("s.base", r"/[^/]*$", "").alias("base"),
-                    F.col("s.namespaces.namespace").alias("namespaces")))
+    """SRC-9: one row: base URL (cut at the last '/') and namespaces (key, name)
+    from the ``<siteinfo>`` block, which stands before the first page of a dump, or
+    of the first of its files.  Only that file's first record is read: the file
+    comes from the listing (no content), and the first record of its first split is
+    one bounded row.  A dump without the block gives no row."""
+    first = spark.read.format("binaryFile").load(path).agg(F.min("path")).first()[0]
+    if first is None:
+        return spark.createDataFrame([], "base string, namespaces array<struct<_key: string, _VALUE: string>>")
+    head = spark.read.option("lineSep", PAGE_END).text(escape_glob(first)).select(F.substring_index("value", "<page>", 1).alias("head")).head(1)
+    chunk = spark.createDataFrame([tuple(r) for r in head], "head string")
+    block = F.regexp_extract("head", r"(?s)(<siteinfo>.*?</siteinfo>)", 1)
+    return (chunk.select(block.alias("block")).filter("block <> ''").select(F.from_xml("block", SITE_SCHEMA, {"rowTag": "siteinfo"}).alias("s"))
+            .select(F.regexp_replace("s.base", r"/[^/]*$", "").alias("base"), F.col("s.namespaces.namespace").alias("namespaces")))
+
+
+def escape_glob(path: str) -> str:
+    """A listed path, so that a reader takes it literally."""
+    return re.sub(r"([\\[\]{}*?])", r"\\\1", path)
 
 
 def namespaces(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-9: (key, name) rows of the site's namespaces."""
-    return site_info(spark, path).select(F.explode("namespaces").alias("n")).select(
-        F.col("n._key").alias("key"), F.coalesce(F.col("n._VALUE"), F.lit("")).alias("name"))
+    """SRC-9: (base, key, name) rows of the site's namespaces."""
+    return site_info(spark, path).select("base", F.explode("namespaces").alias("n")).select(
+        "base", F.col("n._key").alias("key"), F.coalesce(F.col("n._VALUE"), F.lit("")).alias("name"))
 
 
 def with_extraction_totals(pages: DataFrame, name: str = "extraction_totals"):

@@ -30,13 +30,42 @@ def test_first_n_per_group(spark):
     assert first_n(df, "p", 0).count() == 6
 
 
+def running(rows):
+    acc, out = 0, []
+    for r in rows:
+        acc += r.size
+        out.append(acc)
+    return out
+
+
 def test_running_total_two_level(spark):
     df = spark.range(0, 2500).select(F.col("id").alias("k"), (F.col("id") % 7 + 1).alias("size"))
-    out = running_total(df, "k", "size", block_rows=100).orderBy("k").collect()
-    acc = 0
-    for r in out:
-        acc += r.size
-        assert r.cum_bytes == acc
+    out = running_total(df, "k", "size", parts=25).orderBy("k").collect()
+    assert [r.cum_bytes for r in out] == running(out)
+
+
+def test_running_total_of_hashed_tied_and_null_keys(spark):
+    df = spark.range(0, 900).select(F.when(F.col("id") % 10 > 0, F.md5((F.col("id") % 5).cast("string"))).alias("k"),
+                                    (F.col("id") % 7).alias("size"), F.lit("same").alias("other")).repartition(3)
+    out = running_total(df, "k", "size", parts=8)
+    assert out.columns == ["k", "size", "other", "cum_bytes"]
+    rows = out.orderBy("cum_bytes", "size").collect()
+    assert len(rows) == 900 and rows[-1].cum_bytes == sum(r.size for r in rows)
+    keys = [r.k or "" for r in sorted(rows, key=lambda r: (r.cum_bytes, r.size))]
+    assert sorted(keys) == [k for k in sorted(keys)]
+    assert max(r.cum_bytes for r in rows if r.k is None) == sum(r.size for r in rows if r.k is None)
+
+
+def test_running_total_cuts_a_key_that_most_rows_share(spark):
+    """No range holds much more than its share, and the window over everything has
+    one row per range."""
+    df = spark.range(0, 4000).select(F.lit("hot").alias("k"), F.lit(1).alias("size"))
+    out = running_total(df, "k", "size", parts=8)
+    assert sorted(r.cum_bytes for r in out.collect()) == list(range(1, 4001))
+    inside = [c for c in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [" in c]
+    assert len(inside) == 2
+    files = out.inputFiles()
+    assert max(spark.read.parquet(f).count() for f in files) < 1500
 
 
 def test_file_numbers_cap(spark):

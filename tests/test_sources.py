@@ -139,6 +139,35 @@ def test_dump_pages_edge_cases(spark):
     assert wiki.site_info(spark, d).first().base == "https://x.example.org/wiki"
 
 
+def test_first_by_id_keeps_texts_out_of_sorts_and_aggregates(spark):
+    d = scratch_path(spark, "dump")
+    page = "<page><title>t{i}</title><id>{id}</id><revision><id>9</id><text>body {i}</text></revision></page>\n"
+    for f in range(3):
+        _write(d, f"part{f}.xml", "".join(page.format(i=f * 50 + i, id=7 if i % 3 == 0 else f * 50 + i + 100) for i in range(50)).encode())
+    pages = wiki.dump_pages(spark, d)
+    for bound in (10, 0):          # by broadcast, and by shuffle
+        got = wiki.first_by_id(pages, bound)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Aggregate" not in plan and plan.count("from_xml") <= 1
+        assert sorted(r.id for r in got.collect()) == [7] + sorted({f * 50 + i + 100 for f in range(3) for i in range(50) if i % 3})
+        assert [r.text for r in got.where("id = 7").collect()] == ["body 0"]
+    keys = pages.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "from_xml" not in keys           # the keys need no parsed page
+
+
+def test_site_info_reads_one_record(spark):
+    d = scratch_path(spark, "dump [x]")
+    head = ("<mediawiki><siteinfo><base>https://y.example.org/a/b</base><namespaces><namespace key=\"10\">Vorlage</namespace>"
+            "</namespaces></siteinfo>")
+    page = "<page><title>t</title><id>1</id><revision><id>2</id><text>x</text></revision></page>\n"
+    _write(d, "a.xml", (head + page * 3).encode())
+    _write(d, "b.xml", (page * 3).encode())
+    assert [tuple(r) for r in wiki.namespaces(spark, wiki.escape_glob(d)).collect()] == [("https://y.example.org/a", "10", "Vorlage")]
+    none = scratch_path(spark, "dump")
+    _write(none, "a.xml", (page * 3).encode())
+    assert wiki.site_info(spark, none).count() == 0
+
+
 def test_medline_title_stays_string(spark):
     d = scratch_path(spark, "medline")
     xml = ("<MedlineCitationSet><MedlineCitation><Article><ArticleTitle>T1</ArticleTitle></Article></MedlineCitation>"
