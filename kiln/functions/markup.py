@@ -339,6 +339,7 @@ def residual_markup(c) -> Column:
 # TXT-19..27: line compaction
 # ---------------------------------------------------------------------------
 SECTION = r"^(==+)\s*(.*?)\s*\1"
+STRIP_ENDS = r"^\s+|\s+$"
 
 
 def line_kind(line: Column) -> Column:
@@ -360,43 +361,116 @@ def _title_dot(t: Column) -> Column:
     return F.when((t != "") & ~F.substring(t, -1, 1).isin("!", "?"), F.concat(t, F.lit("."))).otherwise(t)
 
 
-def compact(c, keep_sections: bool = False) -> Column:
-    """TXT-27: page text -> list of kept lines (sections, lists, residues and
-    preformatted lines as in the reference's default mode).
-
-    One ``aggregate`` over the page's lines (no shuffle).  State: ``pend`` the
-    pending headings (level, title) - a heading replaces its level and clears
-    deeper ones (TXT-19); the first text line after headings is kept even when
-    preformatted and, with ``keep_sections``, is preceded by the pending
-    headings in level order (SORT-2), so empty sections never appear; ``l`` the
-    previous item line was a list item (the next text line is kept whatever it
-    looks like, Q20)."""
-    lines = F.filter(F.split(_c(c), "\n"), lambda x: x != "")
-    init = F.struct(F.array().cast("array<string>").alias("out"),
-                    F.array().cast("array<struct<lev:int,title:string>>").alias("pend"),
-                    F.lit(False).alias("l"))
-
-    def step(acc, line):
-        k = line_kind(line)
-        out, pend, l_ = acc["out"], acc["pend"], acc["l"]
+# What opens, closes and holds the items of a list, by its mark.
+LIST_OPEN = {"*": "<ul>", "#": "<ol>", ";": "<dl>", ":": "<dl>"}
+LIST_CLOSE = {"*": "</ul>", "#": "</ol>", ";": "</dl>", ":": "</dl>"}
+LIST_ITEM = {"*": ("<li>", "</li>"), "#": ("<li>", "</<li>"), ";": ("<dt>", "</dt>"), ":": ("<dd>", "</dd>")}
+LISTS = ("drop", "bullets", "html")
+SEGMENT = 128            # lines folded into one piece of the output
+
+
+def _by_mark(values: dict, mark: Column) -> Column:
+    out = F.lit(None).cast("string")
+    for k, v in values.items():
+        out = F.when(mark == k, F.lit(v)).otherwise(out)
+    return out
+
+
+def _list_moves(stack: Column, marks: Column) -> Column:
+    """TXT-22: struct(tags, stack) when an item with ``marks`` follows the open lists
+    ``stack`` (one character a level).  Level by level: the same mark, or definition
+    marks on either side, leave a level open; another mark closes the innermost list
+    and opens its own; levels beyond the marks are closed from inside."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(stack), F.length(marks)))
+    init = F.struct(F.array().cast("array<string>").alias("tags"), stack.alias("now"))
+
+    def level(acc, i):
+        c, n = F.substr(stack, i, F.lit(1)), F.substr(marks, i, F.lit(1))
+        stays = (c == n) | ((c != "") & (n != "") & (c.isin(";", ":") | n.isin(";", ":")))
+        closed = F.when((c != "") & ~stays, F.array(_by_mark(LIST_CLOSE, c))).otherwise(F.array().cast("array<string>"))
+        opened = F.when((n != "") & ~stays, F.array(_by_mark(LIST_OPEN, n))).otherwise(F.array().cast("array<string>"))
+        left = F.when((c != "") & ~stays, F.substr(acc["now"], F.lit(1), F.length(acc["now"]) - 1)).otherwise(acc["now"])
+        return F.struct(F.concat(acc["tags"], closed, opened).alias("tags"),
+                        F.when((n != "") & ~stays, F.concat(left, n)).otherwise(left).alias("now"))
+
+    return F.aggregate(at, init, level)
+
+
+def compact(c, keep_sections: bool = False, lists: str = "drop") -> Column:
+    """TXT-27: page text -> list of kept lines (residues and preformatted lines as in
+    the reference's default mode).
+
+    ``lists`` (TXT-22): ``drop``; ``bullets``: items as ``- `` or ``1. ``, padded to
+    their level, after the pending headings; ``html``: ``<ul>/<ol>/<dl>`` and their
+    items, and headings as ``<h2>`` and so on.
+
+    Each line is classified once, then folded (no shuffle).  State: ``pend`` the
+    pending headings (level, title) - a heading replaces its level and clears deeper
+    ones (TXT-19); the first text line after headings is kept even when preformatted
+    and, with ``keep_sections``, is preceded by the pending headings in level order
+    (SORT-2), so empty sections never appear; ``empty`` no text since the last
+    heading; ``open`` the marks of the open lists (the next text line is kept
+    whatever it looks like, Q20, and closes them).  The output grows in pieces of
+    ``SEGMENT`` lines that are joined at the end, so a page of n lines costs about
+    n, not n * n, copies."""
+    if lists not in LISTS:
+        raise ValueError(f"lists is one of {', '.join(LISTS)}")
+    no_lines, no_heads = F.array().cast("array<string>"), F.array().cast("array<struct<lev:int,title:string>>")
+    marks = lambda x: F.regexp_extract(x, "^([*#;][*#;:]*)", 1)
+    parsed = F.transform(F.filter(F.split(_c(c), "\n"), lambda x: x != ""), lambda x: F.struct(
+        line_kind(x).alias("k"), x.alias("line"), F.length(F.regexp_extract(x, SECTION, 1)).cast("int").alias("lev"),
+        F.regexp_extract(x, SECTION, 2).alias("title"), marks(x).alias("marks")))
+    state = "struct<out:array<string>,pend:array<struct<lev:int,title:string>>,empty:boolean,open:string>"
+    first_state = F.struct(no_lines.alias("out"), no_heads.alias("pend"), F.lit(False).alias("empty"), F.lit("").alias("open")).cast(state)
+
+    def step(acc, x):
+        k, line, pend, empty, open_ = x["k"], x["line"], acc["pend"], acc["empty"], acc["open"]
+        heads = F.transform(F.array_sort(pend), lambda p: p["title"])
         h = F.size(pend) > 0
         page_title = _title_dot(F.substring(line, F.lit(3), F.greatest(F.length(line) - 4, F.lit(0))))
-        lev = F.length(F.regexp_extract(line, SECTION, 1))
-        heading = F.struct(lev.cast("int").alias("lev"), _title_dot(F.regexp_extract(line, SECTION, 2)).alias("title"))
         is_text = k.isin("R", "X", "B", "T")
-        keep_after_list = is_text & l_
-        keep_first = is_text & ~l_ & h & k.isin("B", "T")
-        keep_plain = is_text & ~l_ & ~h & (k == "T")
-        first_out = (F.concat(out, F.transform(F.array_sort(pend), lambda p: p["title"]), F.array(line))
-                     if keep_sections else F.array_append(out, line))
-        new_out = (F.when(k == "P", F.when(page_title != "", F.array_append(out, page_title)).otherwise(out))
-                   .when(keep_first, first_out)
-                   .when(keep_after_list | keep_plain, F.array_append(out, line))
-                   .otherwise(out))
-        new_pend = (F.when(k == "S", F.array_append(F.filter(pend, lambda p: p["lev"] < lev), heading))
-                    .when(keep_first, F.array().cast("array<struct<lev:int,title:string>>"))
-                    .otherwise(pend))
-        new_l = F.when(k == "S", False).when(k == "L", True).when(keep_after_list, False).otherwise(l_)
-        return F.struct(new_out.alias("out"), new_pend.alias("pend"), new_l.alias("l"))
-
-    return F.aggregate(lines, init, step, lambda acc: acc["out"])
+        after_list = is_text & (open_ != "")
+        first_text = is_text & (open_ == "") & h & k.isin("B", "T")
+        plain = is_text & (open_ == "") & ~h & ~empty & (k == "T")
+        item = F.regexp_replace(F.substr(line, F.length(x["marks"]) + 1), STRIP_ENDS, "")
+        last_mark = F.substring(x["marks"], -1, 1)
+        is_item = (k == "L") & (item != "")
+        added = (F.when((k == "P") & (page_title != ""), F.array(page_title))
+                 .when(first_text, F.concat(heads, F.array(line)) if keep_sections else F.array(line)))
+        new_open = F.when(k == "S", "").when(after_list, "")
+        if lists == "html":
+            close = F.transform(F.reverse(F.split(open_, "")), lambda m: _by_mark(LIST_CLOSE, m))
+            begin, end = ({m: v[i] for m, v in LIST_ITEM.items()} for i in (0, 1))
+            moved = _list_moves(open_, x["marks"])
+            tag = F.concat(F.lit("h"), x["lev"].cast("string"), F.lit(">"))
+            added = (added.when(after_list, F.concat(F.array(line), close)).when(plain, F.array(line))
+                     .when(k == "S", F.array(F.concat(F.lit("<"), tag, x["title"], F.lit("</"), tag)))
+                     .when(is_item, F.array_append(moved["tags"], F.concat(_by_mark(begin, last_mark), item, _by_mark(end, last_mark))))
+                     .when(k == "L", moved["tags"]))
+            new_open = new_open.when(k == "L", moved["now"])
+        else:
+            added = added.when(after_list | plain, F.array(line))
+            new_open = new_open.when(k == "L", x["marks"])
+            if lists == "bullets":
+                bullet = F.when(last_mark == "#", "1. ").otherwise("- ")
+                width = F.greatest(F.length(x["marks"]), F.length(bullet))
+                added = added.when(is_item, F.array_append(heads, F.concat(F.rpad(bullet, width, " "), item)))
+        cleared = first_text | is_item if lists == "bullets" else first_text
+        heading = F.struct(x["lev"].alias("lev"), _title_dot(x["title"]).alias("title"))
+        return F.struct(F.concat(acc["out"], added.otherwise(no_lines)).alias("out"),
+                        F.when(k == "S", F.array_append(F.filter(pend, lambda p: p["lev"] < x["lev"]), heading))
+                        .when(cleared, no_heads).otherwise(pend).alias("pend"),
+                        F.when(k == "S", True).when(first_text, False).otherwise(empty).alias("empty"),
+                        new_open.otherwise(open_).alias("open")).cast(state)
+
+    whole = f"struct<parts:array<array<string>>,now:{state}>"
+    init = F.struct(F.array().cast("array<array<string>>").alias("parts"), first_state.alias("now")).cast(whole)
+
+    # one list of the classified lines, so that they are worked out once
+    folded = F.transform(F.array(parsed), lambda lines: F.aggregate(
+        F.sequence(F.lit(0), F.greatest(F.floor((F.size(lines) - 1) / SEGMENT).cast("int"), F.lit(0))), init,
+        lambda acc, i: F.aggregate(F.slice(lines, i * SEGMENT + 1, F.lit(SEGMENT)), acc["now"], step, lambda done: F.struct(
+            F.array_append(acc["parts"], done["out"]).alias("parts"),
+            F.struct(no_lines.alias("out"), done["pend"].alias("pend"), done["empty"].alias("empty"), done["open"].alias("open")).cast(state).alias("now")).cast(whole)),
+        lambda done: F.flatten(done["parts"])))
+    return folded[0]

@@ -95,3 +95,52 @@ def test_large_page(spark):
     out = M.with_clean_wiki(df, "t", "o").first().o
     assert out == "word " * 18_000 and len(page) > 1_000_000
     assert time.time() - t0 < 60
+
+
+LIST_PAGE = """++Title++
+== A ==
+* one
+** two
+*# num
+# x
+text after
+plain
+== B ==
+; term
+: skipped
+;: both
+last
+more
+=== C ===
+ pre
+*
+**\x20
+(tail)"""
+
+
+def test_lists_are_dropped_kept_as_bullets_or_as_html(spark):
+    def lines(**how):
+        return run(spark, lambda c: M.compact(c, **how), [LIST_PAGE])[0]
+    assert lines() == ["Title.", "text after", "plain", "last", "more", " pre", "(tail)"]
+    # an item clears the headings, so the plain line of that section goes
+    assert lines(lists="bullets") == ["Title.", "A.", "- one", "- two", "1. num", "1. x", "text after", "B.", "- term", "- both", "last",
+                                      " pre", "(tail)"]
+    assert lines(lists="html") == [
+        "Title.", "<h2>A</h2>", "<ul>", "<li>one</li>", "<ul>", "<li>two</li>", "</ul>", "<ol>", "<li>num</<li>", "</ul>", "<ol>", "</ol>",
+        "<li>x</<li>", "text after", "</ul>", "plain", "<h2>B</h2>", "<dl>", "<dt>term</dt>", "<dl>", "<dd>both</dd>", "last", "</dl>", "</dl>",
+        "more", "<h3>C</h3>", " pre", "<ul>", "<ul>", "(tail)", "</ul>", "</ul>"]
+    deep = "*" * 5
+    assert run(spark, lambda c: M.compact(c, lists="bullets"), [f"{deep} x\n### y"])[0] == ["-    x", "1. y"]
+
+
+def test_compact_joins_pieces_and_is_linear(spark):
+    import time
+    n = 3 * M.SEGMENT + 5
+    text = "\n".join(["== H =="] + [f"line {i}" for i in range(n)] + ["* a", "end"])
+    assert run(spark, lambda c: M.compact(c, lists="html"), [text])[0] == ["<h2>H</h2>"] + [f"line {i}" for i in range(n)] + [
+        "<ul>", "<li>a</li>", "end", "</ul>"]
+    page = "* item of a list with words\ntext line of some more words\n" * 20_000     # 1.1 MB, 40,000 lines
+    t0 = time.time()
+    assert len(run(spark, lambda c: M.compact(c, lists="html"), [page])[0]) == 20_000 * 4
+    assert time.time() - t0 < 60
+    assert run(spark, M.compact, ["", None]) == [[], None]
