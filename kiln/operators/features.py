@@ -62,6 +62,15 @@ def ngram_space(df: DataFrame, tokens_col: str, orders=(3, 4),
     return df.withColumn(out_col, F.concat(*parts) if len(parts) > 1 else parts[0])
 
 
+def tag_terms(cols) -> F.Column:
+    """One array of the terms of several array columns, each term tagged with its
+    column's number, so equal strings of different columns stay apart."""
+    def tag(n):
+        return lambda t: F.concat(F.lit(f"{n}\u0001"), t)
+
+    return F.concat(*[F.transform(c, tag(n)) for n, c in enumerate(cols)])
+
+
 def term_statistics(tf: DataFrame, id_col: str, term_col: str = "term") -> DataFrame:
     """FEA-6/AGG-11/AGG-10: per term total count and document frequency."""
     return tf.groupBy(term_col).agg(F.sum("tf").alias("cnt"),
