@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline as P
 from kiln.llm import decontaminate, mixing, simhash, toxicity
 from kiln.llm.common import materialize
@@ -38,6 +40,17 @@ def test_odd_rows(spark, sf, stored):
     assert docs.where("doc_id is null").count() == 2
 
 
+def test_texts_that_share_an_id_are_told_apart(spark, sf, stored):
+    rng = random.Random(3)
+    a, b, c, d = (" ".join(rng.choice("abcdefgh") + str(rng.randrange(999)) for _ in range(60)) for _ in range(4))
+    for rows, kept in (([(1, a), (2, a), (2, b), (3, c), (3, d)], {(1, a), (2, b), (3, c), (3, d)}),
+                       ([(5, b), (2, a), (2, a), (None, a), (None, a), (9, c), (4, c), (9, d)], {(5, b), (2, a), (None, a), (4, c), (9, d)})):
+        left = dict(P.STAGES)["near_duplicates"](spark, stored(rows, extra=True), sf)
+        got = [(r["doc_id"], r["text"]) for r in left.collect()]
+        assert set(got) == kept
+        assert len(got) == len(kept) + sum(i is None for i, _ in rows) - sum(i is None for i, _ in kept)
+
+
 def test_empty(spark, sf, stored):
     docs = stored([])
     for _, stage in P.STAGES:
