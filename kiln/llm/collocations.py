@@ -15,9 +15,11 @@ phrase adds little mass.  Those whose count plus what was taken off is below the
 threshold go too.  What is left sets bits of a filter of at most ``2 ** FILTER_BITS``
 bits: its size is bounded, and a wrong bit only makes more to count.
 
-Phrases of 3 and 4 words are summarised in a second scan, and only where all their
-word pairs passed the first filter; no phrase is more frequent than its parts.  The
-last scan counts, exactly and as text, every n-gram that passes the filters.
+The first scan summarises word pairs.  The second one summarises phrases of 3 and 4
+words, only where all their pairs passed the first filter (no phrase is more frequent
+than its parts), and the words of the pairs that passed.  The last scan counts,
+exactly and as text, every n-gram that passes the filters: its tasks send their counts
+packed, many to a row, and each hash partition adds them up.
 
 Scores.  Cutting a candidate in two parts with l and r occurrences gives
 ``floor(SCALE * a / (l + r))``; its lowest cut counts.  A candidate inside a longer
@@ -53,7 +55,8 @@ FILTER_BITS = 28       # 32 MB at most
 SLICE = 1 << 22        # bytes of text worked on at a time
 HELD = 1 << 22         # hashes kept in a task before they are summed up
 ROW = 1 << 14          # counters in a row of a summary
-REMEMBERED = 300_000   # words, and phrases, kept in a task
+REMEMBERED = 300_000   # words kept in a task
+COUNTED = 1 << 19      # phrases kept in a task
 SPREAD = 64            # groups a language is ranked in first
 
 # A-Z lower-cased, tab to blank, piece separators to one mark.
@@ -89,7 +92,7 @@ def runs(batches) -> Iterator[tuple[str, list[bytes], int]]:
                     tail = tail[len(tail) - tail[::-1].index(_MARK):]
 
 
-def grams(hashes: np.ndarray, lang: str, new: int, sizes: range) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+def grams(hashes: np.ndarray, lang: str, new: int, sizes: list[int] | range) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """{size: (hash, valid)} of the n-grams that begin at each word; valid where
     they hold no mark and end with a new word."""
     seed = np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8")))
@@ -125,8 +128,12 @@ def place(x: np.ndarray, mask: np.uint64) -> np.ndarray:
 
 
 def with_pairs(found: dict[int, tuple[np.ndarray, np.ndarray]], pairs: Filter, n: int) -> np.ndarray:
-    """Where the n-gram is valid and all its word pairs passed."""
+    """Where the n-gram is valid and all its word pairs passed; a word: where a pair
+    that ends with a new word and holds it passed."""
     has = pairs.has(found[2][0])
+    if n == 1:
+        has &= found[2][1]
+        return np.append(has, False)[:len(found[1][0])] | np.append(False, has)[:len(found[1][0])]
     ok = found[n][1].copy()
     for k in range(n - 1):
         ok &= has[k:len(has) - n + 2 + k]
@@ -149,7 +156,7 @@ def merge(held: tuple[np.ndarray, np.ndarray], more: list[tuple[np.ndarray, np.n
     return keys[keep], counts[keep] - off, off
 
 
-def _summaries(docs: DataFrame, sizes: range, parts: int, threshold: int, pairs=None) -> DataFrame:
+def _summaries(docs: DataFrame, sizes: list[int] | range, parts: int, threshold: int, pairs=None) -> DataFrame:
     """(part, kind, mass, keys, counts): of each task and partition its mass (kind
     0), and its n-grams' keys and clipped counts (kind 1)."""
     kind = np.min_scalar_type(threshold)
@@ -179,7 +186,9 @@ def _summaries(docs: DataFrame, sizes: range, parts: int, threshold: int, pairs=
                 cache.clear()
             for n in sizes:
                 x, ok = found[n]
-                buffer.append(place(x[ok if pairs is None else with_pairs(found, Filter(pairs.value, parts), n)], mask))
+                if pairs is not None:
+                    ok = with_pairs(found, Filter(pairs.value, parts), n)
+                buffer.append(place(x[ok], mask))
                 size += len(buffer[-1])
             if size >= HELD:
                 yield from rows()
@@ -190,7 +199,7 @@ def _summaries(docs: DataFrame, sizes: range, parts: int, threshold: int, pairs=
     return docs.mapInArrow(run, "part int, kind int, mass long, keys binary, counts binary")
 
 
-def survivors(docs: DataFrame, sizes: range, parts: int, bits: int, threshold: int, pairs=None) -> np.ndarray:
+def survivors(docs: DataFrame, sizes: list[int] | range, parts: int, bits: int, threshold: int, pairs=None) -> np.ndarray:
     """The filter of the n-grams of ``sizes`` that may reach the threshold.  The
     driver gets its bits, of a fixed size."""
     own = bits - (parts - 1).bit_length()          # bits of a partition's share
@@ -237,46 +246,74 @@ def survivors(docs: DataFrame, sizes: range, parts: int, bits: int, threshold: i
     return out.reshape(-1)
 
 
-def counted(docs: DataFrame, parts: int, words_pairs, longer) -> DataFrame:
+def counted(docs: DataFrame, parts: int, threshold: int, pairs, others) -> DataFrame:
     """(lang, size, phrase, n) with the exact number of occurrences of each n-gram
-    that passes; size 0: all words of a language."""
-    schema = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+    that passes and has at least ``threshold``; size 0: all words of a language."""
+    packed = pa.schema([("part", pa.int32()), ("lang", pa.string()), ("size", pa.int32()), ("phrases", pa.binary()), ("counts", pa.binary())])
+    whole = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+
+    def batch(schema, rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
     def run(batches):
-        cache, seen, size = _Hashes(), {}, 0
+        cache, seen = _Hashes(), {}
 
         def rows():
-            flat = [(lang, n, p.decode("utf-8"), c) for (lang, n), x in seen.items() for p, c in x.items()]
-            for lo in range(0, len(flat), 10_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*flat[lo:lo + 10_000], strict=True), schema.types, strict=True)], schema=schema)
+            out = []
+            for (lang, n), own in seen.items():
+                by_part: dict[int, list] = {}
+                for p in own:
+                    by_part.setdefault(xxhash.xxh32_intdigest(p) & (parts - 1), []).append(p)
+                for part, held in by_part.items():
+                    for lo in range(0, len(held), ROW):
+                        some = held[lo:lo + ROW]
+                        out.append((part, lang, n, b"\n".join(some), np.array([own[p] for p in some], np.int64).tobytes()))
+            for lo in range(0, len(out), 256):
+                yield batch(packed, out[lo:lo + 256])
 
         for lang, words, new in runs(batches):
             found = grams(np.array([cache[w] for w in words], np.uint64), lang, new, range(1, LONGEST + 1))
             if len(cache) > REMEMBERED:
                 cache.clear()
-            short, long = Filter(words_pairs.value, parts), Filter(longer.value, parts)
+            two, other = Filter(pairs.value, parts), Filter(others.value, parts)
+            seen.setdefault((lang, 0), Counter())[b""] += int(found[1][1].sum())
             for n, (x, ok) in found.items():
-                own = seen.setdefault((lang, n), Counter())
-                before = len(own)
-                if n == 1:
-                    seen.setdefault((lang, 0), Counter())[b""] += int(ok.sum())
-                passes = ok & short.has(x) if n < 3 else with_pairs(found, short, n) & long.has(x)
-                if n == 1:
-                    own.update([words[i] for i in np.flatnonzero(passes).tolist()])
-                else:
-                    own.update([b" ".join(words[i:i + n]) for i in np.flatnonzero(passes).tolist()])
-                size += len(own) - before
-            if size >= REMEMBERED:
+                passes = ok & other.has(x) if n == 1 else with_pairs(found, two, n) & (n == 2 or other.has(x))
+                at = np.flatnonzero(passes).tolist()
+                seen.setdefault((lang, n), Counter()).update([words[i] for i in at] if n == 1 else [b" ".join(words[i:i + n]) for i in at])
+            if sum(map(len, seen.values())) >= COUNTED:
                 yield from rows()
-                seen, size = {}, 0
+                seen = {}
         yield from rows()
 
-    return docs.mapInArrow(run, "lang string, size int, phrase string, n long").groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    def added(batches):
+        key, own = None, {}
+
+        def done():
+            held = [(key[1], key[2], p.decode("utf-8"), c) for p, c in own.items() if c >= threshold or not key[2]]
+            for lo in range(0, len(held), 10_000):
+                yield batch(whole, held[lo:lo + 10_000])
+
+        for b in batches:
+            for part, lang, n, phrases, counts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (part, lang, n) != key:
+                    if own:
+                        yield from done()
+                    key, own = (part, lang, n), {}
+                for p, c in zip(phrases.split(b"\n"), np.frombuffer(counts, np.int64).tolist(), strict=True):
+                    own[p] = own.get(p, 0) + c
+        if own:
+            yield from done()
+
+    return (docs.mapInArrow(run, "part int, lang string, size int, phrases binary, counts binary")
+            .repartition(parts, "part").sortWithinPartitions("part", "lang", "size")
+            .mapInArrow(added, "lang string, size int, phrase string, n long"))
 
 
 def frequent(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(lang, size, phrase, n) of every n-gram of 1 to 4 words with at least
-    ``threshold`` occurrences, stored; size 0 holds a language's number of words."""
+    """(lang, size, phrase, n) of every phrase of 2 to 4 words with at least
+    ``threshold`` occurrences, and of their words, stored; size 0 holds a language's
+    number of words."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("lang").cast("string"), F.col("text").cast("string"))
@@ -284,9 +321,9 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     parts = 1 << (max(words // MASS, int(spark.conf.get("spark.sql.shuffle.partitions"))) - 1).bit_length()
     bits = max((parts - 1).bit_length() + 3, min(FILTER_BITS, (16 * words // threshold).bit_length(), (parts - 1).bit_length() + 32))
     sc = spark.sparkContext
-    short = sc.broadcast(survivors(docs, range(1, 3), parts, bits, threshold))
-    longer = sc.broadcast(survivors(docs, range(3, LONGEST + 1), parts, bits, threshold, short))
-    return materialize(counted(docs, parts, short, longer).where((F.col("n") >= threshold) | (F.col("size") == 0)), "phrases")
+    pairs = sc.broadcast(survivors(docs, [2], parts, bits, threshold))
+    others = sc.broadcast(survivors(docs, [1, *range(3, LONGEST + 1)], parts, bits, threshold, pairs))
+    return materialize(counted(docs, parts, threshold, pairs, others), "phrases")
 
 
 def wide(c) -> F.Column:
