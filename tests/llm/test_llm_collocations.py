@@ -58,7 +58,7 @@ def test_equals_definition(spark, threshold):
 
 
 def test_slices_flushes_and_small_summaries(spark, monkeypatch):
-    for name, value in (("SLICE", 50), ("HELD", 300), ("ROW", 7), ("REMEMBERED", 40), ("MASS", 1 << 11)):
+    for name, value in (("SLICE", 50), ("HELD", 300), ("ROW", 7), ("REMEMBERED", 40), ("COUNTED", 30), ("MASS", 1 << 11)):
         monkeypatch.setattr(C, name, value)
     rows = texts(7, 30)[:-2]
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
