@@ -265,6 +265,41 @@ def q_class_folders(spark, sf):
                                      F.sum(F.octet_length("value")).alias("n_bytes"))
 
 
+# Folders with a blank, an accent and a plus, as corpora have them.
+SPECIAL = {"en": "others small", "fr": "français", "de": "a+b", "es": "100% [x]"}
+
+
+def q_special_folders(spark, sf):
+    """SRC-1 + SRC-3 over folders whose names are encoded in file paths: lines per
+    class from plain folders, and per language from the folders of a partitioned write."""
+    d = documents(spark, sf)
+    name = F.create_map(*[F.lit(x) for kv in SPECIAL.items() for x in kv])[F.col("lang")]
+    out = scratch_path(spark, "special")
+    sink.write_folders(d.select(F.col("text").alias("value"), name.alias("folder")), out, "folder")
+    by_folder = src.language_corpus(spark, f"{out}/*/*", lang_level=1).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    plain = scratch_path(spark, "special")
+    for folder in list(SPECIAL.values())[:3]:
+        d.where(name == folder).select("text").write.text(f"{plain}/{folder}")
+    classes = {folder: float(i) for i, folder in enumerate(list(SPECIAL.values())[:3])}
+    by_class = src.labelled_lines(spark, plain, classes, kind="article").groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    return by_folder.select(F.col("lang").alias("name"), (F.col("n") > 0).cast("long").alias("n")).unionByName(
+        by_class.select(F.format_string("class %.0f", "category").alias("name"), "n"))
+
+
+def q_listing(spark, sf):
+    """SRC-13 + TOP-1 + AGG-9 + JOIN-5: a listing of real files without their
+    content, the first two files per folder, joined back to their lines."""
+    d = documents(spark, sf)
+    out = scratch_path(spark, "listing")
+    d.repartitionByRange(8, "doc_id").select(F.col("text").alias("value"), F.col("source").alias("folder")).write.partitionBy("folder").text(out)
+    files = src.file_listing(spark, out, "*.txt")
+    chosen = first_n_per_group(files, "folder", "path", 2)
+    lines = spark.read.text(f"{out}/*").select(F.octet_length("value").alias("bytes"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)$", 1).alias("file"))
+    names = chosen.select("folder", "length", F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("file"))
+    found = lines.join(names, "file").groupBy("folder", "file").agg(F.max("length").alias("length"), (F.sum("bytes") + F.count(F.lit(1))).alias("bytes"))
+    return found.groupBy("folder").agg(F.count(F.lit(1)).alias("n_files"), (F.sum("length") == F.sum("bytes")).alias("same_bytes"))
+
+
 def q_url_list(spark, sf):
     """SNK-8 -> FLT-14: the selected dump URLs written as a list and read back."""
     urls = q_size_list(spark, sf).select("url")
@@ -305,6 +340,8 @@ QUERIES = {
     "q_pack_write": q_pack_write,
     "q_class_folders": q_class_folders,
     "q_url_list": q_url_list,
+    "q_special_folders": q_special_folders,
+    "q_listing": q_listing,
 }
 
 # ---------------------------------------------------------------------------
@@ -334,6 +371,12 @@ ORACLE = {
         FROM documents""",
     "q_split_stratified": f"""SELECT doc_id, lang, CASE WHEN percent_rank() OVER (PARTITION BY lang ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id)
         < {TRAIN_PERCENT / 100} THEN 'train' ELSE 'test' END AS part FROM documents""",
+    "q_special_folders": f"""WITH s AS (SELECT * FROM (VALUES ('en', 'others small', 0), ('fr', 'français', 1), ('de', 'a+b', 2), ('es', '100% [x]', NULL)) t(lang, folder, c))
+        SELECT folder AS name, 1::BIGINT AS n FROM s WHERE lang IN (SELECT lang FROM documents)
+        UNION ALL SELECT 'class ' || c, count(*) FROM (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents) JOIN s USING (lang)
+        WHERE c IS NOT NULL AND {_FLT2} GROUP BY c""",
+    "q_listing": """SELECT source AS folder, least(count(DISTINCT part), 2) AS n_files, true AS same_bytes
+        FROM (SELECT source, ntile(8) OVER (ORDER BY doc_id) AS part FROM documents) GROUP BY source""",
     "q_first9_per_folder": f"SELECT folder, path, length, rank FROM {_FIRST9}",
     "q_selection_totals": f"""SELECT count(*) AS n_files, CAST(sum(length) AS BIGINT) AS n_bytes,
         CAST(floor(sum(length) / 1048576) AS BIGINT) AS n_mb FROM {_FIRST9}""",

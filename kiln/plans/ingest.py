@@ -148,6 +148,41 @@ def q_dump_redirects(spark, sf):
     return pages.filter(F.col("redirect").isNotNull()).select("id", "title", F.col("redirect").alias("target"))
 
 
+def q_disambiguation(spark, sf):
+    """FLT-9: article pages without disambiguation pages.  By row: no template, the
+    short or the long name at a line start, one with a parameter, one inside a line,
+    one in upper case (the last two stay)."""
+    d = documents(spark, sf)
+    i = F.col("doc_id")
+    kinds = F.array(*map(F.lit, ["plain", "first\n{{disambig}}", "{{disambiguation}}\nlast", "x\n{{disambig|geo}} y", "see {{disambig}}", "{{Disambig}}"]))
+    out = scratch_path(spark, "dump")
+    d.select(_page(i, F.col("source"), F.lit("0"), i + 1, F.element_at(kinds, (i % 6 + 1).cast("int"))).alias("value")).write.text(out)
+    pages = wiki.article_pages(wiki.dump_pages(spark, out), drop_disambiguation=True, ignore_case=False)
+    return pages.select("id", "title", "text")
+
+
+def q_extraction_totals(spark, sf):
+    """AGG-16: pages and template pages, observed while the pages are written."""
+    pages, seen = wiki.with_extraction_totals(wiki.dump_pages(spark, write_dump(spark, sf, compression=None)))
+    pages.select("id", "title").write.parquet(scratch_path(spark, "pages"))
+    return spark.createDataFrame([(k, int(v)) for k, v in sorted(seen.get.items())], "metric string, n long")
+
+
+def q_doc_strict(spark, sf):
+    """SRC-4: the permissive reader flags records without an end, the strict one
+    takes the files without such records."""
+    d = documents(spark, sf)
+    out = scratch_path(spark, "docs")
+    block = sink.doc_block("doc_id", "source", "text", URL_BASE + "wiki")
+    # every seventh record loses its end, and swallows the next one of its file
+    kind = F.when(F.col("doc_id") % 7 == 0, "broken").otherwise("whole")
+    broken = F.concat(F.replace(block, F.lit("</doc>"), F.lit("")), F.lit("\n"), block)
+    sink.write_doc_blocks(d.select(F.when(F.col("doc_id") % 7 == 0, broken).otherwise(block).alias("block"), kind.alias("kind")), out, partition_by=["kind"])
+    flagged = src.article_records(spark, f"{out}/*/*", lang_level=1).select(F.lit("permissive").alias("mode"), "id", "corrupt")
+    strict = src.article_records(spark, f"{out}/kind=whole/*", lang_level=1, fail_fast=True).select(F.lit("strict").alias("mode"), "id", "corrupt")
+    return flagged.unionByName(strict)
+
+
 def q_siteinfo(spark, sf):
     """SRC-9: base URL and namespaces (key, name) of the dump's site info."""
     return wiki.namespaces(spark, write_dump(spark, sf, compression=None))
@@ -196,6 +231,9 @@ QUERIES = {
     "q_doc_roundtrip": q_doc_roundtrip,
     "q_dump_pages": q_dump_pages,
     "q_dump_redirects": q_dump_redirects,
+    "q_disambiguation": q_disambiguation,
+    "q_extraction_totals": q_extraction_totals,
+    "q_doc_strict": q_doc_strict,
     "q_siteinfo": q_siteinfo,
     "q_medline": q_medline,
     "q_language_corpus": q_language_corpus,
@@ -223,6 +261,13 @@ ORACLE = {
     "q_language_corpus": f"""SELECT {S.strip(f"regexp_replace({S.py_strip(_DOCREC)}, '<doc [^>]*>', '', 'g')")} AS fullText,
         lang FROM documents WHERE lang NOT IN ('es')""",
     "q_dump_templates": "SELECT 'Template:T' || doc_id AS title, '{{{1}}}' AS body FROM documents WHERE doc_id % 50 = 0",
+    "q_disambiguation": """SELECT doc_id AS id, source AS title, CASE doc_id % 6 WHEN 0 THEN 'plain' WHEN 4 THEN 'see {{disambig}}' ELSE '{{Disambig}}' END AS text
+        FROM documents WHERE doc_id % 6 IN (0, 4, 5)""",
+    "q_extraction_totals": """SELECT 'pages' AS metric, count(*) * 2 + count(*) FILTER (WHERE doc_id % 7 = 0) + count(*) FILTER (WHERE doc_id % 50 = 0)
+            + count(*) FILTER (WHERE doc_id % 11 = 0) AS n FROM documents
+        UNION ALL SELECT 'templates', count(*) FROM documents WHERE doc_id % 50 = 0""",
+    "q_doc_strict": """SELECT 'permissive' AS mode, CAST(doc_id AS VARCHAR) AS id, doc_id % 7 = 0 AS corrupt FROM documents
+        UNION ALL SELECT 'strict', CAST(doc_id AS VARCHAR), false FROM documents WHERE doc_id % 7 <> 0""",
     "q_siteinfo": """WITH b AS (SELECT 'https://' || min(lang) || '.example.org/w' || count(*) AS base FROM documents),
         n AS (SELECT CAST(98 + 2 * row_number() OVER (ORDER BY source) AS VARCHAR) AS key, source AS name FROM (SELECT DISTINCT source FROM documents)
             UNION ALL SELECT * FROM (VALUES ('0', ''), ('10', 'Template'), ('828', 'Module')) t(key, name))

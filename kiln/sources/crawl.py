@@ -30,17 +30,22 @@ def parse_records(raw: DataFrame) -> DataFrame:
     given several times (legal, e.g. ``WARC-Concurrent-To``) keeps all its values,
     joined by ``", "``.  Works on batch and streaming frames alike."""
     rec = F.regexp_replace(F.col("value"), VERSION, "")
-    parts = F.split(rec, r"\r?\n\r?\n", 2)
-    lines = F.split(F.regexp_replace(parts[0], r"\r", ""), "\n")
-    fields = F.transform(lines, lambda x: F.struct(F.substring_index(x, ": ", 1).alias("name"),
-                                                   F.when(F.instr(x, ": ") > 0, F.substr(x, F.instr(x, ": ") + 2)).alias("value")))
-    names = F.array_distinct(F.transform(fields, lambda f: f["name"]))
-    header = F.map_from_arrays(names, F.transform(names, lambda n: F.array_join(
-        F.transform(F.filter(fields, lambda f: f["name"] == n), lambda f: f["value"]), ", ")))
-    return (raw.filter(F.col("value").rlike(r"\S"))
-            .select(header.alias("header"), F.coalesce(parts[1], F.lit("")).alias("payload"),
-                    F.col("_metadata.file_path").alias("file"))
-            .select(F.col("header")[TARGET_URI].alias("url"), "header", "payload", "file"))
+    # the header block by plain search, the map only where a plan asks for it
+    head = F.substring_index(F.replace(rec, F.lit("\r"), F.lit("")), "\n\n", 1)
+    uri = F.regexp_extract(head, rf"(?m)^{TARGET_URI}: ([^\n]*)", 1)
+    payload = F.coalesce(F.split(rec, r"\r?\n\r?\n", 2)[1], F.lit(""))
+    fields = F.transform(F.split(head, "\n"), lambda x: F.struct(
+        F.substring_index(x, ": ", 1).alias("name"), F.when(F.instr(x, ": ") > 0, F.substr(x, F.instr(x, ": ") + 2)).alias("value")))
+
+    def merged(f):
+        names = F.array_distinct(F.transform(f, lambda x: x["name"]))
+        return F.map_from_arrays(names, F.transform(names, lambda n: F.array_join(
+            F.transform(F.filter(f, lambda x: x["name"] == n), lambda x: x["value"]), ", ")))
+
+    # one list of the fields, so that the record is cut once and not for every name
+    header = F.transform(F.array(fields), merged)[0]
+    return raw.filter(F.col("value").rlike(r"\S")).select(
+        F.when(uri != "", uri).alias("url"), header.alias("header"), payload.alias("payload"), F.col("_metadata.file_path").alias("file"))
 
 
 def warc_records(spark: SparkSession, path: str) -> DataFrame:

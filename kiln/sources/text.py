@@ -18,18 +18,26 @@ ARTICLE_SCHEMA = StructType([StructField("fullText", StringType(), True),
                              StructField("lang", StringType(), False)])
 
 
-def folder_of(path_col="path", level: int = 1) -> F.Column:
-    """Name of the ``level``-th folder above the file (a ``key=value`` folder
-    of a partitioned write gives its value)."""
-    pattern = r"/(?:[^/=]+=)?([^/]+)" + r"/[^/]+" * level + "$"
-    return F.regexp_extract(F.col(path_col), pattern, 1)
+def folder_of(path_col="path", level: int = 1, encoded: bool = True) -> F.Column:
+    """Name of the ``level``-th folder above the file (a ``key=value`` folder of a
+    partitioned write gives its value).  ``encoded``: the path comes from
+    ``_metadata.file_path``, where blanks, accents and the like are percent-encoded;
+    a ``key=value`` folder's value is escaped once more by the writer."""
+    def decoded(c):
+        return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+    folder = F.regexp_extract(F.col(path_col), r"/([^/]+)" + r"/[^/]+" * level + "$", 1)
+    folder = decoded(folder) if encoded else folder
+    value = F.regexp_extract(folder, r"^[^=]+=(.*)$", 1)
+    return F.when(value != "", F.coalesce(F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))), value)).otherwise(folder)
 
 
 def labelled_lines(spark: SparkSession, root: str, labels: dict[str, float],
                    kind: str = "wiki", path_glob: str = "*") -> DataFrame:
     """SRC-1: every line of ``root/<folder>/*`` for the folders in ``labels``,
     filtered (``kind`` = ``wiki`` -> FLT-1, ``article`` -> FLT-2) and tagged with
-    the folder's numeric class.  Only the listed folders are scanned."""
+    the folder's numeric class.  Only the listed folders are scanned; a line whose
+    folder has no class fails the job."""
     paths = [f"{root.rstrip('/')}/{folder}/{path_glob}" for folder in labels]
     keep = is_wiki_text_line if kind == "wiki" else is_article_text_line
     def value(folder):   # a key=value folder is keyed by its value, like folder_of
@@ -39,7 +47,8 @@ def labelled_lines(spark: SparkSession, root: str, labels: dict[str, float],
     df = spark.read.text(paths).select(F.col("value").alias("fullText"),
                                        F.col("_metadata.file_path").alias("path"))
     return (df.filter(keep("fullText"))
-            .select("fullText", m[folder_of("path")].alias("category")))
+            .select("fullText", F.coalesce(m[folder_of("path")], F.raise_error(
+                F.concat(F.lit("no class for the folder of "), "path")).cast("double")).alias("category")))
 
 
 def concatenated_lines(spark: SparkSession, path: str, category: float, kind: str = "article") -> DataFrame:
@@ -54,27 +63,31 @@ DOC_END = "</doc>\n"
 DOC_HEADER = r'<doc id="([^"]*)"(?: revid="([^"]*)")? url="([^"]*)" title="([^"]*)">'
 
 
-def article_records(spark: SparkSession, glob: str, lang_level: int = 2) -> DataFrame:
+def article_records(spark: SparkSession, glob: str, lang_level: int = 2, fail_fast: bool = False) -> DataFrame:
     """SRC-3/SRC-4: whole-article records of extracted wiki files
     (``<root>/<lang>/<AA>/wiki_NN``), one scan for all languages; the
     multi-character ``lineSep`` keeps plain files splittable.
 
     Columns: path, lang, id, revid, url, title, body, corrupt.  ``corrupt`` is
     set when a record does not start with a well-formed header (Q15: a missing
-    ``</doc>`` leaves the header of the next record inside the body)."""
+    ``</doc>`` leaves the header of the next record inside the body).
+    ``fail_fast``: such a record fails the job, with its file and beginning."""
     raw = (spark.read.option("lineSep", DOC_END).text(glob)
            .select(F.col("value").alias("record"), F.col("_metadata.file_path").alias("path")))
     rec = F.regexp_replace(F.col("record"), r"^\n+", "")
     header = F.regexp_extract(rec, "^" + DOC_HEADER, 0)
     body = F.substring(rec, F.length(header) + 2, 1 << 30)
-    nested = F.instr(body, "<doc ") > 0
+    corrupt = (header == "") | (F.instr(body, "<doc ") > 0)
+    if fail_fast:
+        corrupt = F.when(corrupt, F.raise_error(F.concat(F.lit("malformed record in "), "path", F.lit(": "), F.substring(rec, 1, 80))).cast("boolean")) \
+            .otherwise(False)
     return raw.filter(F.length(F.trim(F.col("record"))) > 0).select(
         "path", folder_of("path", lang_level).alias("lang"),
         F.regexp_extract(rec, "^" + DOC_HEADER, 1).alias("id"),
         F.regexp_extract(rec, "^" + DOC_HEADER, 2).alias("revid"),
         F.regexp_extract(rec, "^" + DOC_HEADER, 3).alias("url"),
         F.regexp_extract(rec, "^" + DOC_HEADER, 4).alias("title"),
-        body.alias("body"), ((header == "") | nested).alias("corrupt"),
+        body.alias("body"), corrupt.alias("corrupt"),
         F.col("record"))
 
 
@@ -92,7 +105,7 @@ def file_listing(spark: SparkSession, root: str, glob: str = "*", recursive: boo
     ``content`` column is never read (column pruning on ``binaryFile``)."""
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
           .option("pathGlobFilter", glob).load(root))
-    return df.select(folder_of("path").alias("folder"), "path",
+    return df.select(folder_of("path", encoded=False).alias("folder"), "path",
                      F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length")
 
 

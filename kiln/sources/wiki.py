@@ -89,11 +89,12 @@ def first_by_id(pages: DataFrame, repeated_ids: int = REPEATED_IDS) -> DataFrame
     return pages.join(repeated, same, "left").where(F.col("_first").isNull() | (place == F.col("_first"))).drop("_id", "_first")
 
 
-def article_pages(pages: DataFrame, drop_disambiguation: bool = False) -> DataFrame:
-    """FLT-7 + FLT-8 (+ FLT-9): main-namespace, non-redirect pages."""
+def article_pages(pages: DataFrame, drop_disambiguation: bool = False, ignore_case: bool = True) -> DataFrame:
+    """FLT-7 + FLT-8 (+ FLT-9): main-namespace, non-redirect pages.  The reference
+    takes the disambiguation template in lower case only (``ignore_case=False``)."""
     out = pages.filter((F.col("ns") == "0") & F.col("redirect").isNull())
     if drop_disambiguation:
-        out = out.filter(~F.lower(F.col("text")).rlike(DISAMBIG))
+        out = out.filter(~F.col("text").rlike(("(?i)" if ignore_case else "") + DISAMBIG))
     return out
 
 

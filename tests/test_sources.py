@@ -5,6 +5,7 @@ file listing without content, size report lines, manifests."""
 import gzip
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from kiln.session import scratch_path
@@ -228,3 +229,36 @@ def test_warc_versions_and_repeated_headers(spark):
     assert sorted(recs) == ["http://x/", "http://y/", "http://z/"]
     assert all(r.header["WARC-Concurrent-To"] == "<a>, <b>" and r.payload.strip() == "hi" for r in recs.values())
     assert {r.URI: r.text for r in crawl.wet_documents(spark, d).collect()} == dict.fromkeys(recs, "hi")
+
+
+def test_strict_reader_names_the_broken_record(spark):
+    d = scratch_path(spark, "docs")
+    _write(d + "/en/AA", "wiki_00", b'<doc id="1" url="u1" title="A">\nA\n\nx\n</doc>\n')
+    assert [r.corrupt for r in src.article_records(spark, f"{d}/*/*/*", fail_fast=True).collect()] == [False]
+    _write(d + "/en/AA", "wiki_01", b'<doc id="2" title="no url">\nB\n\nx\n</doc>\n')
+    with pytest.raises(Exception, match=r"malformed record in .*wiki_01: <doc id=\"2\""):
+        src.article_records(spark, f"{d}/*/*/*", fail_fast=True).collect()
+
+
+def test_folder_names_are_decoded_and_unknown_folders_fail(spark):
+    d = scratch_path(spark, "folders")
+    for folder in ("others small", "été", "a+b", "100%"):
+        _write(f"{d}/{folder}", "f.txt", b"one line\n")
+    labels = {"others small": 0.0, "été": 1.0, "a+b": 2.0, "100%": 3.0}
+    got = src.labelled_lines(spark, d, labels, kind="article")
+    assert sorted(r.category for r in got.collect()) == [0.0, 1.0, 2.0, 3.0]
+    with pytest.raises(Exception, match="no class for the folder"):
+        src.labelled_lines(spark, d, {"o*": 0.0}, kind="article").collect()
+    assert {r.folder for r in src.file_listing(spark, d).collect()} == set(labels)
+
+
+def test_crawl_text_needs_no_header_map(spark):
+    from kiln.sources import crawl
+    d = scratch_path(spark, "wet")
+    _write(d, "a.wet", (crawl.warcinfo_record() + "WARC/1.0\nWARC-Target-URI: http://x\nA: 1\nA: 2\n\nWARC-Target-URI: not this\n\n").encode())
+    docs = crawl.wet_documents(spark, d)
+    assert [tuple(r) for r in docs.collect()] == [("http://x", "WARC-Target-URI: not this")]
+    assert "map_from_arrays" not in docs._jdf.queryExecution().optimizedPlan().toString()
+    records = crawl.warc_records(spark, d)
+    assert records._jdf.queryExecution().optimizedPlan().toString().count("map_from_arrays") == 1
+    assert {r.url: r.header.get("A") for r in records.collect()} == {None: None, "http://x": "1, 2"}
