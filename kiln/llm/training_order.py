@@ -34,12 +34,11 @@ import base64
 import hashlib
 import json
 import math
-from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyarrow import fs
 from pyspark import TaskContext
@@ -54,7 +53,7 @@ KEY = "kiln-training-order"
 ROUNDS = 6
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
-CACHED = 300_000              # words whose ids a worker keeps
+GROUP = 4 << 20               # bytes of text that are tokenised together
 
 # Fixed value: the vocabulary's split pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -100,62 +99,82 @@ class Feistel:
 class Tokenizer:
     """Byte-pair ids (2-byte, little-endian) of whole texts.  The split pattern
     never joins a space to what stands before it unless that is white space too,
-    so words between single spaces can be tokenised apart: each distinct word
-    once, many in one call, and remembered.  A text in which white space meets
-    such a space is tokenised whole."""
+    so words between single spaces can be tokenised apart: the texts of a group are
+    cut and their distinct words found by Arrow, these are tokenised in one call,
+    and the ids of the texts are put together from those of their words.  A text in
+    which white space meets such a space is tokenised whole."""
 
     def __init__(self, vocabulary: bytes):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.spaced = np.zeros(1 << 16, bool)          # ids that begin with a space
         self.spaced[[i for t, i in ranks.items() if t[:1] == b" "]] = True
-        self.words: dict[str, bytes] = {}              # ids of a word with the space before it
-        self.sizes: dict[str, int] = {}                # their number
-
-    def whole(self, text: str) -> bytes:
-        return array("H", self.encoding.encode_ordinary(text)).tobytes()
-
-    def _learn(self, known: dict, parts: list[list[str]], sizes: bool) -> None:
-        words = set(chain.from_iterable(p[1:] for p in parts))
-        new = words.difference(known)
-        if len(known) + len(new) > CACHED:
-            known.clear()
-            new = words
-        new = [w for w in new if w and not w[-1].isspace()]
-        if not new:
-            return
-        ids = np.array(self.encoding.encode_ordinary(" " + " ".join(new)), "<u2")
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.encoding.encode_ordinary(text), "<u2")
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of distinct words, each with a space before it: all ids, where each word's
+        begin (and the end of the last), and which cannot be tokenised apart (these
+        get no ids)."""
+        last = pc.utf8_slice_codeunits(words, -1).dictionary_encode()
+        odd = np.array([not c or c.isspace() for c in last.dictionary.to_pylist()], bool)[last.indices.to_numpy()]
+        size = np.zeros(len(words) + 1, np.int64)
+        plain = words.filter(pa.array(~odd))
+        if not len(plain):
+            return np.empty(0, "<u2"), size, odd
+        ids = self.whole(" " + pc.binary_join(pa.ListArray.from_arrays([0, len(plain)], plain), " ")[0].as_py())
         first = np.flatnonzero(self.spaced[ids])       # one such id for each word
-        stop = np.append(first[1:], len(ids))
-        if sizes:
-            known.update(zip(new, (stop - first).tolist(), strict=True))
-        else:
-            data = ids.tobytes()
-            known.update(zip(new, [data[a:z] for a, z in zip((2 * first).tolist(), (2 * stop).tolist(), strict=True)], strict=True))
-
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        parts = [(t or "").split(" ") for t in texts]
-        self.sizes.clear()
-        self._learn(self.words, parts, sizes=False)
+        size[1:][~odd] = np.diff(np.append(first, len(ids)))
+        return ids, np.cumsum(size), odd
+
+    def _group(self, texts: pa.Array, gather: bool) -> tuple[np.ndarray, bytes]:
+        """Number of ids of each text and, with ``gather``, the ids of all."""
+        cut = pc.split_pattern(texts, " ")
+        at = cut.offsets.to_numpy().astype(np.int64)
+        found, at = cut.flatten().dictionary_encode(), at - at[0]
+        data, ends, odd_word = self._words(found.dictionary)
+        word, head = found.indices.to_numpy().copy(), at[:-1]
+        opening = found.dictionary.take(pa.array(word[head])).to_pylist()
+        odd = odd_word[word]
+        odd[head] = [w[-1:].isspace() for w in opening]
+        odd = np.logical_or.reduceat(odd, head)
+        # a text's first word has no space before it: it has ids of its own, which
+        # are those of the whole text (and no other word has any) if need be
+        own = [self.whole(texts[k].as_py() if odd[k] else w) for k, w in enumerate(opening)]
+        ends = np.concatenate([ends, ends[-1] + np.cumsum([0, *map(len, own)])])
+        word[np.repeat(odd, np.diff(at))] = len(odd_word)
+        word[head] = len(odd_word) + 1 + np.arange(len(own))
+        counts = np.add.reduceat(np.diff(ends)[word], head)
+        if not gather:
+            return counts, b""
+        parts = pa.LargeListArray.from_arrays(ends, np.concatenate([data, *own]))
+        return counts, parts.take(pa.array(word)).flatten().to_numpy().tobytes()
+
+    def _groups(self, texts: pa.Array) -> Iterator[pa.Array]:
+        """``texts`` without nulls, in groups of about ``GROUP`` bytes."""
+        texts = pc.fill_null(texts, "")
+        group = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) // GROUP
+        edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+        for a, z in zip(edges, edges[1:], strict=False):
+            if z > a:
+                yield texts.slice(a, z - a)
+
+    def ids(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         out = []
-        for text, p in zip(texts, parts, strict=True):
-            try:
-                out.append(self.whole(p[0]) + b"".join(map(self.words.__getitem__, p[1:])) if not p[0][-1:].isspace() else self.whole(text))
-            except KeyError:
-                out.append(self.whole(text))
+        for part in self._groups(_array(texts)):
+            counts, data = self._group(part, gather=True)
+            stop = (2 * np.cumsum(counts)).tolist()
+            out.extend(data[a:z] for a, z in zip([0, *stop], stop, strict=False))
         return out
 
-    def counts(self, texts: list[str | None]) -> list[int]:
+    def counts(self, texts: list[str | None] | pa.Array) -> list[int]:
         """Number of ids of each text."""
-        parts = [(t or "").split(" ") for t in texts]
-        self._learn(self.sizes, parts, sizes=True)
-        size, out = self.encoding.encode_ordinary, []
-        for text, p in zip(texts, parts, strict=True):
-            try:
-                out.append(len(size(p[0])) + sum(map(self.sizes.__getitem__, p[1:])) if not p[0][-1:].isspace() else len(size(text)))
-            except KeyError:
-                out.append(len(size(text)))
-        return out
+        return [n for part in self._groups(_array(texts)) for n in self._group(part, gather=False)[0].tolist()]
+
+
+def _array(texts) -> pa.Array:
+    return texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
 
 
 def tokenizer(vocabulary: bytes) -> Tokenizer:
@@ -207,7 +226,7 @@ def write_shards(docs: DataFrame, folder: str, key: str = KEY, length: int = LEN
     def lengths(batches):
         counts, part, at = tokenizer(shared.value).counts, TaskContext.get().partitionId(), 0
         for b in batches:
-            n = [x + 1 for x in counts(b.column(1).to_pylist())]
+            n = [x + 1 for x in counts(b.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *b.columns[2:], pa.array(n, pa.int64()), pa.array([part] * len(n), pa.int32()),
                  pa.array(range(at, at + len(n)), pa.int64())], names=["doc_id", *b.schema.names[2:], "_n", "_scan", "_row"])
@@ -228,7 +247,7 @@ def write_shards(docs: DataFrame, folder: str, key: str = KEY, length: int = LEN
             if known is None:
                 known = _known(places, part, len(ids))
             out = []
-            for k, (i, tokens) in enumerate(zip(ids, encode(b.column(1).to_pylist()), strict=True)):
+            for k, (i, tokens) in enumerate(zip(ids, encode(b.column(1)), strict=True)):
                 if at + k >= len(known[0]) or known[0][at + k] != i:
                     raise ValueError("the input lists other rows than before; store it first")
                 data, start = tokens + closing, known[1][at + k]
@@ -289,7 +308,7 @@ def write_shards(docs: DataFrame, folder: str, key: str = KEY, length: int = LEN
     shards = max(1, -(-n // shard))
     parts = min(shards, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * 4)
     index = materialize(docs.mapInArrow(pieces, "shard long, slot long, sequence long, place int, doc_id long, ids binary")
-                        .repartition(parts, "shard").sortWithinPartitions("slot", "place").mapInArrow(write, INDEX), "order-index")
+                        .repartitionById(parts, F.expr(f"cast(shard * {parts} div {shards} as int)")).sortWithinPartitions("slot", "place").mapInArrow(write, INDEX), "order-index")
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
     with store.open_output_stream(f"{root}/order.json") as f:
