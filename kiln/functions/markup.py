@@ -39,6 +39,10 @@ SWITCHES = ("__NOTOC__", "__FORCETOC__", "__TOC__", "__NEWSECTIONLINK__", "__NON
             "__NOGALLERY__", "__HIDDENCAT__", "__NOCONTENTCONVERT__", "__NOCC__", "__NOTITLECONVERT__",
             "__NOTC__", "__START__", "__END__", "__INDEX__", "__NOINDEX__", "__STATICREDIRECT__",
             "__DISAMBIG__")
+# What makes an anchor an image address, and where an external link's parts end.
+IMAGE_ANCHOR = r"https?://[^\]\[<>\"\x00-\x20\x7f\s]+/[A-Za-z0-9_.,~%\-+&;#*?!=()@\x{80}-\x{ff}]+\.(?:gif|png|jpg|jpeg)"
+LINK_URL = r"[^\]\[<>\"\x00-\x20\x7f\s]+"
+LINK_ANCHOR = r"[^\]\[\x00-\x08\x0a-\x1f]*?"
 # Named character references: the HTML 4 table of the Python standard library
 # (252 names), built from that rule rather than written out.
 ENTITY_NAMES = dict(sorted(html.entities.name2codepoint.items()))
@@ -62,14 +66,15 @@ def _proto_alt() -> str:
 
 # A step is (pattern, replacement-with-$n-groups, rounds, guard); a callable in
 # place of the pattern takes the column and handles nesting itself.
-def html_steps(engine: str = "spark"):
+def html_steps(engine: str = "spark", links: bool = False):
     """clean() part: comments, self-closing tags, tags kept with content,
     dropped elements, in that order.
 
     ``spark``: dropped elements of any depth in one scan (:mod:`nested`).
     ``re2``: one lazy pattern per element (for engines without back references);
-    both give the same text on markup without same-name nesting."""
-    tags = _alt(KEEP_CONTENT_TAGS + ("a",))
+    both give the same text on markup without same-name nesting.  With ``links`` the
+    ``<a>`` tags stay."""
+    tags = _alt(KEEP_CONTENT_TAGS + (() if links else ("a",)))
     steps = [
         (r"(?s)<!--.*?-->", "", 1, "<!--"),                                                # TXT-10
         (rf"(?is)<\s*(?:{_alt(SELF_CLOSING_TAGS)})\b[^>]*/\s*>", "", 1, "/"),               # TXT-11
@@ -95,34 +100,69 @@ CLEANUP_STEPS = [
 ]
 
 
-def wiki_steps(engine: str = "spark", depth: int = 5):
+# Q10: blanks before closing and after opening punctuation (an option).
+BLANK_STEPS = [(r" ([,:.)\]»])", "$1", 1, " "), (r"([\[(«]) ", "$1", 1, " ")]
+
+
+def percent_encoded(c) -> Column:
+    """UTF-8 percent encoding; letters, digits, ``_.-~/`` stay."""
+    out = F.url_encode(c)
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
+def _kept_external(c) -> Column:
+    """TXT-6: ``[url anchor]`` as ``<a href>``; an anchor that is an image address
+    becomes that image."""
+    link = rf"(?is)\[((?:{_proto_alt()}){LINK_URL})\s*({LINK_ANCHOR})\]"
+
+    def one(m):
+        anchor = F.regexp_extract(m, link, 2)
+        shown = F.when(anchor.rlike(rf"(?i)^{IMAGE_ANCHOR}$"), F.concat(F.lit('<img src="'), anchor, F.lit('" alt="">'))).otherwise(anchor)
+        return F.concat(F.lit('<a href="'), percent_encoded(F.regexp_extract(m, link, 1)), F.lit('">'), shown, F.lit("</a>"))
+    return map_matches(c, link, one)
+
+
+def wiki_steps(engine: str = "spark", depth: int = 5, html: bool = False, links: bool = False, namespaces=ACCEPTED_NAMESPACES):
     """wiki2text part before the HTML decode: templates and tables (TXT-1),
     quotes (TXT-3), internal links with the namespace rule (TXT-4, TXT-17),
     external links (TXT-6), behaviour switches (TXT-7).
 
+    ``html`` writes emphasis as ``<b>`` and ``<i>``; ``links`` keeps internal and
+    external links as ``<a href>`` (``spark`` only); links into ``namespaces`` are
+    accepted, into others dropped (FLT-17).
+
     ``spark``: nested markup of any depth in one scan (:mod:`nested`); ``re2``:
     ``depth`` rounds, innermost first."""
     q2, q3, q5 = "''", "'''", "'''''"
     if engine == "spark":
         templates = [(lambda c: nested.mapped(c, (F.instr(c, "{{") > 0) | (F.instr(c, "{|") > 0), nested.without_templates), "", 1, None)]
-        links = [(lambda c: nested.mapped(c, F.instr(c, "[[") > 0, lambda t: nested.link_text(t, PROTECT)), "", 1, None)]
+        inside = [(lambda c: nested.mapped(c, F.instr(c, "[[") > 0, lambda t: nested.link_text(t, PROTECT, links)), "", 1, None)]
     else:
         templates = [(r"\{\{[^{}]*\}\}", "", depth, "{{"), (r"(?s)\{\|[^{}]*?\|\}", "", depth, "{|")]
-        links = [(rf"\[\[:?[^\[\]|:{PROTECT}]+:[^\[\]]*\]\]", "", 1, "[["),
+        inside = [(rf"\[\[:?[^\[\]|:{PROTECT}]+:[^\[\]]*\]\]", "", 1, "[["),
                  (r"\[\[(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]", "$1", 1, "[[")] * 3
+    if html:
+        quotes = [(rf"{q5}(.*?){q5}", "<b>$1</b>", 1, q5), (rf"{q3}(.*?){q3}", "<b>$1</b>", 1, q3),
+                  (rf"{q2}(.*?){q2}", "<i>$1</i>", 1, q2)]
+    else:
+        quotes = [(rf"{q5}(.*?){q5}", "$1", 1, q5),
+                  (rf"{q3}(.*?){q3}", "$1", 1, q3),
+                  (rf"{q2}\"([^\"]*?)\"{q2}", "\"$1\"", 1, q2 + '"'),
+                  (rf"{q2}(.*?){q2}", "\"$1\"", 1, q2),
+                  (r"\"\"([^\"]*?)\"\"", "\"$1\"", 1, '""')]
+    outside = ([(_kept_external, "", 1, None)] if links else
+               [(rf"(?is)\[(?:{_proto_alt()}){LINK_URL}\s+{IMAGE_ANCHOR}\]", "", 1, "["),
+                (rf"(?is)\[(?:{_proto_alt()}){LINK_URL}\s*({LINK_ANCHOR})\]", "$1", 1, "[")])
     return [
         *templates,                                                                        # TXT-1
-        (rf"{q5}(.*?){q5}", "$1", 1, q5),                                                  # TXT-3
-        (rf"{q3}(.*?){q3}", "$1", 1, q3),
-        (rf"{q2}\"([^\"]*?)\"{q2}", "\"$1\"", 1, q2 + '"'),
-        (rf"{q2}(.*?){q2}", "\"$1\"", 1, q2),
-        (r"\"\"([^\"]*?)\"\"", "\"$1\"", 1, '""'),
+        *quotes,                                                                           # TXT-3
         (q3, "", 0, None), (q2, "\"", 0, None),
-        (rf"\[\[(:?)({_alt(ACCEPTED_NAMESPACES)}):", f"[[$1{PROTECT}$2:", 1, "[["),         # TXT-17
-        *links,                                                                            # TXT-4
+        (rf"\[\[(:?)({_alt(namespaces)}):", f"[[$1{PROTECT}$2:", 1, "[["),         # TXT-17
+        *inside,                                                                           # TXT-4
         (PROTECT, "", 0, None),
-        (rf"(?is)\[(?:{_proto_alt()})[^\]\[<>\"\x00-\x20\x7f\s]+\s*([^\]\[\x00-\x08\x0a-\x1f]*?)\]",
-         "$1", 1, "["),                                                                    # TXT-6
+        *outside,                                                                          # TXT-6
         ("__(?:" + "|".join(w.strip("_") for w in SWITCHES) + ")__", "", 1, "__"),         # TXT-7
     ]
 
@@ -212,26 +252,27 @@ def _escape_html(c) -> Column:
                      F.lit(">"), F.lit("&gt;"))
 
 
-def _cleanup(c, to_html: bool = False) -> Column:
-    c = apply_steps(c, CLEANUP_STEPS)
+def _cleanup(c, to_html: bool = False, blanks: bool = False) -> Column:
+    c = apply_steps(c, CLEANUP_STEPS + (BLANK_STEPS if blanks else []))
     return _escape_html(c) if to_html else c
 
 
-def clean_stages(to_html: bool = False, guarded: bool = False):
-    """clean(): TXT-10..13, 8, 14, 15 (+16), as a list of column stages.
+def clean_stages(to_html: bool = False, guarded: bool = False, links: bool = False, blanks: bool = False):
+    """clean(): TXT-10..13, 8, 14, 15 (+16), as a list of column stages.  ``links``
+    keeps ``<a>`` tags; ``blanks`` takes those at punctuation out (Q10).
     ``guarded`` splits the regex chains into one guarded stage per step."""
     if not guarded:
-        stages = [lambda c: apply_steps(c, html_steps())]
+        stages = [lambda c: apply_steps(c, html_steps(links=links))]
         if not to_html:
             stages.append(unescape)
         stages += [_placeholder(tag, name) for tag, name in PLACEHOLDERS]
-        stages.append(lambda c: _cleanup(c, to_html))
+        stages.append(lambda c: _cleanup(c, to_html, blanks))
         return stages
-    stages = guarded_stages(html_steps())
+    stages = guarded_stages(html_steps(links=links))
     if not to_html:
         stages.append(_guard("&", unescape))
     stages += [_guard("<", _placeholder(tag, name)) for tag, name in PLACEHOLDERS]
-    stages += guarded_stages(CLEANUP_STEPS)
+    stages += guarded_stages(CLEANUP_STEPS + (BLANK_STEPS if blanks else []))
     if to_html:
         stages.append(_escape_html)
     return stages
@@ -277,9 +318,9 @@ def clean_markup(c, to_html: bool = False) -> Column:
     return _compose(clean_stages(to_html))(c)
 
 
-def with_clean_markup(df, col: str, out: str, to_html: bool = False):
+def with_clean_markup(df, col: str, out: str, to_html: bool = False, links: bool = False):
     """clean() as guarded projections: the form for large texts."""
-    return with_stages(df, col, out, clean_stages(to_html, guarded=True))
+    return with_stages(df, col, out, clean_stages(to_html, guarded=True, links=links))
 
 
 SYNTAXHIGHLIGHT = r"(?is)<syntaxhighlight[^>]*>.*?</syntaxhighlight>"
@@ -302,13 +343,14 @@ def decode_outside_highlight(c) -> Column:
                                    F.concat(inner, F.array(F.lit(""))), lambda p, r: F.concat(p, r)), "")
 
 
-def wiki_stages(guarded: bool = False):
-    """wiki2text (TXT-1, 3, 4, 6, 7, 9, 17, 18) as column stages."""
+def wiki_stages(guarded: bool = False, **options):
+    """wiki2text (TXT-1, 3, 4, 6, 7, 9, 17, 18) as column stages; ``options`` are
+    those of :func:`wiki_steps`."""
     if not guarded:
         return [protect_nowiki,
-                lambda c: F.replace(apply_steps(c, wiki_steps()), F.lit(BRACE_MASK), F.lit("{")),
+                lambda c: F.replace(apply_steps(c, wiki_steps(**options)), F.lit(BRACE_MASK), F.lit("{")),
                 decode_outside_highlight]
-    return ([_guard("<nowiki>", protect_nowiki)] + guarded_stages(wiki_steps())
+    return ([_guard("<nowiki>", protect_nowiki)] + guarded_stages(wiki_steps(**options))
             + [lambda c: F.replace(c, F.lit(BRACE_MASK), F.lit("{")),
                lambda c: (F.when(F.instr(F.lower(c), "<syntaxhighlight") > 0, decode_outside_highlight(c))
                           .when(F.instr(c, "&") > 0, unescape(c)).otherwise(c))])
@@ -324,9 +366,22 @@ def clean_wiki(c) -> Column:
     return _compose(wiki_stages() + clean_stages())(c)
 
 
-def with_clean_wiki(df, col: str, out: str):
-    """wiki2text + clean() as guarded projections: the form for large texts."""
-    return with_stages(df, col, out, wiki_stages(guarded=True) + clean_stages(guarded=True))
+def with_wiki_text(df, col: str, out: str, html: bool = False, links: bool = False, namespaces=ACCEPTED_NAMESPACES):
+    """wiki2text alone as guarded projections: with ``html`` and ``links`` the tags
+    that stand for quotes and links are still there."""
+    return with_stages(df, col, out, wiki_stages(guarded=True, html=html, links=links, namespaces=namespaces))
+
+
+def with_clean_wiki(df, col: str, out: str, to_html: bool = False, links: bool = False, namespaces=ACCEPTED_NAMESPACES, blanks: bool = False):
+    """wiki2text + clean() as guarded projections: the form for large texts.
+
+    ``links`` keeps links as ``<a href>``.  ``to_html`` implies it, and gives what the
+    reference's HTML mode gives: emphasis tags go again in clean(), where ``b`` and
+    ``i`` keep their content only, entities stay, and all of the text is escaped at
+    the end, the link tags included (:func:`with_wiki_text` has them as tags)."""
+    links = links or to_html
+    return with_stages(df, col, out, wiki_stages(guarded=True, html=to_html, links=links, namespaces=namespaces)
+                       + clean_stages(to_html, guarded=True, links=links, blanks=blanks))
 
 
 def residual_markup(c) -> Column:

@@ -144,3 +144,32 @@ def test_compact_joins_pieces_and_is_linear(spark):
     assert len(run(spark, lambda c: M.compact(c, lists="html"), [page])[0]) == 20_000 * 4
     assert time.time() - t0 < 60
     assert run(spark, M.compact, ["", None]) == [[], None]
+
+
+OPTIONS = [
+    (dict(links=True), "[[A b#c|x| label ]]s [[w:Z]] [[Category:X]] [http://e.org/é a b]",
+     '<a href="A%20b%23c">label</a>s <a href="w%3AZ">w:Z</a> <a href="http%3A//e.org/%C3%A9">a b</a>'),          # TXT-4, 6, 17
+    (dict(links=True), "[http://e.org http://e.org/a/b.jpg] <a href='x'>kept</a> <b>bold</b>",
+     """<a href="http%3A//e.org"><img src="http://e.org/a/b.jpg" alt=""></a> <a href='x'>kept</a> bold"""),
+    ({}, "[http://e.org http://e.org/a/b.jpg]. <a href='x'>kept</a>", ". kept"),                                    # image anchor
+    (dict(to_html=True), "'''b''' ''i'' '''''bi''''' ''open & [[P]]", 'b i bi "open &amp; &lt;a href="P"&gt;P&lt;/a&gt;'),  # TXT-3, 16
+    (dict(namespaces=("q",)), "[[q:A|a]] [[w:B|b]] [[q:C]]", "a q:C"),                                               # FLT-17
+    (dict(blanks=True), "a , b ( c ) [ d ] « e » : f .", "a, b (c) [d] «e»: f."),                                    # Q10
+]
+
+
+@pytest.mark.parametrize("options,src,expected", OPTIONS)
+def test_clean_wiki_options(spark, options, src, expected):
+    df = spark.createDataFrame([(src,), (None,), ("",)], "t string")
+    assert [r.o for r in M.with_clean_wiki(df, "t", "o", **options).select("o").collect()] == [expected, None, ""]
+
+
+def test_wiki_text_writes_tags(spark):
+    df = spark.createDataFrame([("'''b''' ''i'' [[P|l]]",)], "t string")
+    assert M.with_wiki_text(df, "t", "o", html=True, links=True).first().o == '<b>b</b> <i>i</i> <a href="P">l</a>'
+
+
+def test_percent_encoding_is_that_of_urls(spark):
+    from urllib.parse import quote
+    texts = ["a b", "~-_.!*'()", "ö/文", "%&+=?#", ""]
+    assert run(spark, M.percent_encoded, texts) == [quote(t) for t in texts]
