@@ -529,3 +529,29 @@ def compact(c, keep_sections: bool = False, lists: str = "drop") -> Column:
             F.struct(no_lines.alias("out"), done["pend"].alias("pend"), done["empty"].alias("empty"), done["open"].alias("open")).cast(state).alias("now")).cast(whole)),
         lambda done: F.flatten(done["parts"])))
     return folded[0]
+
+
+# ---------------------------------------------------------------------------
+# TXT-30: template definitions
+# ---------------------------------------------------------------------------
+TEMPLATE_STEPS = [
+    (r"(?s)<!--.*?-->", "", 1, "<!--"),
+    (r"(?s)<noinclude>.*?</noinclude>", "", 1, "<noinclude>"),
+    (r"(?s)<noinclude\s*>.*", "", 1, "<noinclude"),          # unterminated
+    ("<noinclude/>", "", 0, None),
+]
+
+
+def template_target(c) -> Column:
+    """Title that a template page redirects to, else null."""
+    return F.nullif(F.regexp_extract(_c(c), r"(?i)^#REDIRECT[^\n]*?\[\[([^\]]*)\]\]", 1), F.lit(""))
+
+
+def template_body(c) -> Column:
+    """What a template page stands for where it is included: no comments, no
+    ``<noinclude>`` parts (an unterminated one runs to the end); where
+    ``<onlyinclude>`` parts hold something these alone, else all without the
+    ``<includeonly>`` tags."""
+    t = apply_steps(c, TEMPLATE_STEPS)
+    only = F.array_join(F.regexp_extract_all(t, F.lit(r"(?s)<onlyinclude>(.*?)</onlyinclude>"), 1), "")
+    return F.when(only != "", only).otherwise(F.regexp_replace(t, "</?includeonly>", ""))

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kiln.functions import markup
 from kiln.plans import sqlfrag as S
 from kiln.plans.common import documents
 from kiln.session import read_table, scratch_path
@@ -191,14 +192,36 @@ def q_siteinfo(spark, sf):
 def q_dump_templates(spark, sf):
     """SRC-8 -> SRC-10 + FLT-16 + TXT-30 -> SNK-7 (parquet) -> SRC-17: the
     template dictionary of the dump, saved and loaded again."""
-    from kiln.plans.markup import template_body
     pages = wiki.first_by_id(wiki.dump_pages(spark, write_dump(spark, sf, compression=None)))
-    defs = wiki.template_pages(pages).select("title", template_body(F.col("text")).alias("body"))
+    defs = wiki.template_pages(pages).select("title", markup.template_body("text").alias("body"))
     out = scratch_path(spark, "templates")
     defs.write.mode("overwrite").parquet(out)                # SNK-7
     return spark.read.parquet(out)                           # SRC-17
 
 
+def q_template_bodies(spark, sf):
+    """SRC-10 + TXT-29 + TXT-30: definitions of templates and modules whose prefixes
+    come from the titles.  By row: parts left out, parts included alone, a redirect,
+    an unterminated part, nothing to include, empty parts."""
+    d = documents(spark, sf)
+    lowest = d.agg(F.min("source").alias("prefix")).scalar()
+    i, lg, src_ = F.col("doc_id").cast("string"), F.col("lang"), F.col("source")
+    title = lambda n: F.concat("prefix", F.when(n % 5 == 0, F.lit(" module")).otherwise(F.lit("")), F.lit(":T"), n.cast("string"))
+    kinds = F.array(
+        F.concat(F.lit("<noinclude>doc "), i, F.lit("</noinclude><!-- c -->"), lg, F.lit(" {{{1}}}<includeonly>!</includeonly>")),
+        F.concat(F.lit("a<onlyinclude>x "), i, F.lit("</onlyinclude>b<onlyinclude> y "), src_, F.lit("</onlyinclude>c")),
+        F.concat(F.lit("#redirect  [["), title(F.col("doc_id") + 1), F.lit("]] rest")),
+        F.concat(F.lit("kept "), i, F.lit("<noinclude/> too<noinclude >open "), lg),
+        F.concat(F.lit("<noinclude>doc "), i, F.lit("</noinclude>")),
+        F.concat(F.lit("<onlyinclude></onlyinclude>z "), i, F.lit("<includeonly> "), lg, F.lit("</includeonly>")))
+    out = scratch_path(spark, "dump")
+    ns = F.when(F.col("doc_id") % 5 == 0, "828").otherwise("10")
+    body = F.element_at(kinds, (F.col("doc_id") % 6 + 1).cast("int"))
+    (d.withColumn("prefix", lowest).select(_page(F.col("doc_id"), title(F.col("doc_id")), ns, F.col("doc_id") + 1, body).alias("value"))
+     .write.text(out))
+    return wiki.template_definitions(wiki.dump_pages(spark, out))
+
+
 def write_medline(spark, sf) -> str:
     """conversations as MEDLINE citations, one for every four turns: the first =
     title, the next two = AbstractText elements, the fourth = OtherAbstract
@@ -238,6 +261,7 @@ QUERIES = {
     "q_medline": q_medline,
     "q_language_corpus": q_language_corpus,
     "q_dump_templates": q_dump_templates,
+    "q_template_bodies": q_template_bodies,
 }
 
 _URI = "'https://example.org/' || lang || '/' || doc_id"
@@ -260,6 +284,12 @@ ORACLE = {
     "q_dump_redirects": f"SELECT doc_id + 1000000 AS id, 'R ' || doc_id AS title, {_TITLE} AS target FROM documents",
     "q_language_corpus": f"""SELECT {S.strip(f"regexp_replace({S.py_strip(_DOCREC)}, '<doc [^>]*>', '', 'g')")} AS fullText,
         lang FROM documents WHERE lang NOT IN ('es')""",
+    "q_template_bodies": """WITH d AS (SELECT *, (SELECT min(source) FROM documents) AS p FROM documents)
+        SELECT p || CASE WHEN doc_id % 5 = 0 THEN ' module' ELSE '' END || ':T' || doc_id AS title, 'T' || doc_id AS name,
+            CASE WHEN doc_id % 6 = 2 THEN p || CASE WHEN (doc_id + 1) % 5 = 0 THEN ' module' ELSE '' END || ':T' || (doc_id + 1) END AS target,
+            CASE doc_id % 6 WHEN 0 THEN lang || ' {{{1}}}!' WHEN 1 THEN 'x ' || doc_id || ' y ' || source WHEN 3 THEN 'kept ' || doc_id || ' too'
+                WHEN 5 THEN '<onlyinclude></onlyinclude>z ' || doc_id || ' ' || lang END AS body
+        FROM d WHERE doc_id % 6 <> 4""",
     "q_dump_templates": "SELECT 'Template:T' || doc_id AS title, '{{{1}}}' AS body FROM documents WHERE doc_id % 50 = 0",
     "q_disambiguation": """SELECT doc_id AS id, source AS title, CASE doc_id % 6 WHEN 0 THEN 'plain' WHEN 4 THEN 'see {{disambig}}' ELSE '{{Disambig}}' END AS text
         FROM documents WHERE doc_id % 6 IN (0, 4, 5)""",

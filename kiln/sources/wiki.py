@@ -13,6 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kiln.functions import markup
 from kiln.session import scratch_path
 
 PAGE_END = "</page>\n"
@@ -145,6 +146,29 @@ def template_pages(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("ns").isin(*TEMPLATE_NS))
 
 
+def template_prefixes(pages: DataFrame) -> DataFrame:
+    """SRC-10: (ns, prefix) of templates and modules, taken from the first title in
+    input order that has one (two rows at most)."""
+    colon = F.instr("title", ":")
+    return (template_pages(pages).where(colon > 2).groupBy("ns")
+            .agg(F.min_by(F.substr("title", F.lit(1), colon), F.struct("file", "block", "pos")).alias("prefix")))
+
+
+def template_definitions(pages: DataFrame) -> DataFrame:
+    """SRC-10 + TXT-30: (title, name, target, body) of template and module pages;
+    ``name`` is the title without its namespace's prefix.  A redirect has a target and
+    no body, a page that includes nothing is no definition, and of pages with one
+    title the last in input order counts (redirects and bodies apart).  The pages are
+    scanned once more for the prefixes, titles only."""
+    target, place = markup.template_target("text"), F.struct("file", "block", "pos")
+    found = (template_pages(pages).select("title", "ns", target.alias("target"), F.when(target.isNull(), markup.template_body("text")).alias("body"), place.alias("place"))
+             .where("target is not null or body <> ''"))
+    last = found.groupBy("title", "ns", F.col("target").isNull().alias("plain")).agg(F.max_by(F.struct("target", "body"), "place").alias("d"))
+    name = F.when(F.startswith("title", "prefix"), F.expr("substr(title, length(prefix) + 1)")).otherwise(F.col("title"))
+    return (last.join(F.broadcast(template_prefixes(pages)), "ns", "left")
+            .select("title", name.alias("name"), F.col("d.target").alias("target"), F.col("d.body").alias("body")))
+
+
 # --- MEDLINE ---------------------------------------------------------------------------------
 MEDLINE_SCHEMA = ("Article STRUCT<ArticleTitle: STRING, Abstract: STRUCT<AbstractText: ARRAY<STRING>>>, "
                   "OtherAbstract ARRAY<STRUCT<AbstractText: ARRAY<STRING>>>")

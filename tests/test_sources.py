@@ -262,3 +262,17 @@ def test_crawl_text_needs_no_header_map(spark):
     records = crawl.warc_records(spark, d)
     assert records._jdf.queryExecution().optimizedPlan().toString().count("map_from_arrays") == 1
     assert {r.url: r.header.get("A") for r in records.collect()} == {None: None, "http://x": "1, 2"}
+
+
+def test_template_definitions(spark):
+    """The last page of a title counts, redirects apart; prefixes come from the first
+    title of each namespace that has one; a page without content is no definition."""
+    rows = [(0, "10", "Plain", "no prefix"), (1, "10", "Vorlage:A", "old"), (2, "10", "Other:B", "b<noinclude>x"), (3, "828", "Modul:M", "m"),
+            (4, "10", "Vorlage:A", "new <!-- c -->"), (5, "10", "Vorlage:A", "#Redirect [[Vorlage:B]]"), (6, "10", "Vorlage:C", "<noinclude>all"),
+            (7, "0", "Vorlage:D", "an article"), (8, "10", "Vorlage:E", None), (9, "10", "Vorlage:F", "")]
+    pages = spark.createDataFrame([(t, ns, x, "f", 0, i) for i, ns, t, x in rows], "title string, ns string, text string, file string, block long, pos long")
+    assert sorted(tuple(r) for r in wiki.template_prefixes(pages).collect()) == [("10", "Vorlage:"), ("828", "Modul:")]
+    got = {tuple(r) for r in wiki.template_definitions(pages).collect()}
+    assert got == {("Plain", "Plain", None, "no prefix"), ("Vorlage:A", "A", None, "new "), ("Vorlage:A", "A", "Vorlage:B", None),
+                   ("Other:B", "Other:B", None, "b"), ("Modul:M", "M", None, "m")}
+    assert wiki.template_definitions(pages.limit(0)).count() == 0
