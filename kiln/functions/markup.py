@@ -134,7 +134,7 @@ def wiki_steps(engine: str = "spark", depth: int = 5, html: bool = False, links:
     accepted, into others dropped (FLT-17).
 
     ``spark``: nested markup of any depth in one scan (:mod:`nested`); ``re2``:
-    ``depth`` rounds, innermost first."""
+    ``depth`` rounds, innermost first, and no image anchors."""
     q2, q3, q5 = "''", "'''", "'''''"
     if engine == "spark":
         templates = [(lambda c: nested.mapped(c, (F.instr(c, "{{") > 0) | (F.instr(c, "{|") > 0), nested.without_templates), "", 1, None)]
@@ -153,8 +153,8 @@ def wiki_steps(engine: str = "spark", depth: int = 5, html: bool = False, links:
                   (rf"{q2}(.*?){q2}", "\"$1\"", 1, q2),
                   (r"\"\"([^\"]*?)\"\"", "\"$1\"", 1, '""')]
     outside = ([(_kept_external, "", 1, None)] if links else
-               [(rf"(?is)\[(?:{_proto_alt()}){LINK_URL}\s+{IMAGE_ANCHOR}\]", "", 1, "["),
-                (rf"(?is)\[(?:{_proto_alt()}){LINK_URL}\s*({LINK_ANCHOR})\]", "$1", 1, "[")])
+               ([(rf"(?is)\[(?:{_proto_alt()}){LINK_URL}\s+{IMAGE_ANCHOR}\]", "", 1, "[")] if engine == "spark" else []) +
+               [(rf"(?is)\[(?:{_proto_alt()}){LINK_URL}\s*({LINK_ANCHOR})\]", "$1", 1, "[")])
     return [
         *templates,                                                                        # TXT-1
         *quotes,                                                                           # TXT-3
