@@ -66,3 +66,17 @@ def test_explode_has_no_inferred_prefilter(spark):
     df = spark.createDataFrame([(1, "a b")], "id int, t string").select("id", T.tokenize("t").alias("w"))
     plan = term_occurrences(df, "id", "w")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") == 1
+
+
+def test_by_document_cuts_by_size(spark):
+    """Partitions follow the rows and bytes; adaptive execution does not join them."""
+    from pyspark.sql import functions as F
+
+    from kiln.operators import features as fx
+    rows = spark.range(5 * fx.TASK_ROWS)
+    cut = fx.by_document(rows, "id")
+    assert cut.rdd.getNumPartitions() == 5
+    assert cut.withColumn("p", F.spark_partition_id()).select("p").distinct().count() == 5
+    long = spark.range(8).select("id", F.repeat(F.lit("x"), fx.TASK_BYTES).alias("text"))
+    assert fx.by_document(long, "id", "text").rdd.getNumPartitions() == 8
+    assert sorted(r["id"] for r in cut.collect()) == list(range(5 * fx.TASK_ROWS))
