@@ -16,9 +16,10 @@ The statistics are rates: sums over windows of ``WINDOW`` words, divided by the
 number of words, letters, lines or windows, so that a text's length does not change
 them and a long text is read window by window.
 
-Fitting uses at most ``SAMPLE`` labelled rows, those with the smallest hash of their
-id (a documented bound).  Rows held out (``crc32(doc_id) mod FOLDS = HELD_OUT``) are
-never among them.  Language, source, id and labels are no inputs of a score.
+Fitting uses every labelled row that is not held out (``crc32(doc_id) mod FOLDS =
+HELD_OUT``): pairs are stored, Newton's method reads them once a step, and the driver
+gets sums of the size of the model.  Language, source, id and labels are no inputs of
+a score.
 
 Defined cases: null text is empty; a text without words has rates of zero and is
 scored from them; a null id is not held out and not used for fitting; repeated labels
@@ -34,21 +35,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import materialize, small_batches
+from kiln.llm.common import materialize, running_offsets, small_batches
 
-SAMPLE = 20_000       # labelled rows used for fitting, at most
 MEETINGS = 6
 KEEP = 0.7
 FOLDS, HELD_OUT = 4, 2
 WINDOW = 256          # words
 SLICE = 1 << 20       # characters looked at in one go
 PENALTY = 1e-3
-STEPS = 60
+STEPS = 60            # of Newton's method, at most
+SMALL = 1_000_000     # repeated ids that go by broadcast, at most
 SEED = 11
 RATES = ("upper", "digit", "mark", "other", "space", "stop", "comma", "loud", "length", "length_sq", "shouted", "title", "marked", "no_letter",
          "one_letter", "again", "distinct", "lines", "line_again", "line_end", "short_line")
@@ -173,51 +172,112 @@ def _measured(texts: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def pairs(rows: DataFrame, meetings: int = MEETINGS) -> DataFrame:
-    """(x) the difference good minus bad of each pair; ``rows``: (id, good, x), of
-    bounded number.  The larger class meets the smaller in ``meetings`` rounds, each
-    round with another shift of its seeded order."""
-    order = Window.partitionBy("good").orderBy(F.xxhash64("id", F.lit(SEED)), "id")
-    placed = rows.withColumn("place", F.row_number().over(order) - 1).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("good")))
-    sizes = {r["good"]: r["n"] for r in placed.select("good", "n").distinct().collect()}
+    """(x) the difference good minus bad of each pair; ``rows``: (id, good, x), stored,
+    ids unique.  The larger class meets the smaller in ``meetings`` rounds, each round
+    with another shift of its seeded order.  The rows of the smaller class are sent
+    once for each round, those of the larger once."""
+    sizes = {r["good"]: r["count"] for r in rows.groupBy("good").count().collect()}
     if len(sizes) < 2:
         return rows.select("x").limit(0)
     large = sizes[True] >= sizes[False]
-    many, few = placed.where(F.col("good") == large), placed.where(F.col("good") != large)
-    met = many.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(meetings - 1)))).select(
-        F.col("x").alias("x1"), F.pmod(F.col("place") + F.col("round") * (sizes[not large] // meetings + 1), F.lit(sizes[not large])).alias("place"))
+    n = sizes[not large]
+    keys = rows.select("id", "good", F.xxhash64("id", F.lit(SEED)).alias("_hash"))
+    places = running_offsets(keys, ["good", "_hash", "id"], F.lit(1), "place").select(
+        "id", (F.col("place") - F.when(F.col("good"), sizes[False]).otherwise(0)).alias("place"))
+    placed = rows.join(places, "id")
+    many = placed.where(F.col("good") == large).select(F.col("x").alias("x1"), F.pmod("place", F.lit(n)).alias("slot"))
+    few = placed.where(F.col("good") != large).withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(meetings - 1)))).select(
+        F.col("x").alias("x2"), F.pmod(F.col("place") - F.col("round") * (n // meetings + 1), F.lit(n)).alias("slot"))
     one, two = ("x1", "x2") if large else ("x2", "x1")
-    return met.join(few.select(F.col("x").alias("x2"), "place"), "place").select(
-        F.zip_with(one, two, lambda a, b: a - b).alias("x"))
+    return many.join(few, "slot").select(F.zip_with(one, two, lambda a, b: a - b).alias("x"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from at most ``sample`` labelled documents that are not held out.
-    The driver gets means, weights and two quantiles."""
+def _sums(differences: DataFrame, weights: np.ndarray) -> np.ndarray:
+    """Number of pairs, logistic loss, its gradient and its Hessian at ``weights``, in
+    one row; summed within tasks, then by position."""
+    width = len(weights)
+
+    def run(batches):
+        total = np.zeros(2 + width + width * width)
+        for b in batches:
+            d = b.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+            z = np.clip(d @ weights, -500, 500)
+            away = 1 / (1 + np.exp(z))
+            total[0] += len(d)
+            total[1] += np.logaddexp(0, -z).sum()
+            total[2:2 + width] -= away @ d
+            total[2 + width:] += ((d * (away * (1 - away))[:, None]).T @ d).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["v"])
+
+    by_place = (differences.mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("i", "v"))
+                .groupBy("i").agg(F.sum("v").alias("v")))
+    out = np.zeros(2 + width + width * width)
+    for r in by_place.collect():
+        out[r["i"]] = r["v"]
+    return out
+
+
+def minimum(differences: DataFrame, width: int, penalty: float = PENALTY, steps: int = STEPS) -> np.ndarray:
+    """Weights of the least mean logistic loss of the differences (x) plus
+    ``penalty / 2 * |w|^2``, by Newton's method; a step that raises the loss is halved."""
+    w = last = np.zeros(width)
+    least = math.inf
+    for _ in range(steps):
+        sums = _sums(differences, w)
+        n = max(1.0, sums[0])
+        loss = sums[1] / n + penalty / 2 * w @ w
+        if loss > least + 1e-12:
+            w = (w + last) / 2
+            continue
+        gradient = sums[2:2 + width] / n + penalty * w
+        step = np.linalg.solve(sums[2 + width:].reshape(width, width) / n + penalty * np.eye(width), gradient)
+        if gradient @ step < 1e-12:
+            break
+        last, least, w = w, loss, w - step
+    return w
+
+
+def _ranked(values: DataFrame, places: list[int]) -> list[float]:
+    """The values (column ``s``) at the given places of their order, from 0; equal
+    values are one row, ranked by key ranges."""
+    counts = running_offsets(values.groupBy("s").count(), ["s"], F.col("count"), "below")
+    counts = counts.where(" or ".join(f"({p} >= below and {p} < below + count)" for p in places))
+    found = counts.collect()
+    return [next(r["s"] for r in found if r["below"] <= p < r["below"] + r["count"]) for p in places]
+
+
+def _once(texts: DataFrame) -> DataFrame:
+    """(id, text): rows that share an id count once, with the smallest text.  Only the
+    texts of repeated ids are brought together."""
+    again = materialize(texts.groupBy("id").count().where("count > 1").select("id"), "repeated")
+    n = again.count()
+    if not n:
+        return texts
+    again = F.broadcast(again) if n <= SMALL else again
+    return texts.join(again, "id", "left_anti").unionByName(
+        texts.join(again, "id").groupBy("id").agg(F.min("text").alias("text")))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model from all labelled documents that are not held out.  The driver gets
+    deviations, sums over the pairs, and two quantiles."""
     small_batches(docs.sparkSession)
     marked = (labels.where("doc_id is not null and quality is not null").where(~held_out("doc_id"))
-              .groupBy(F.col("doc_id").cast("long").alias("id")).agg((F.max("quality") > 0).alias("good"))
-              .orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(sample))
-    marked = F.broadcast(materialize(marked, "labels"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(marked, "id")
-    # rows that share an id count once, with the smallest text
-    texts = texts.groupBy("id", "good").agg(F.min("text").alias("text"))
-    rows = materialize(_measured(texts, ["id", "good"]), "measured")
+              .groupBy(F.col("doc_id").cast("long").alias("id")).agg((F.max("quality") > 0).alias("good")))
+    texts = (docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+             .where(F.col("id").isNotNull() & ~held_out("id")))
+    # the statistics are shuffled, not the texts
+    rows = materialize(_measured(_once(texts), ["id"]).join(marked, "id"), "measured")
     size = rows.groupBy("good").count().collect()
     if len(size) < 2:
         return Model(np.zeros(WIDTH))
-    n, n_bad = sum(r["count"] for r in size), next(r["count"] for r in size if not r["good"])
+    n_bad = next(r["count"] for r in size if not r["good"])
     one = rows.agg(*[F.stddev_pop(F.col("x")[i]).alias(f"c{i}") for i in range(WIDTH)]).first()
     scale = np.array([1 / v if v and v > 1e-9 else 0.0 for v in one])
-    scaled = rows.withColumn("x", F.zip_with("x", F.array(*map(F.lit, scale.tolist())), lambda a, b: a * b))
-    # a pair read backwards is the other class, so half of them are: the loss is the same
-    backwards = F.pmod(F.xxhash64("x"), F.lit(2)) == 1
-    training = materialize(pairs(scaled), "pairs").select(
-        F.when(backwards, 0.0).otherwise(1.0).alias("label"),
-        array_to_vector(F.when(backwards, F.transform("x", lambda v: -v)).otherwise(F.col("x"))).alias("features"))
-    fitted = LogisticRegression(fitIntercept=False, standardization=False, regParam=PENALTY, maxIter=STEPS).fit(training)
-    weights = fitted.coefficients.toArray() * scale
+    scaled = rows.withColumn("x", F.zip_with("x", F.array(*map(F.lit, scale.tolist())), lambda a, b: (a * b).cast("float")))
+    weights = minimum(materialize(pairs(scaled), "pairs"), WIDTH) * scale
     strength = sum((F.col("x")[i] * float(w) for i, w in enumerate(weights)), F.lit(0.0))
-    low, high = rows.agg(F.percentile(strength, F.array(F.lit((n_bad - 1) / (n - 1)), F.lit(n_bad / (n - 1))))).first()[0]
+    low, high = _ranked(rows.select(strength.alias("s")), [n_bad - 1, n_bad])
     return Model(weights, (low + high) / 2)
 
 

@@ -90,3 +90,26 @@ def test_without_two_classes_all_are_kept(spark, docs_of):
     for x in (labels, labels.limit(0)):
         assert [r["predicted"] for r in Q.scores(docs, Q.fit(docs, x)).collect()] == [1, 1]
     assert Q.scores(docs_of([]), Q.fit(docs_of([]), labels)).count() == 0
+
+
+def test_all_labelled_rows_take_part(spark, stored, monkeypatch):
+    """Not only the 20,000 of the smallest hashes; the weights are the minimum of the loss."""
+    seen = {}
+    real = Q.pairs
+
+    def pairs(rows, *more):
+        seen["rows"] = rows.count()
+        return real(rows, *more)
+
+    monkeypatch.setattr(Q, "pairs", pairs)
+    rows = [(i, "Plain words." if i % 3 else "X!! ###") for i in range(28_000)]
+    labels = spark.range(28_000).select(F.col("id").alias("doc_id"), (F.col("id") % 3 > 0).cast("int").alias("quality"))
+    Q.fit(stored(rows), labels)
+    assert seen["rows"] == sum(not held(i) for i, _ in rows) > 20_000
+
+
+def test_newton_finds_the_minimum(spark):
+    rng = np.random.default_rng(5)
+    d = rng.normal(size=(200, 3)) + 0.4
+    w = Q.minimum(spark.createDataFrame([(v.tolist(),) for v in d], "x array<float>"), 3)
+    assert np.allclose(d.T @ (1 / (1 + np.exp(d @ w))) / len(d), Q.PENALTY * w, atol=1e-6)
