@@ -7,9 +7,9 @@ gradient descent on the mean logistic loss plus ``penalty / 2 * |w|^2``:
     margin_d = b + sum_t x_dt * w_t          (join on the term, sum per document)
     w_t     -= step * (mean_d x_dt * (p_d - y_d) + penalty * w_t)   (sum per term)
 
-The (doc, term, x) table is written once, hashed on nothing: a hot term is collapsed by
-the partial aggregate of the gradient, and the join with the weights leaves a skewed
-term to AQE's skew split.  Each step's weights are written to the shared folder, so a
+The shares are written once, a document's terms in one row: the join with the errors
+shuffles these rows, a hot term is collapsed by the partial aggregate of the gradient,
+and the join with the weights leaves a skewed term to AQE's skew split.  Each step's weights are written to the shared folder, so a
 lost executor costs one step at most and the lineage stays short.  The driver holds
 two numbers a step: the loss and the intercept's gradient.
 """
@@ -60,7 +60,10 @@ def margins(x: DataFrame, weights: DataFrame, intercept: float, id_col: str, kee
 def fit(docs: DataFrame, label_col: str, id_col: str, tokens_col: str, steps: int = STEPS, step: float = STEP,
         penalty: float = PENALTY) -> LongLogisticModel:
     """Fit on (id, label 0 or 1, tokens); ``id_col`` is unique."""
-    x = _stored(shares(docs, id_col, tokens_col, (label_col,)), "logistic-shares")
+    # a document's terms are one row: the join with the errors then sends each id once
+    packed = _stored(shares(docs, id_col, tokens_col, (label_col,)).groupBy(id_col, label_col)
+                     .agg(F.collect_list(F.struct("term", "x")).alias("_terms")), "logistic-shares")
+    x = packed.select(id_col, label_col, F.inline("_terms"))
     weights = _stored(x.where("term is not null").select("term").distinct().withColumn("w", F.lit(0.0)), "logistic-weights")
     intercept, losses = 0.0, []
     y = F.col(label_col).cast("double")
@@ -74,7 +77,8 @@ def fit(docs: DataFrame, label_col: str, id_col: str, tokens_col: str, steps: in
             break
         squares = weights.agg(F.sum(F.col("w") * F.col("w"))).first()[0] or 0.0
         losses.append(loss + penalty / 2 * squares)
-        by_term = x.join(errors, id_col).groupBy("term").agg(F.sum(F.col("x") * F.col("e")).alias("g"))
+        by_term = (packed.select(id_col, "_terms").join(errors.select(id_col, "e"), id_col)
+                   .select("e", F.inline("_terms")).groupBy("term").agg(F.sum(F.col("x") * F.col("e")).alias("g")))
         weights = _stored(weights.join(by_term, "term").select(
             "term", (F.col("w") - step * (F.col("g") / n + penalty * F.col("w"))).alias("w")), "logistic-weights")
         intercept -= step * gradient
