@@ -17,6 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from kiln.functions import nested
+from kiln.session import small_batches
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's behaviour)
@@ -299,7 +300,10 @@ def with_stages(df, col: str, out: str, stages):
     repeating the whole chain below it (Catalyst keeps such projections apart).
     After a stage that goes to Python (``barrier``) a one-element generator ends
     the chain: Catalyst would else join the projections between two such stages
-    into one expression, which grows threefold with each."""
+    into one expression, which grows threefold with each.  Arrow batches are short, so
+    that a worker's memory does not grow with the rows of its task."""
+    if any(getattr(st, "barrier", False) for st in stages):
+        small_batches(df.sparkSession)
     cur = col
     for i, st in enumerate(stages):
         nxt = f"__{out}_s{i}"

@@ -173,3 +173,18 @@ def test_percent_encoding_is_that_of_urls(spark):
     from urllib.parse import quote
     texts = ["a b", "~-_.!*'()", "ö/文", "%&+=?#", ""]
     assert run(spark, M.percent_encoded, texts) == [quote(t) for t in texts]
+
+
+def test_python_gets_short_batches(spark):
+    """A task's rows come to Python in batches of bounded length."""
+    from kiln.session import ARROW_ROWS
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        df = spark.range(3).selectExpr("id", "concat('{{t|', id, '}}text ', id) AS w")
+        out = M.with_clean_wiki(df, "w", "clean").orderBy("id").collect()
+        assert int(spark.conf.get(key)) == ARROW_ROWS
+        assert [r["clean"].strip() for r in out] == ["text 0", "text 1", "text 2"]
+    finally:
+        spark.conf.set(key, before)
