@@ -105,11 +105,32 @@ def best_splits(totals: dict, max_bins: int):
     return run
 
 
-def _walk(tree: dict, count, leaf):
-    """The tree as one expression: ``count(term)`` of a document, ``leaf(node)`` its value."""
-    if "term" not in tree:
-        return leaf(tree)
-    return F.when(count(tree["term"]) <= tree["threshold"], _walk(tree["left"], count, leaf)).otherwise(_walk(tree["right"], count, leaf))
+def _walk(tree: dict, count):
+    """The leaf of a document, as its place in ``_nodes``; ``count(term)`` is the
+    document's count.  A fold over the levels: nested conditions would grow to a method
+    too large for the JVM to compile."""
+    nodes = _nodes(tree)
+    inner = [n for n in nodes if "term" in n]
+    if not inner:
+        return F.lit(1)
+    place = {n["node"]: i for i, n in enumerate(nodes, 1)}
+
+    def column(of, kind):
+        return F.array(*[F.lit(of(n) if "term" in n else None).cast(kind) for n in nodes])
+
+    term, threshold = column(lambda n: n["term"], "string"), column(lambda n: n["threshold"], "double")
+    left, right = (column(lambda n, s=side: place[n[s]["node"]], "int") for side in ("left", "right"))
+
+    def step(at, _):
+        t = F.element_at(term, at)
+        return F.when(t.isNull(), at).when(count(t) <= F.element_at(threshold, at), F.element_at(left, at)).otherwise(F.element_at(right, at))
+
+    levels = max(n["node"] for n in nodes).bit_length() - 1
+    return F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.lit(1), step)
+
+
+def _nodes(tree: dict) -> list[dict]:
+    return [tree] if "term" not in tree else [tree, *_nodes(tree["left"]), *_nodes(tree["right"])]
 
 
 def _pruned(tree: dict) -> dict:
@@ -216,10 +237,12 @@ class LongDecisionTree(Estimator, _TreeParams, DefaultParamsReadable, DefaultPar
     def _level(docs: DataFrame, splits: DataFrame, tree: dict, active: list[dict], max_bins: int) -> dict:
         """The best split of each active node, where one has a gain."""
         totals = {a["node"]: a["counts"] for a in active}
-        node = _walk(tree, lambda t: F.coalesce(F.try_element_at("terms", F.lit(t)), F.lit(0)),
-                     lambda n: F.lit(n["node"] if n["node"] in totals else None).cast("int"))
-        points = F.col("thresholds")
-        bin_ = F.when(F.size(points) == 1, (F.col("tf") > points[0]).cast("int")).otherwise(F.size(F.filter(points, lambda p: p < F.col("tf"))))
+        place = _walk(tree, lambda t: F.coalesce(F.try_element_at("terms", t), F.lit(0)))
+        node = F.element_at(F.array(*[F.lit(n["node"] if n["node"] in totals else None).cast("int") for n in _nodes(tree)]), place)
+        points, tf = F.col("thresholds"), F.col("tf")
+        # most counts are in the first two bins
+        bin_ = (F.when((F.size(points) == 1) | (tf <= F.get(points, F.lit(1))), (tf > points[0]).cast("int"))
+                .otherwise(F.size(F.filter(points, lambda p: p < tf))))
         occ = (docs.select(node.alias("node"), "_class", "terms").where("node is not null")
                .select("node", "_class", F.explode("terms").alias("term", "tf"))
                .join(F.broadcast(splits), "term")      # at most vocabSize rows
@@ -241,14 +264,15 @@ class LongDecisionTreeModel(Model, _TreeParams, DefaultParamsReadable, DefaultPa
             self._set(tree=tree)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        words = F.col(self.getOrDefault(self.wordsCol))
+        words, tree = F.col(self.getOrDefault(self.wordsCol)), json.loads(self.getOrDefault(self.tree))
+        place = _walk(tree, lambda t: F.size(words) - F.size(F.array_remove(words, t)))
 
         def leaves(value):
-            return _walk(json.loads(self.getOrDefault(self.tree)), lambda t: F.size(words) - F.size(F.array_remove(words, F.lit(t))), value)
+            return F.element_at(F.array(*[value(n["counts"]) for n in _nodes(tree)]), place)
 
         def vector(of):
-            return array_to_vector(leaves(lambda n: F.array(*[F.lit(x) for x in of(n["counts"])])))
+            return array_to_vector(leaves(lambda c: F.array(*[F.lit(x) for x in of(c)])))
 
         return (dataset.withColumn("rawPrediction", vector(lambda c: c))
                 .withColumn("probability", vector(lambda c: [x / sum(c) for x in c]))
-                .withColumn(self.getOrDefault(self.predictionCol), leaves(lambda n: F.lit(float(np.argmax(n["counts"]))))))
+                .withColumn(self.getOrDefault(self.predictionCol), leaves(lambda c: F.lit(float(np.argmax(c))))))
