@@ -31,7 +31,7 @@ def test_fit_on_no_rows(spark):
     assert model.classes == [] and model.vocab_size == 0 and model.weights.count() == 0
 
 
-@pytest.mark.parametrize("query", ["q_ml_ngram", "q_ml_lang_nb"])
+@pytest.mark.parametrize("query", ["q_ml_ngram", "q_ml_lang_nb", "q_ml_saved"])
 def test_documents_are_dealt(spark, tmp_path, monkeypatch, query):
     """The tasks that count terms get so many documents each, however few files there are."""
     rows = [(i, f"the cat sat on the mat number {i}" if i % 3 else f"le chat est sur le tapis {i}", "en" if i % 3 else "fr") for i in range(90)]
