@@ -41,3 +41,16 @@ def test_documents_are_dealt(spark, tmp_path, monkeypatch, query):
     monkeypatch.setattr(mlpipes, "by_document", lambda *a: dealt.append(by_document(*a)) or dealt[-1])
     assert len(mlpipes.QUERIES[query](spark, str(tmp_path)).collect()) > 0
     assert [d.rdd.getNumPartitions() for d in dealt] == [9]
+
+
+def test_scoring_join_of_a_large_table(spark, monkeypatch):
+    """Above JOIN_TERMS terms the join hashes a bounded share of them in each task, with the same scores."""
+    docs = spark.createDataFrame([(i, f"c{i % 3}", [f"w{(i * j) % 23}" for j in range(i % 9)]) for i in range(60)]
+                                 + [(60, "c0", ["new"]), (61, "c0", None)], "id long, lang string, tokens array<string>")
+    model = nb.fit(docs.where("id < 50"), "lang", "tokens")
+    a = nb.predict(model, docs, "id", "tokens")
+    monkeypatch.setattr(nb, "JOIN_TERMS", 2)
+    b = nb.predict(model, docs, "id", "tokens")
+    assert "ShuffledHashJoin" in b._jdf.queryExecution().toString() and "ShuffledHashJoin" not in a._jdf.queryExecution().toString()
+    a, b = (sorted((r.id, r.prediction, round(r.score, 9)) for r in p.collect()) for p in (a, b))
+    assert a == b and len(a) == 62
