@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kiln.operators import packed
 from kiln.operators.features import by_document, label_index, term_occurrences
 from kiln.session import scratch_path
 
@@ -31,12 +32,15 @@ from kiln.session import scratch_path
 # values is taken for a mistake (an id column, say) and refused.
 MAX_CLASSES = 10_000
 
-# Up to so many classes, the counts of a term are columns of one aggregate by term.
+# Up to so many classes, a label is numbered by tests in the row; by a join above.
 WIDE_CLASSES = 16
 
 # Terms of the weight table that a task of the scoring join holds.
 JOIN_TERMS = 500_000
 
+# Above so many terms they are joined in blocks of many (kiln.operators.packed).
+PACK_TERMS = 2_000_000
+
 # class id of the extra "term is in the vocabulary" row per term
 VOCAB_MARK = -1
 
@@ -66,6 +70,9 @@ class LongNaiveBayesModel:
     # how the tokens were made from text (see kiln.plans.jobs.FEATURES); scoring
     # new text uses the same recipe
     features: str = "words"
+    # the counts behind the weights in blocks (kiln.operators.packed), where the model was
+    # fitted on every term
+    counted: DataFrame | None = None
 
     @property
     def labels(self) -> list[str]:
@@ -101,26 +108,19 @@ def class_counts(docs: DataFrame, label_col: str, tokens_col: str, term_col: str
     return occ.groupBy(label_col, term_col).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def _counts_by_term(docs: DataFrame, label_col: str, tokens_col: str, numbers: DataFrame, index: list) -> DataFrame:
-    """One row for each training term, so that its rows count the vocabulary: (term, n0,
-    n1, ...) with few classes, shuffled once; with many, (term, found: [(k, cnt)]), and
-    the (class, term) counts are shuffled by term as well."""
+def _packed_counts(docs: DataFrame, label_col: str, tokens_col: str, numbers: DataFrame, index: list) -> DataFrame:
+    """The (term, class) counts in blocks (:func:`kiln.operators.packed.class_counts`)."""
     if len(index) <= WIDE_CLASSES:
-        occ = term_occurrences(docs, label_col, tokens_col)
-        each = [F.count(F.when(F.col(label_col).eqNullSafe(F.lit(c)), 1)).alias(f"n{k}") for c, k in index]
-        return occ.groupBy("term").agg(*(each or [F.count(F.lit(1)).alias("n")]))
-    counts = class_counts(docs, label_col, tokens_col)
-    return (counts.join(F.broadcast(numbers), F.col(label_col).eqNullSafe(F.col("_label")))
-            .groupBy("term").agg(F.collect_list(F.struct("k", "cnt")).alias("found")))
+        docs = docs.withColumn("_k", packed.class_number(label_col, index))
+    else:
+        docs = docs.join(F.broadcast(numbers), F.col(label_col).eqNullSafe(F.col("_label"))).withColumnRenamed("k", "_k")
+    return packed.class_counts(term_occurrences(docs, "_k", tokens_col).select("term", F.col("_k").alias("k")))
 
 
-def _pairs(by_term: DataFrame, n_classes: int) -> DataFrame:
-    """(term, k, cnt) of the classes that have the term."""
-    if "found" in by_term.columns:
-        return by_term.select("term", F.inline("found"))
-    each = [F.struct(F.lit(k).alias("k"), F.col(f"n{k}").alias("cnt")) for k in range(n_classes)]
-    found = F.array(*each) if each else F.array().cast("array<struct<k:int,cnt:bigint>>")
-    return by_term.select("term", F.inline(found)).where("cnt > 0")
+def _counts_by_term(docs: DataFrame, label_col: str, tokens_col: str, numbers: DataFrame, index: list) -> DataFrame:
+    """One row for each training term, so that its rows count the vocabulary: (term,
+    found: [(k, cnt)])."""
+    return packed.by_term(_packed_counts(docs, label_col, tokens_col, numbers, index))
 
 
 def fit(docs: DataFrame, label_col: str, tokens_col: str, alpha: float = 1.0,
@@ -143,16 +143,22 @@ def fit(docs: DataFrame, label_col: str, tokens_col: str, alpha: float = 1.0,
         raise ValueError(f"{label_col} has more than {MAX_CLASSES} distinct labels")
     # K rows, at most MAX_CLASSES
     numbers = spark.createDataFrame([(r[0], r.idx) for r in index], T.StructType([T.StructField("_label", docs.schema[label_col].dataType), T.StructField("k", T.IntegerType())]))
-    by_term = _counts_by_term(docs, label_col, tokens_col, numbers, [(r[0], r.idx) for r in index])
-    if vocabulary is not None:
-        by_term = by_term.join(vocabulary.select("term"), "term", "left_semi")
+    counted = _packed_counts(docs, label_col, tokens_col, numbers, [(r[0], r.idx) for r in index])
     path = scratch_path(spark, "nb-counts")
-    by_term.write.parquet(path)
-    by_term = spark.read.schema(by_term.schema).parquet(path)
-    counts = _pairs(by_term, len(index))
-    n_terms = {r.k: r.n for r in counts.groupBy("k").agg(F.sum("cnt").alias("n")).collect()}
-    vocab_terms = vocabulary.select("term") if vocabulary is not None else by_term
-    v = vocab_terms.count()
+    if vocabulary is None:
+        counted.write.parquet(path)
+        counted = spark.read.schema(counted.schema).parquet(path)
+        counts = packed.unpacked(counted)
+        totals = counted.select(F.inline("totals"))
+        v = counted.agg(F.coalesce(F.sum("terms"), F.lit(0))).first()[0]
+    else:
+        by_term = packed.by_term(counted).join(vocabulary.select("term"), "term", "left_semi")
+        by_term.write.parquet(path)
+        by_term = spark.read.schema(by_term.schema).parquet(path)
+        counts = by_term.select("term", F.inline("found"))
+        totals = counts.select("k", F.col("cnt").alias("n"))
+        v = vocabulary.select("term").count()
+    n_terms = {r.k: r.n for r in totals.groupBy("k").agg(F.sum("n").alias("n")).collect()}
     n_total = sum(r.n for r in index)
     k = class_prior_k or len(index)
     labels = {r.k: r.label for r in numbers.select("k", F.col("_label").cast("string").alias("label")).collect()}
@@ -162,8 +168,8 @@ def fit(docs: DataFrame, label_col: str, tokens_col: str, alpha: float = 1.0,
     log_alpha = math.log(alpha)
     pairs = counts.select("term", "k", (F.log(F.col("cnt") + alpha) - F.lit(log_alpha)).alias("w"))
     if vocabulary is None:
-        return LongNaiveBayesModel(pairs, classes, v, alpha)
-    marks = vocab_terms.join(by_term.select("term"), "term", "left_anti") \
+        return LongNaiveBayesModel(pairs, classes, v, alpha, counted=counted)
+    marks = vocabulary.select("term").join(by_term.select("term"), "term", "left_anti") \
         .select("term", F.lit(VOCAB_MARK).alias("k"), F.lit(1.0).alias("w"))
     return LongNaiveBayesModel(pairs.unionByName(marks), classes, v, alpha, marks=True)
 
@@ -175,6 +181,35 @@ def with_row_id(df: DataFrame, out: str = "_row") -> DataFrame:
     return df.withColumn(out, F.monotonically_increasing_id())
 
 
+def _joined(model: LongNaiveBayesModel, docs: DataFrame, keys: list, tokens_col: str) -> DataFrame:
+    """(keys, k, s, t) of each (document, term) and class that has the term, rows of Spark."""
+    occ = docs.select(*keys[:-1], F.size(tokens_col).alias("_n_tok"),
+                      F.explode_outer(tokens_col).alias("term"))
+    # (doc, term, tf) inside the partition; the empty-document row has tf = 0
+    tf = occ.groupBy(*keys, "term").agg(F.count("term").alias("tf"))
+    weights = model.weights
+    if model.vocab_size > JOIN_TERMS:
+        # a large table is not sorted: tasks hash so many of its terms each
+        n = -(-model.vocab_size // JOIN_TERMS)
+        try:
+            n = max(n, docs.sparkSession.sparkContext.defaultParallelism)
+        except Exception:  # noqa: BLE001 - remote session: only the configuration is visible
+            pass
+        tf, weights = tf.repartition(n, "term"), weights.repartition(n, "term").hint("shuffle_hash")
+    return tf.join(weights, "term", "left").select(*keys, "k", (F.col("tf") * F.col("w")).alias("s"), F.col("tf").alias("t"))
+
+
+def _packed_join(model: LongNaiveBayesModel, docs: DataFrame, keys: list, tokens_col: str) -> DataFrame:
+    """The same by blocks of terms, summed within a bucket of terms."""
+    names = [f"_c{i}" for i in range(len(keys))]
+    docs = docs.select(*(F.col(c).alias(n) for c, n in zip(keys[:-1], names, strict=False)), F.size(tokens_col).alias(names[-1]),
+                       F.explode_outer(tokens_col).alias("term"))
+    occ = docs.select("term", *names, F.when(F.col("term").isNotNull(), 1).otherwise(0).cast("long").alias("tf"))
+    blocks = model.counted if model.counted is not None else packed.pack(model.weights.select("term", "k", "w"), None)
+    found = packed.scored(occ, blocks, model.alpha)
+    return found.select(*(F.col(n).alias(c) for c, n in zip(keys, names, strict=True)), "k", "s", "t")
+
+
 def raw_scores(model: LongNaiveBayesModel, docs: DataFrame, id_col: str, tokens_col: str,
                keep=(), partitioned: bool = False) -> DataFrame:
     """Per document: ``scores`` array (one log-joint per class, index order).
@@ -184,27 +219,18 @@ def raw_scores(model: LongNaiveBayesModel, docs: DataFrame, id_col: str, tokens_
     the partition -> left join weights on term (up to :data:`JOIN_TERMS` terms AQE
     picks a broadcast when the weight table is small at run time, and splits skewed
     hot terms otherwise; above, a hash join of as many partitions as the terms need,
-    where a hot term has one row a document) -> classes as rows: one sum per (doc, class) that shares a
+    where a hot term has one row a document; above :data:`PACK_TERMS`, by blocks of terms,
+    and the documents' texts are not shuffled at all) -> classes as rows: one sum per (doc, class) that shares a
     term, then one row per doc.  The classes of a (doc, term) are never tested
     against each other, so the work grows with the non-zero pairs.
     """
-    docs = docs if partitioned else by_document(docs, id_col)
-    occ = docs.select(id_col, *keep, F.size(tokens_col).alias("_n_tok"),
-                      F.explode_outer(tokens_col).alias("term"))
-    # (doc, term, tf) inside the partition; the empty-document row has tf = 0
-    tf = occ.groupBy(id_col, *keep, "_n_tok", "term").agg(F.count("term").alias("tf"))
-    weights = model.weights
-    if model.vocab_size > JOIN_TERMS:
-        # a large table is not sorted: tasks hash so many of its terms each
-        n = -(-model.vocab_size // JOIN_TERMS)
-        try:
-            n = max(n, docs.sparkSession.sparkContext.defaultParallelism)
-        except Exception:  # noqa: BLE001 - remote session: only the configuration is visible
-            pass
-        tf, weights = tf.repartition(n, "term"), weights.repartition(n, "term").hint("shuffle_hash")
-    joined = tf.join(weights, "term", "left")
+    keys = [id_col, *keep, "_n_tok"]
+    if model.vocab_size > PACK_TERMS and not docs.isStreaming and packed.packable(*(docs.schema[c].dataType for c in keys[:-1])):
+        joined = _packed_join(model, docs, keys, tokens_col)
+    else:
+        joined = _joined(model, docs if partitioned else by_document(docs, id_col), keys, tokens_col)
     by_class = joined.groupBy(id_col, *keep, "_n_tok", "k").agg(
-        F.sum(F.col("tf") * F.col("w")).alias("s"), F.sum("tf").alias("t"))
+        F.sum("s").alias("s"), F.sum("t").alias("t"))
     # in-vocabulary tokens: all tokens minus those without any weight row
     # (a mark row counts as a weight row)
     agg = by_class.groupBy(id_col, *keep, "_n_tok").agg(

@@ -10,6 +10,7 @@ longer ones that begin with it.  Terms are kept whole: hashes choose the bucket
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,8 +24,9 @@ from pyspark.sql import types as T
 BUCKETS = 256
 # A task sends its blocks whenever it holds so many bytes of rows.
 FLUSH_BYTES = 64 << 20
-# So many rows of a bucket are worked on at a time; the others wait in their blocks.
-PART_ROWS = 3_000_000
+# So many rows of a bucket are worked on at a time.  The others wait, unpacked up to so
+# many; above, the blocks are unpacked again for each part.
+PART_ROWS, HELD_ROWS = 2_500_000, 12_000_000
 # Rows of a block that is written to a table, of a batch that goes back to Spark.
 BLOCK_ROWS, BATCH_ROWS = 1 << 16, 1 << 16
 # Terms with the same first words go to the same bucket.
@@ -151,19 +153,36 @@ def pack(rows: DataFrame, counts: list[str] | None, side: int = 0, spread: bool
     return rows.mapInArrow(run, PACKED)
 
 
+def _place(t: pa.Table, term: bytes) -> int:
+    """The first row of a sorted table that does not come before ``term``; nulls are last."""
+    terms = t["term"]
+    return bisect.bisect_left(range(len(t)), (False, term), key=lambda i: ((v := terms[i].as_py()) is None, v or b""))
+
+
 def _parts(held: list[tuple[int, int, bytes]]) -> Iterator[dict[int, pa.Table]]:
-    """A bucket's rows by side, as many at a time as :data:`PART_ROWS`; equal terms come together."""
-    n = -(-sum(rows for _, rows, _ in held) // PART_ROWS)
-    for part in range(n):
+    """A bucket's rows by side, about :data:`PART_ROWS` at a time; equal terms come together.
+    The blocks are sorted, so a part is a range of terms: a slice of each block."""
+    n = sum(rows for _, rows, _ in held)
+    blocks = [(side, unblock(data)) for side, _, data in held] if n <= HELD_ROWS else ((side, unblock(data)) for side, _, data in held)
+    cuts = []
+    if n > PART_ROWS:
+        # every so many rows, one term to place the cuts by
+        step, at, found = max(1, PART_ROWS // 64), 0, []
+        for _, t in blocks:
+            found += [t["term"][i].as_py() for i in range(at, len(t), step)]
+            at += step * len(range(at, len(t), step)) - len(t)
+        each = PART_ROWS // step
+        cuts = sorted({*sorted(x for x in found if x is not None)[each::each]})
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        if n > HELD_ROWS:
+            blocks = ((side, unblock(data)) for side, _, data in held)
         sides: dict[int, list[pa.Table]] = {}
-        for side, _, data in held:
-            t = unblock(data)
-            if n > 1:
-                # other bits than those that chose the bucket
-                of = (hashes(t["term"].combine_chunks().cast(pa.binary())) // np.uint64(BUCKETS)) % np.uint64(n)
-                t = t.filter(pa.array(of == part))
-            sides.setdefault(side, []).append(t)
-        yield {side: pa.concat_tables(ts).combine_chunks() for side, ts in sides.items()}
+        for side, t in blocks:
+            a, b = 0 if low is None else _place(t, low), len(t) if high is None else _place(t, high)
+            if b > a:
+                sides.setdefault(side, []).append(t.slice(a, b - a))
+        if sides:
+            yield {side: pa.concat_tables(ts).combine_chunks() for side, ts in sides.items()}
 
 
 def by_bucket(packed: DataFrame, work: Callable[[int, dict[int, pa.Table]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
