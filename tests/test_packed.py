@@ -85,7 +85,7 @@ def test_a_large_bucket_is_worked_on_in_parts(monkeypatch, held):
     assert sorted((str(r["term"]), r["n"]) for p in found for r in p) == [("None", 300), ("b'a'", 600), ("b'b'", 300)]
 
 
-@pytest.mark.parametrize("query", ["q_nb_ngram"])
+@pytest.mark.parametrize("query", ["q_nb_ngram", "q_ml_ngram"])
 def test_queries_shuffle_no_row_for_a_term(spark, tmp_path, monkeypatch, query):
     import __spark_entry__ as entry
     rows = [(i, f"the cat sat on the mat number {i % 20}" if i % 3 else f"le chat est sur le tapis {i % 20}", "en" if i % 3 else "fr", "s") for i in range(90)]
