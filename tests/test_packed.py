@@ -36,7 +36,7 @@ def test_terms_are_shuffled_in_blocks(spark):
     assert counted.agg(F.sum("terms"), F.sum("n")).first()[:] == (2000, 2000) and counted.count() <= packed.BUCKETS
 
 
-@pytest.mark.parametrize("saved", [False])
+@pytest.mark.parametrize("saved", [False, True])
 def test_scoring_by_blocks(spark, small, monkeypatch, tmp_path, saved):
     """Above PACK_TERMS terms are joined in blocks, with the scores of the join of rows."""
     rows = [(i, f"c{i % 3}", [None if (i * j) % 13 == 5 else WORDS[(i * j + j) % len(WORDS)] + "x" * (i % 4 == j % 4) for j in range(i % 9)]) for i in range(60)]
@@ -85,7 +85,7 @@ def test_a_large_bucket_is_worked_on_in_parts(monkeypatch, held):
     assert sorted((str(r["term"]), r["n"]) for p in found for r in p) == [("None", 300), ("b'a'", 600), ("b'b'", 300)]
 
 
-@pytest.mark.parametrize("query", ["q_nb_ngram", "q_ml_ngram"])
+@pytest.mark.parametrize("query", ["q_nb_ngram", "q_ml_ngram", "q_ml_saved"])
 def test_queries_shuffle_no_row_for_a_term(spark, tmp_path, monkeypatch, query):
     import __spark_entry__ as entry
     rows = [(i, f"the cat sat on the mat number {i % 20}" if i % 3 else f"le chat est sur le tapis {i % 20}", "en" if i % 3 else "fr", "s") for i in range(90)]
